@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 def latest_row(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """The row with the greatest ``order_by`` values. Remaining ties go to the
     greatest row, so the outcome does not depend on row order."""
-    rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*rest)
-    best = df.groupBy(*keys).agg(F.max_by(row, F.struct(*order_by, *rest)).alias("_row"))
-    return best.select(*keys, "_row.*")
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    unordered = [c for c in rest if "map<" in df.schema[c].dataType.simpleString()]
+    ranked = F.struct(*order_by, *[c for c in rest if c not in unordered])
+    if unordered:  # maps cannot be compared, so they ride along
+        best = F.max_by(F.struct(*order_by, *rest), ranked)
+    else:
+        best = F.max(ranked)
+    picked = df.groupBy(*keys).agg(best.alias("_row")).select(*keys, "_row.*")
+    return picked.select(*df.columns)
 
 
 def merge_rows(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:

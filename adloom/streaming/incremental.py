@@ -56,7 +56,7 @@ def content_rows(html: DataFrame, urls: DataFrame) -> DataFrame:
     the parse, which is the expensive step.
     """
     pages = dedupe_html(html)
-    ids = pages.select("id").distinct()
+    ids = html.select("id").distinct()  # reads the id column only
     if fits_broadcast(ids):
         ids = F.broadcast(ids)
     wanted = dedupe_urls(urls.join(ids, "id", "left_semi"))

@@ -54,7 +54,7 @@ from adloom.sources.readers import (
 from adloom.functions.text import words
 from adloom.storage import fresh_path
 from adloom.streaming.incremental import high_water_mark, list_files, mark_done, new_files, rows_after, run_metadata
-from driver_queries.registry import load, query
+from driver_queries.registry import load, load_spread, query
 
 # --- Payloads built from `orders`: every field gets a value that depends on the
 # --- order and on the field's name, so a mixed-up path shows.
@@ -152,13 +152,13 @@ def _register_category(category: str) -> None:
     @query(f"flatten_{category}", _flat_sql(category, lean=False))
     def flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = fresh_path(spark, category)
-        _land_payloads(load(spark, sf_dir, "orders"), category, path)
+        _land_payloads(load_spread(spark, sf_dir, "orders", "o_orderkey"), category, path)
         return _plain(bronze_metadata(read_payloads(spark, path, category), category, keep_nested=True))
 
     @query(f"normalize_{category}", _flat_sql(category, lean=True))
     def normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = fresh_path(spark, category)
-        _land_payloads(load(spark, sf_dir, "orders"), category, path)
+        _land_payloads(load_spread(spark, sf_dir, "orders", "o_orderkey"), category, path)
         return _plain(bronze_metadata(read_payloads(spark, path, category), category))
 
 
@@ -175,7 +175,7 @@ for _category in CATEGORY_SCHEMAS:
 )
 def flatten_unknown_shape(spark, sf_dir):
     path = fresh_path(spark, "variant")
-    _land_payloads(load(spark, sf_dir, "orders"), "car_used", path)
+    _land_payloads(load_spread(spark, sf_dir, "orders", "o_orderkey"), "car_used", path)
     flat = read_payload_variants(spark, path).select(*variant_exprs(doc_schema("car_used")))
     return _plain(flat.select("id", "regno", "price_amount", "mileage", "timestamp", "coordinates_lat"))
 
@@ -190,7 +190,7 @@ def flatten_unknown_shape(spark, sf_dir):
 )
 def schema_driven_select(spark, sf_dir):
     path = fresh_path(spark, "structure")
-    _land_payloads(load(spark, sf_dir, "orders"), "job_fulltime", path)
+    _land_payloads(load_spread(spark, sf_dir, "orders", "o_orderkey"), "job_fulltime", path)
     recorded = {
         "type": "VARCHAR",
         "id": "VARCHAR",
@@ -247,7 +247,7 @@ def props_json_extract(spark, sf_dir):
 )
 def source_file_lineage(spark, sf_dir):
     path = fresh_path(spark, "lineage")
-    _land_payloads(load(spark, sf_dir, "orders"), "car_used", path)
+    _land_payloads(load_spread(spark, sf_dir, "orders", "o_orderkey"), "car_used", path)
     rows = bronze_metadata(read_payloads(spark, path, "car_used"), "car_used")
     suffix = F.regexp_extract("source_file", r"(\.json\.gz)$", 1).alias("suffix")
     return rows.groupBy(suffix).agg(
