@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,13 +62,15 @@ def conform(df: DataFrame, ddl: str) -> DataFrame:
             for f in schema.fields
         ]
     )
-    # Cast failures would surface as NULL in a required column; assert in the row.
-    guarded = [
-        F.when(F.col(f"`{f.name}`").isNull(), F.raise_error(F.lit(f"NULL in {f.name}")))
-        .otherwise(F.col(f"`{f.name}`"))
-        .alias(f.name)
-        if not f.nullable
-        else F.col(f"`{f.name}`")
-        for f in schema.fields
-    ]
-    return typed.select(*guarded)
+    return typed.select(
+        *[F.col(f"`{f.name}`") if f.nullable else _never_null(f).alias(f.name) for f in schema.fields]
+    )
+
+
+def _never_null(field: T.StructField) -> Column:
+    """The column, failing on a NULL that only the cast produced. The last value is
+    never reached; it tells Spark that the result cannot be NULL."""
+    col = F.col(f"`{field.name}`")
+    checked = F.when(col.isNull(), F.raise_error(F.lit(f"NULL in {field.name}"))).otherwise(col)
+    blank = F.lit("") if isinstance(field.dataType, T.StringType) else F.lit(0)
+    return F.coalesce(checked, blank.cast(field.dataType))

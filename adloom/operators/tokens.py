@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from adloom.functions.text import distinct_known, without_words, word_groups, words
 from adloom.operators.ids import dense_ids
 from adloom.operators.joins import fits_broadcast, salted_join
+from adloom.storage import materialize
 
 # A stopword list up to this size is matched inside the row.
 STOPWORD_LIMIT = 20_000
@@ -85,8 +86,14 @@ def ngrams(
     sizes: tuple[int, ...] = (1, 2),
     text: str = "article_content",
 ) -> DataFrame:
-    """N-gram table keyed by ad, numbered in word order."""
-    return dense_ids(ngram_rows(ads, stopwords, sizes, text), ["words", "ngram_size", "ad_id"])
+    """N-gram table keyed by ad, numbered in word order.
+
+    The rows are written before they are numbered: range partitioning reads its
+    input once for a sample and once for the rows, and reading narrow columns
+    twice is cheaper than tokenising every text twice.
+    """
+    grams = materialize(ngram_rows(ads, stopwords, sizes, text), "ngrams")
+    return dense_ids(grams, ["words", "ngram_size", "ad_id"])
 
 
 def ngrams_with_bridges(
@@ -105,7 +112,7 @@ def ngrams_with_bridges(
     grams = ngram_rows(ads, stopwords, sizes, text)
     fanned = grams.join(ads_with_ids.select("ad_id", *ids), "ad_id")
     columns = ["words", "ngram_size", "ad_id", *ids]
-    return dense_ids(fanned.select(*columns), columns)
+    return dense_ids(materialize(fanned.select(*columns), "ngrams"), columns)
 
 
 def phrase_counts(grams: DataFrame, by: list[str], k: int) -> DataFrame:

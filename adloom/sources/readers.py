@@ -112,8 +112,9 @@ def parse_csv_payload(df: DataFrame, column: str, ddl: str) -> DataFrame:
     """A CSV document held in a column (header first) to one row per line."""
     kept = [c for c in df.columns if c != column]
     lines = F.filter(F.split(F.col(column), r"\r?\n"), lambda line, at: (at > 0) & (line != ""))
-    rows = df.select(*kept, F.posexplode(lines).alias("line_no", "_line"))
-    return rows.select(*kept, "line_no", F.from_csv("_line", ddl).alias("_r")).select(*kept, "line_no", "_r.*")
+    rows = df.select(*kept, F.posexplode(lines).alias("_at", "_line"))
+    parsed = rows.select(*kept, (F.col("_at") + 1).alias("line_no"), F.from_csv("_line", ddl).alias("_r"))
+    return parsed.select(*kept, "line_no", "_r.*")
 
 
 # Fixed value: ``.../{category}/{chain_id}_{uuid}.json[.gz]``.
