@@ -44,13 +44,18 @@ def select_content(bronze: DataFrame, id_col: str = "id") -> DataFrame:
             if c not in bronze.columns
         }
         bronze = bronze.withColumns(promoted)
-    bronze = ensure_columns(bronze, CONTENT_COLUMNS)
-    return bronze.select(F.col(id_col).cast("string").alias("ad_id"), *CONTENT_COLUMNS)
+    return _typed(bronze, id_col, CONTENT_COLUMNS)
 
 
 def select_metadata(bronze: DataFrame, id_col: str = "id") -> DataFrame:
-    bronze = ensure_columns(bronze, METADATA_COLUMNS)
-    return bronze.select(F.col(id_col).cast("string").alias("ad_id"), *METADATA_COLUMNS)
+    return _typed(bronze, id_col, METADATA_COLUMNS)
+
+
+def _typed(bronze: DataFrame, id_col: str, columns: dict[str, str]) -> DataFrame:
+    known = ensure_columns(bronze, columns)
+    return known.select(
+        F.col(id_col).cast("string").alias("ad_id"), *[F.col(c).cast(t).alias(c) for c, t in columns.items()]
+    )
 
 
 def clean_content(content: DataFrame) -> DataFrame:

@@ -85,14 +85,16 @@ def ngrams(
     stopwords: DataFrame,
     sizes: tuple[int, ...] = (1, 2),
     text: str = "article_content",
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """N-gram table keyed by ad, numbered in word order.
+    """N-gram table keyed by ad, numbered in word order. ``carry`` may add columns
+    that depend on the ad.
 
     The rows are written before they are numbered: range partitioning reads its
     input once for a sample and once for the rows, and reading narrow columns
     twice is cheaper than tokenising every text twice.
     """
-    grams = materialize(ngram_rows(ads, stopwords, sizes, text), "ngrams")
+    grams = materialize(ngram_rows(ads, stopwords, sizes, text, carry), "ngrams")
     return dense_ids(grams, ["words", "ngram_size", "ad_id"])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.operators.dims import (
@@ -23,7 +23,7 @@ from adloom.operators.dims import (
 )
 from adloom.operators.tokens import ngrams, ngrams_with_bridges
 from adloom.sinks.writers import export_jdbc, snapshot
-from adloom.sources.readers import read_table_jdbc
+from adloom.sources.readers import read_months, read_table_jdbc
 from adloom.storage import materialize
 
 
@@ -75,21 +75,57 @@ def build_gold(
         ids = ads_with_ids(ads, employers, by_keyword, by_function, columns=[])
         grams = ngrams_with_bridges(ads, ids, stopwords)
     else:
-        grams = ngrams(with_employer(ads.select("ad_id", "company_name", "article_content"), employers), stopwords)
+        texts = with_employer(ads.select("ad_id", "company_name", "article_content"), employers)
+        grams = ngrams(texts, stopwords, carry=["ad_id", "employer_id"])
     return GoldTables(ads, keywords, employers, functions, by_keyword, by_function, wide, grams)
 
 
+# Columns of the two bronze tables that gold reads.
+BRONZE_METADATA_DDL = """id bigint, canonical_url string, heading string, location string, job_title string,
+    company_name string, no_of_positions bigint, timestamp timestamp, published timestamp, y int, m int"""
+BRONZE_CONTENT_DDL = """id string, article_header string, article_content string, keywords string,
+    timestamp timestamp, job_type string, attributes map<string,string>, batch int, y int, m int"""
+
+
+def gold_from_bronze(
+    spark: SparkSession,
+    bronze_root: str,
+    stopwords: DataFrame,
+    first: tuple[int, int] | None = None,
+    last: tuple[int, int] | None = None,
+    category: str = "job_fulltime",
+    fanout: bool = False,
+) -> GoldTables:
+    """The gold tables of a range of months."""
+    root = f"{bronze_root.rstrip('/')}/{category}"
+    metadata = read_months(spark, f"{root}/ad_metadata", first, last, schema=BRONZE_METADATA_DDL)
+    content = read_months(spark, f"{root}/ad_content", first, last, schema=BRONZE_CONTENT_DDL)
+    return build_gold(metadata, content, stopwords, fanout)
+
+
+def write_gold(gold: GoldTables, root: str) -> dict[str, str]:
+    """Replace the gold tables as parquet; returns their paths."""
+    paths = {}
+    for table, frame in gold.exports().items():
+        paths[table] = f"{root.rstrip('/')}/{table}"
+        frame.write.mode("overwrite").parquet(paths[table])
+    return paths
+
+
 def export_gold(gold: GoldTables, url: str, properties: dict[str, str] | None = None) -> None:
     for table, frame in gold.exports().items():
         export_jdbc(frame, url, table, properties)
 
 
-def snapshot_tables(spark, config: list[dict], url: str, root: str, read=read_table_jdbc) -> list[str]:
-    """Snapshot the configured relational tables (``table_fqn``, ``path``) as parquet."""
-    return [
-        snapshot(read(spark, url, item["table_fqn"]), f"{root}/{item['path'].strip('/')}", item["table_fqn"])
-        for item in config
-    ]
+def snapshot_tables(spark: SparkSession, config: list[dict], url: str, root: str, read=read_table_jdbc) -> list[str]:
+    """Snapshot the configured relational tables (``table_fqn``, ``path``, and what
+    the reader needs, such as ``partition_column``) as parquet."""
+    paths = []
+    for item in config:
+        options = {k: v for k, v in item.items() if k not in ("table_fqn", "path")}
+        table = read(spark, url, item["table_fqn"], **options)
+        paths.append(snapshot(table, f"{root}/{item['path'].strip('/')}", item["table_fqn"]))
+    return paths
 
 
 def gold_counts(gold: GoldTables) -> DataFrame:

@@ -59,14 +59,17 @@ def read_months(
     first: tuple[int, int] | None = None,
     last: tuple[int, int] | None = None,
     names: tuple[str, str] = ("y", "m"),
+    schema: str | StructType | None = None,
 ) -> DataFrame:
     """Partitioned parquet, columns united by name, limited to a month range.
 
     The range is written on the partition columns themselves so that it prunes
-    directories before any file is opened.
+    directories before any file is opened. With a declared ``schema`` no file
+    footers are merged: a column that a file lacks is NULL.
     """
     y, m = (F.col(n) for n in names)
-    df = spark.read.option("mergeSchema", True).parquet(root)
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", True)
+    df = reader.parquet(root)
     if first:
         df = df.where((y > first[0]) | ((y == first[0]) & (m >= first[1])))
     if last:
@@ -153,19 +156,27 @@ def read_table_jdbc(
     properties: dict[str, str] | None = None,
     partition_column: str | None = None,
     bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
+    partitions: int = 64,
 ) -> DataFrame:
-    """A relational table; with a numeric column and its bounds it is read in
-    parallel ranges."""
+    """A relational table, read in parallel ranges of ``partition_column`` (a
+    number, such as the primary key). Without one a single task reads the table,
+    which only suits small tables. Unknown bounds are asked from the database."""
     schema, table = split_table_name(table_fqn)
-    reader = spark.read.format("jdbc").options(url=url, dbtable=f"{schema}.{table}", **(properties or {}))
-    if partition_column:
-        if bounds is None:
-            raise ValueError("a partition column needs its bounds")
-        reader = reader.options(
+    source = spark.read.format("jdbc").options(url=url, **(properties or {}))
+    if partition_column is None:
+        return source.option("dbtable", f"{schema}.{table}").load()
+    if bounds is None:
+        ends = f"SELECT min({partition_column}) AS low, max({partition_column}) AS high FROM {schema}.{table}"
+        low, high = source.option("query", ends).load().first()
+        bounds = (int(low or 0), int(high or 0))
+    return (
+        spark.read.format("jdbc")
+        .options(url=url, dbtable=f"{schema}.{table}", **(properties or {}))
+        .options(
             partitionColumn=partition_column,
             lowerBound=str(bounds[0]),
-            upperBound=str(bounds[1]),
+            upperBound=str(bounds[1] + 1),
             numPartitions=str(partitions),
         )
-    return reader.load()
+        .load()
+    )

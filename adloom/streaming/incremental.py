@@ -104,7 +104,8 @@ def run_content(
 
 def _replace_batch(rows: DataFrame, path: str, by: tuple[str, ...]) -> None:
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", *by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*by)

@@ -88,7 +88,7 @@ _SEGMENT_SQL = r"""string_split(regexp_extract(url, '^https?://[^/?#]+([^?#]*)',
 def urls_join_html(spark, sf_dir):
     joined = dedupe_urls(_urls(spark, sf_dir)).join(dedupe_html(_html(spark, sf_dir)), "id")
     typed = with_ad_type(with_job_type(joined))
-    return typed.select("id", "canonical_url", F.length("html_main").alias("n"), "job_type", "ad_type")
+    return typed.select("id", "canonical_url", F.length("html_main").cast("bigint").alias("n"), "job_type", "ad_type")
 
 
 @query(
@@ -269,6 +269,6 @@ def incremental_content(spark, sf_dir):
     target, rejected = ingest_content(spark, landing, bronze, checkpoint_root=f"{root}/checkpoints")
     assert pages_to_fetch(spark, landing).isEmpty()
     good = spark.read.parquet(target).select(
-        "id", "job_type", F.length("article_content").alias("n"), "y", "m", "occupation", F.lit("").alias("error")
+        "id", "job_type", F.length("article_content").cast("bigint").alias("n"), "y", "m", "occupation", F.lit("").alias("error")
     )
     return union_all([good, spark.read.parquet(rejected).select("id", "job_type", "error")])

@@ -32,7 +32,7 @@ from adloom.operators.serving import (
     search_batch,
     searchable,
 )
-from adloom.operators.tokens import ngrams, ngrams_with_bridges
+from adloom.operators.tokens import ngrams, ngrams_with_bridges, union_all
 from adloom.plans.gold import build_gold, gold_counts
 from adloom.schemas import EXPORT_TABLES
 from adloom.sinks.writers import export_frame
@@ -44,23 +44,27 @@ from driver_queries.text import NGRAMS_SQL, STOPWORDS_SQL, stopwords
 
 
 def document_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return docs.select(
-        F.col("doc_id").alias("id"),
-        F.concat(F.lit("https://ads.example/job/fulltime/"), F.col("doc_id")).alias("canonical_url"),
-        F.concat_ws(" ", F.lit("ad"), "doc_id").alias("heading"),
+    """Every document, and every benchmark item as an ad that has no content yet."""
+    docs = load(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"),
         F.col("lang").alias("location"),
         F.nullif("source", F.lit("src0")).alias("company_name"),
         F.col("n_chars").alias("no_of_positions"),
     )
+    items = load(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("b"), "item_id").alias("id"), F.lit("benchmark").alias("company_name")
+    )
+    return union_all([docs, items]).withColumns(
+        {
+            "canonical_url": F.concat(F.lit("https://ads.example/job/fulltime/"), "id"),
+            "heading": F.concat_ws(" ", F.lit("ad"), "id"),
+        }
+    )
 
 
 def document_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents only: the other ads have no content yet."""
-    docs = load_spread(spark, sf_dir, "documents", "doc_id")
-    labelled = docs.join(load(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    return labelled.select(
-        F.col("doc_id").alias("id"),
+    return load_spread(spark, sf_dir, "documents", "doc_id").select(
+        F.col("doc_id").cast("string").alias("id"),
         F.col("text").alias("article_content"),
         F.col("text").alias("keywords"),
         F.lit("fulltime").alias("job_type"),
@@ -79,16 +83,17 @@ def document_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DOCUMENT_ADS_SQL = r"""
     ads AS (
-        SELECT CAST(d.doc_id AS VARCHAR) AS ad_id, 'https://ads.example/job/fulltime/' || d.doc_id AS canonical_url,
-               'ad ' || d.doc_id AS heading, d.lang AS location, nullif(d.source, 'src0') AS company_name,
-               d.n_chars AS no_of_positions,
+        SELECT m.ad_id, 'https://ads.example/job/fulltime/' || m.ad_id AS canonical_url,
+               'ad ' || m.ad_id AS heading, m.location, m.company_name, m.no_of_positions,
                regexp_replace(regexp_replace(lower(c.text), '[|!?:;./\-%&]', ' ', 'g'), '[\t\n\f\r ]+', ' ', 'g')
                    AS article_content,
                regexp_extract_all(lower(c.text), '\w+') AS keywords,
                CASE WHEN c.doc_id IS NOT NULL THEN 'fulltime' END AS job_type, c.lang AS sektor, c.source AS bransje,
                string_split(lower(c.lang || '/' || c.source), '/') AS functions
-        FROM documents d
-        LEFT JOIN (SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)) c ON c.doc_id = d.doc_id)"""
+        FROM (SELECT CAST(doc_id AS VARCHAR) AS ad_id, lang AS location, nullif(source, 'src0') AS company_name,
+                     n_chars AS no_of_positions FROM documents
+              UNION ALL SELECT 'b' || item_id, NULL, 'benchmark', NULL FROM benchmark) m
+        LEFT JOIN documents c ON CAST(c.doc_id AS VARCHAR) = m.ad_id)"""
 
 # --- ads from parts -----------------------------------------------------------
 

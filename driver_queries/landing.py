@@ -231,7 +231,7 @@ def expand_struct_columns(spark, sf_dir):
 
 @query(
     "props_json_extract",
-    """SELECT event_type, count(*) AS n, sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS k_sum
+    """SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS k_sum
        FROM events GROUP BY event_type""",
 )
 def props_json_extract(spark, sf_dir):

@@ -206,6 +206,40 @@ def test_export_shape(gold):
         export_frame(gold.keywords.withColumn("keyword", F.lit("same")), "keywords")
 
 
+def test_landing_to_gold(spark, tmp_path, stop):
+    """Payloads and pages through bronze to gold, for one month."""
+    import json
+
+    from adloom.plans.bronze import ingest_content, ingest_metadata
+    from adloom.plans.gold import gold_from_bronze, write_gold
+    from adloom.sources.readers import source_path
+    from test_pages import LAYOUT_A
+
+    landing, bronze_root, checkpoints = (str(tmp_path / d) for d in ("landing", "bronze", "cp"))
+    june, may = 1749000000000, 1746500000000
+    docs = [
+        {"id": "1", "timestamp": june, "company_name": "Acme", "canonical_url": "https://h/job/fulltime/1"},
+        {"id": "2", "timestamp": june, "company_name": "Zeta"},
+        {"id": "3", "timestamp": may, "company_name": "Old"},
+    ]
+    folder = tmp_path / "landing" / "job_fulltime" / "ad_metadata"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text(json.dumps({"docs": docs}))
+    ingest_metadata(spark, landing, bronze_root, ["SEARCH_ID_JOB_FULLTIME"], checkpoint_root=checkpoints)
+    urls = spark.createDataFrame([("1", june, "https://h/job/fulltime/1", "0.1")], "id string, timestamp bigint, canonical_url string, occupation string")
+    urls.withColumn("ingeston_ts", F.current_timestamp()).write.parquet(source_path(landing, "ad_urls", "job_fulltime"))
+    pages = spark.createDataFrame([(LAYOUT_A.format(keywords="<section><p>Go, Rust</p></section>"), "1")], "html_main string, id string")
+    pages.withColumn("ingestion_ts", F.current_timestamp()).write.parquet(source_path(landing, "ad_html", "job_fulltime"))
+    ingest_content(spark, landing, bronze_root, checkpoint_root=checkpoints)
+
+    gold = gold_from_bronze(spark, bronze_root, stop, (2025, 6), (2025, 6))
+    ads = {r.ad_id: r for r in gold.ads.collect()}
+    assert set(ads) == {"1", "2"} and ads["1"].sektor == "Privat" and ads["1"].keywords == ["go", "rust"]
+    paths = write_gold(gold, str(tmp_path / "gold"))
+    assert sorted(r.keyword for r in spark.read.parquet(paths["keywords"]).collect()) == ["go", "rust"]
+    assert {r.employer_id for r in spark.read.parquet(paths["ngrams"]).collect()} == {1}
+
+
 def test_snapshots_from_config(spark, tmp_path):
     config = [{"table_fqn": "db.s.one", "path": "/a/"}, {"table_fqn": "db.s.two", "path": "b"}]
     paths = snapshot_tables(spark, config, "jdbc:unused", str(tmp_path), read=lambda s, url, fqn: s.range(len(fqn)))
