@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only when measured to be below both bounds.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 # At most this many keys are treated as heavy. Every key outside the top N holds
 # at most 1/N of the rows, so no partition can be dominated by one of them.
@@ -108,7 +108,9 @@ def lookup_join(
     spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Join to a dimension: broadcast when it is measured to be small, salted
-    shuffle otherwise."""
+    shuffle otherwise. ``facts`` may be read twice (heavy keys are counted first),
+    so pass a table or something as cheap as one.
+    """
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), on, how)
     return salted_join(facts, lookup, on, how, spread_by)
