@@ -44,19 +44,26 @@ def _need(node: Node | None, what: str) -> Node:
     return node
 
 
-def _key(text: str) -> str:
-    return text.replace(":", "").lower().strip()
+def _items(page: Page, node: Node | None) -> list[Node]:
+    return [item for item in page.inside(node, "li") if item.kids] if node else []
+
+
+def header_attributes(page: Page, node: Node | None) -> dict[str, str]:
+    """``li`` items as label -> value: the first child, and the ``span`` (else the
+    last child)."""
+    return {
+        page.text(item.kids[0]).lower().strip(): page.text(page.first(item, "span") or item.kids[-1])
+        for item in _items(page, node)
+    }
 
 
 def list_attributes(page: Page, node: Node | None) -> dict[str, str]:
-    """``li`` items as label -> value: first child, then ``span`` or last child."""
-    found = {}
-    for item in page.inside(node, "li") if node else []:
-        if not item.kids:
-            continue
-        value = page.first(item, "span") or item.kids[-1]
-        found[_key(page.text(item.kids[0]))] = page.text(value)
-    return found
+    """``li`` items as label -> value: the first child without its colon, and the
+    last child."""
+    return {
+        page.text(item.kids[0]).replace(":", "").lower().strip(): page.text(item.kids[-1])
+        for item in _items(page, node)
+    }
 
 
 def pair_attributes(page: Page, node: Node) -> dict[str, str]:
@@ -74,7 +81,7 @@ def _article(page: Page) -> dict:
     header, body, about = sections[1:4]
     line = page.first(sections[4], "p") if len(sections) > 4 else None
     attributes = {"arbeidsgiver": page.text(_need(page.first(header, "p"), "employer"))}
-    attributes |= list_attributes(page, _need(page.first(header, "ul"), "header list"))
+    attributes |= header_attributes(page, _need(page.first(header, "ul"), "header list"))
     about_list = next(iter(page.children(about, "ul")), None)
     attributes |= list_attributes(page, _need(about_list, "about list"))
     return {

@@ -19,9 +19,9 @@ from adloom.plans.bronze import ingest_content, pages_to_fetch
 from adloom.sources.readers import source_path
 
 LAYOUT_A = """<html><body><main><section aria-label="Jobbdetaljer"><section><p>share</p></section>
-<section><h2>Title</h2><p>Employer</p><ul><li>Frist <span>1.1.</span></li><li>Ansettelsesform <span>Fast</span></li></ul></section>
+<section><h2>Title</h2><p>Employer</p><ul><li>Frist <span>1.1.</span></li><li>Ansettelsesform <span>Fast</span> stilling</li><li>Sted: <b>Oslo</b></li></ul></section>
 <section>body&nbsp;text <p> x </p><script>no()</script><p>y&amp;z</p></section>
-<section><p>About us</p><ul><li><b>Sektor:</b> <a>Privat</a></li><li></li></ul></section>{keywords}</section></main></body></html>"""
+<section><p>About us</p><ul><li><span>Sektor:</span> <a>Privat</a></li><li></li></ul></section>{keywords}</section></main></body></html>"""
 LAYOUT_B = """<main><div>nav</div><div><div><h1>Ti&nbsp;tle</h1><dl><dt>Frist</dt><dd>1.1.</dd><dt>Alone</dt></dl></div>
 <section>body<p>more</p></section><div><dl><dt> Sektor </dt><dd>Offentlig</dd></dl></div></div></main>"""
 
@@ -29,7 +29,7 @@ LAYOUT_B = """<main><div>nav</div><div><div><h1>Ti&nbsp;tle</h1><dl><dt>Frist</d
 def test_layout_a():
     record = article_record(LAYOUT_A.format(keywords="<section><p>kw1, kw2</p></section>"), "fulltime")
     assert record["article_header"] == "Title"
-    assert record["attributes"] == {"arbeidsgiver": "Employer", "frist": "1.1.", "ansettelsesform": "Fast", "sektor": "Privat"}
+    assert record["attributes"] == {"arbeidsgiver": "Employer", "frist": "1.1.", "ansettelsesform": "Fast", "sted:": "Oslo", "sektor": "Privat"}
     assert record["article_content"] == "bodytext|x|y&z"
     assert record["about_section_content"] == "About us|Sektor:|Privat"
     assert record["keywords"] == "kw1, kw2" and record["section_count"] == 5
