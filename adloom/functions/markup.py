@@ -15,6 +15,7 @@ VOID = frozenset(
     "basefont bgsound command frame image isindex nextid spacer".split()
 )
 SILENT = frozenset(("script", "style", "template"))
+COMMENT = "[comment]"
 
 
 class Node:
@@ -59,8 +60,12 @@ class Page(HTMLParser):
 
     def handle_comment(self, data):
         self._end_text()
+        self._add(self._open[-1], Node(COMMENT, 0, text=data))
 
-    handle_decl = handle_pi = unknown_decl = handle_comment
+    def handle_decl(self, data):
+        self._end_text()
+
+    handle_pi = unknown_decl = handle_decl
 
     def handle_starttag(self, tag, attrs):
         self._end_text()
@@ -131,6 +136,8 @@ class Page(HTMLParser):
             if isinstance(item, str):
                 raw -= item in ("</script>", "</style>")
                 out.append(item)
+            elif item.name == COMMENT:
+                out.append(f"<!--{item.text}-->")
             elif item.name is None:
                 out.append(item.text if raw else escape(item.text, quote=False))
             else:

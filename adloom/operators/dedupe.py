@@ -26,9 +26,16 @@ def merge_rows(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame
     choice among the values that "any known value of the group" allows."""
     rest = [c for c in df.columns if c not in keys]
 
+    order = [F.col(c).alias(f"_{i}") for i, c in enumerate(order_by)]
+
     def pick(column: str):
-        rank = F.struct(*order_by, F.col(column).alias("_tie"))
-        return F.max_by(column, F.when(F.col(column).isNotNull(), rank)).alias(column)
+        # The value is the last part of what is compared, so it travels once.
+        ranked = F.struct(*order, F.col(column).alias("value"))
+        if "map<" in df.schema[column].dataType.simpleString():  # maps cannot be compared
+            best = F.max_by(ranked, F.when(F.col(column).isNotNull(), F.struct(*order)))
+        else:
+            best = F.max(F.when(F.col(column).isNotNull(), ranked))
+        return best["value"].alias(column)
 
     return df.groupBy(*keys).agg(*[pick(c) for c in rest])
 

@@ -278,7 +278,11 @@ def doc_schema(category: str) -> T.StructType:
     return CATEGORY_SCHEMAS[category]
 
 
-def payload_schema(category: str) -> T.StructType:
-    """One landing file is one JSON object: the documents plus paging facts."""
+def payload_schema(category: str, lean: bool = False) -> T.StructType:
+    """One landing file is one JSON object: the documents plus paging facts. ``lean``
+    leaves out what the lean bronze table drops, so the scan does not parse it."""
+    docs = doc_schema(category)
+    if lean:
+        docs = T.StructType([f for f in docs.fields if f.name not in REDUNDANT_COLUMNS])
     metadata = _struct(paging=_struct(current=L, last=L), title=S)
-    return _struct(docs=_list(doc_schema(category)), metadata=metadata)
+    return _struct(docs=_list(docs), metadata=metadata)

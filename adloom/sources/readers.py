@@ -31,13 +31,13 @@ def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(name))
 
 
-def read_payloads(spark: SparkSession, path: str, category: str) -> DataFrame:
+def read_payloads(spark: SparkSession, path: str, category: str, lean: bool = False) -> DataFrame:
     """Search payloads, plain or gzipped by file name, one JSON object per file.
 
     A gzipped file is one task; the rows after ``explode`` can be spread by the
     rebalancing writer.
     """
-    raw = spark.read.schema(payload_schema(category)).json(path)
+    raw = spark.read.schema(payload_schema(category, lean)).json(path)
     return with_source_file(raw)
 
 

@@ -15,10 +15,15 @@ from adloom.functions.values import epoch_ms, month_of, year_of
 from adloom.schemas import AD_HTML_DDL, payload_schema
 from adloom.sources.readers import with_source_file
 
-# Fixed value: files per micro-batch.
+# Fixed value: files per micro-batch, at least.
 FILES_PER_BATCH = 20
 
 
+def _batch_size(spark: SparkSession) -> int:
+    """Enough files to keep every core of the cluster busy."""
+    return max(FILES_PER_BATCH, 2 * spark.sparkContext.defaultParallelism)
+
+
 def run_metadata(
     spark: SparkSession,
     landing: str,
@@ -26,12 +31,12 @@ def run_metadata(
     checkpoint: str,
     category: str,
     keep_nested: bool = False,
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """New payload files of one category into its bronze table."""
     payloads = with_source_file(
-        spark.readStream.schema(payload_schema(category))
-        .option("maxFilesPerTrigger", files_per_batch)
+        spark.readStream.schema(payload_schema(category, lean=not keep_nested))
+        .option("maxFilesPerTrigger", files_per_batch or _batch_size(spark))
         .option("recursiveFileLookup", True)
         .json(landing)
     )
@@ -73,7 +78,7 @@ def run_content(
     target: str,
     quarantine: str,
     checkpoint: str,
-    files_per_batch: int = FILES_PER_BATCH,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """New page files into the content table; rejected pages into ``quarantine``.
 
@@ -91,7 +96,7 @@ def run_content(
 
     query = (
         spark.readStream.schema(AD_HTML_DDL)
-        .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFilesPerTrigger", files_per_batch or _batch_size(spark))
         .parquet(html_landing)
         .writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(write)

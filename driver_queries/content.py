@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -126,14 +128,6 @@ def html_text(spark, sf_dir):
     return titled.select("page_id", "heading", "title")
 
 
-@query("html_main_subtree")
-def html_main_subtree(spark, sf_dir):
-    """The article as HTML again; pages without `main` give NULL there."""
-    pages = load_spread(spark, sf_dir, "pages", "page_id")
-    cut = main_subtree(main_subtree(pages), tag="article", out="article")
-    return cut.select("page_id", "html_main", "article")
-
-
 _LINK_SQL = r"""regexp_extract_all(regexp_extract(html, '(?s)<ul>(.*?)</ul>', 1), '(?s)<li><a[^>]*>(.*?)</a>', 1)"""
 
 
@@ -161,41 +155,73 @@ def label_cleanup(spark, sf_dir):
 # Spanish ones carry a job type the extractor does not know.
 
 
-def _escaped(text: Column) -> Column:
-    for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        text = F.replace(text, F.lit(raw), F.lit(entity))
-    return text
+# A page is a template whose fields are columns; the SQL renders the same text.
+_ARTICLE = (
+    '<main><h1>Site</h1><section aria-label="Jobbdetaljer"><section><p>share</p></section><section><h2>{title}</h2>'
+    "<p>{source}</p><ul><li>Frist <span>{n_chars}</span></li></ul></section><section><p>{paragraphs}</p><!-- end -->"
+    "</section><section><ul><li><b>Sektor:</b> <a>{lang}</a></li></ul></section><section><p>{source}, {lang}</p>"
+    "</section></section></main>"
+)
+_POSITION = (
+    "<main><div>menu</div><div><div><h1>{title}</h1><dl><dt>Frist</dt><dd>{n_chars}</dd></dl></div><section>"
+    "<p>{paragraphs}</p></section><div><dl><dt>Sektor</dt><dd>{lang}</dd><dt>surplus</dt></dl></div></div></main>"
+)
+
+
+def _render(template: str, fields: dict[str, Column]) -> Column:
+    pieces = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[fields[p].cast("string") if i % 2 else F.lit(p) for i, p in enumerate(pieces)])
+
+
+def _render_sql(template: str) -> str:
+    pieces = re.split(r"\{(\w+)\}", template)
+    return " || ".join(f"CAST({p} AS VARCHAR)" if i % 2 else f"'{p}'" for i, p in enumerate(pieces))
 
 
 def _ad_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_spread(spark, sf_dir, "documents", "doc_id")
-    paragraphs = F.concat(F.lit("<p>"), F.replace(_escaped(F.col("text")), F.lit("\n"), F.lit("</p>\n<p>")), F.lit("</p>"))
-    title = F.concat(F.lit("Ad&nbsp;"), "doc_id")
-    article = F.concat(
-        F.lit('<main><h1>Site</h1><section aria-label="Jobbdetaljer"><section><p>share</p></section><section><h2>'),
-        title, F.lit("</h2><p>"), "source", F.lit("</p><ul><li>Frist <span>"), F.col("n_chars").cast("string"),
-        F.lit("</span></li></ul></section><section>"), paragraphs, F.lit("<!-- end --></section><section><ul><li><b>Sektor:</b> <a>"),
-        "lang", F.lit("</a></li></ul></section><section><p>"), "source", F.lit(", "), "lang",
-        F.lit("</p></section></section></main>"),
-    )
-    position = F.concat(
-        F.lit("<main><div>menu</div><div><div><h1>"), title, F.lit("</h1><dl><dt>Frist</dt><dd>"),
-        F.col("n_chars").cast("string"), F.lit("</dd></dl></div><section>"), paragraphs,
-        F.lit("</section><div><dl><dt>Sektor</dt><dd>"), "lang", F.lit("</dd><dt>surplus</dt></dl></div></div></main>"),
-    )
+    escaped = F.col("text")
+    for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\n", "</p>\n<p>")):
+        escaped = F.replace(escaped, F.lit(raw), F.lit(entity))
+    fields = {c: F.col(c) for c in ("source", "lang", "n_chars")}
+    fields |= {"title": F.concat(F.lit("Ad&nbsp;"), "doc_id"), "paragraphs": escaped}
     job_type = (
         F.when(F.col("lang") == "en", "fulltime").when(F.col("lang") == "fr", "parttime")
         .when(F.col("lang") == "de", "positions").otherwise("hobby")
     )
+    page = F.when(F.col("lang") == "de", _render(_POSITION, fields)).otherwise(_render(_ARTICLE, fields))
     return docs.select(
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.lit("https://ads.example/job/"), job_type, F.lit("/ad?id="), "doc_id").alias("canonical_url"),
-        F.when(F.col("lang") == "de", position).otherwise(article).alias("html_main"),
+        page.alias("html_main"),
         F.col("source").alias("occupation"),
         (F.col("n_chars") * 86_400_000).alias("timestamp"),
     )
 
 
+@query(
+    "html_main_subtree",
+    f"""WITH d AS (
+            SELECT doc_id, lang, source, n_chars, 'Ad' || chr(160) || doc_id AS title,
+                   replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(10),
+                           '</p>' || chr(10) || '<p>') AS paragraphs
+            FROM documents)
+        SELECT CAST(doc_id AS VARCHAR) AS id,
+               CASE WHEN lang = 'de' THEN {_render_sql(_POSITION)} ELSE {_render_sql(_ARTICLE)} END AS html_main,
+               CAST(NULL AS VARCHAR) AS absent
+        FROM d""",
+)
+def html_main_subtree(spark, sf_dir):
+    """The main part of a whole page; a tag that the page lacks gives NULL."""
+    whole = F.concat(
+        F.lit("<!DOCTYPE html><html><head><title>t</title></head><body><nav>n</nav>"),
+        "html_main",
+        F.lit("<footer>f</footer></body></html>"),
+    )
+    pages = _ad_pages(spark, sf_dir).select("id", whole.alias("html"))
+    return main_subtree(main_subtree(pages), tag="aside", out="absent").drop("html")
+
+
 _LAYOUT_SQL = r"""
     SELECT CAST(doc_id AS VARCHAR) AS id,
            CASE lang WHEN 'en' THEN 'fulltime' WHEN 'fr' THEN 'parttime' WHEN 'de' THEN 'positions' ELSE 'hobby' END

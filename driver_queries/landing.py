@@ -159,7 +159,7 @@ def _register_category(category: str) -> None:
     def normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = fresh_path(spark, category)
         _land_payloads(load_spread(spark, sf_dir, "orders", "o_orderkey"), category, path)
-        return _plain(bronze_metadata(read_payloads(spark, path, category), category))
+        return _plain(bronze_metadata(read_payloads(spark, path, category, lean=True), category))
 
 
 for _category in CATEGORY_SCHEMAS:

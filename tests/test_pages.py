@@ -68,7 +68,7 @@ def test_broken_markup_and_main():
     page = Page("<main class=a><p>one<br>two</i><div>three<!-- c -->four</main><p>after</p>")
     main = page.first(page.root, "main")
     assert page.joined(main) == "one|two|three|four"
-    assert page.markup(main) == '<main class="a"><p>one<br/>two<div>threefour</div></p></main>'
+    assert page.markup(main) == '<main class="a"><p>one<br/>two<div>three<!-- c -->four</div></p></main>'
     page = Page("<main><script>if (a < b) {}</script>1 &lt; 2</main>")
     assert page.markup(page.root.kids[0]) == "<main><script>if (a < b) {}</script>1 &lt; 2</main>"
 
