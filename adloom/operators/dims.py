@@ -74,15 +74,15 @@ def clean_metadata(metadata: DataFrame) -> DataFrame:
 def unify_ads(metadata: DataFrame, content: DataFrame) -> DataFrame:
     """Metadata left-joined to content, with parsed keyword and function lists.
 
-    Both inputs hold one row per ad, so both shuffles are already on ``ad_id``.
+    Both inputs hold one row per ad, so both shuffles are already on ``ad_id``. The
+    lists are parsed after the join, which then carries the shorter raw text.
     """
-    parsed = content.withColumns(
+    return metadata.join(content, "ad_id", "left").withColumns(
         {
             "keywords": keyword_list(F.col("keywords")),
             "stillingsfunksjon": slash_list(F.col("stillingsfunksjon")),
         }
     )
-    return metadata.join(parsed, "ad_id", "left")
 
 
 def keyword_dim(ads: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from adloom.functions.values import category_name
-from adloom.sources.readers import read_ad_html, read_ad_urls, source_path
+from adloom.sources.readers import read_ad_html, read_ad_urls, source_path, unless_missing
 from adloom.storage import shared_folder
 from adloom.streaming.incremental import crawl_frontier, run_content, run_metadata
 
@@ -28,23 +30,26 @@ def ingest_metadata(
     keep_nested: bool = False,
     checkpoint_root: str | None = None,
 ) -> dict[str, str]:
-    """Every selected category, new files only; returns the bronze paths. New
-    buildings are one of the categories."""
+    """Every selected category, new files only; returns the bronze paths of those
+    that have landed anything yet. New buildings are one of the categories."""
     checkpoints = checkpoint_root or f"{shared_folder(spark)}/streams"
     targets = {}
     for key in search_keys if search_keys is not None else SEARCH_KEYS:
         if key not in SEARCH_KEYS:
             raise ValueError(f"unknown search key: {key}")
         category = category_name(key)
-        targets[category] = source_path(bronze_root, "ad_metadata", category)
-        run_metadata(
+        target = source_path(bronze_root, "ad_metadata", category)
+        started = partial(
+            run_metadata,
             spark,
             source_path(landing_root, "ad_metadata", category),
-            targets[category],
+            target,
             f"{checkpoints}/{category}-metadata{'-full' if keep_nested else ''}",
             category,
             keep_nested,
         )
+        if unless_missing(started) is not None:
+            targets[category] = target
     return targets
 
 
@@ -62,16 +67,19 @@ def ingest_content(
     category: str = "job_fulltime",
     checkpoint_root: str | None = None,
 ) -> tuple[str, str]:
-    """New pages into the content table; returns its path and the quarantine's."""
+    """New pages, if any, into the content table; returns its path and the
+    quarantine's."""
     checkpoints = checkpoint_root or f"{shared_folder(spark)}/streams"
     target = f"{bronze_root.rstrip('/')}/{category}/ad_content"
     rejected = f"{bronze_root.rstrip('/')}/{category}/ad_content_rejected"
-    run_content(
-        spark,
-        source_path(landing_root, "ad_html", category),
-        read_ad_urls(spark, landing_root, category),
-        target,
-        rejected,
-        f"{checkpoints}/{category}-content",
+    unless_missing(
+        lambda: run_content(
+            spark,
+            source_path(landing_root, "ad_html", category),
+            read_ad_urls(spark, landing_root, category),
+            target,
+            rejected,
+            f"{checkpoints}/{category}-content",
+        )
     )
     return target, rejected

@@ -89,14 +89,21 @@ def read_word_lists(spark: SparkSession, path: str, one_per_line: bool = False)
     return raw.select(F.explode(words).alias("stopword"), "source_file")
 
 
-def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A parquet source that may not exist yet counts as empty."""
+def unless_missing(read):
+    """The result of ``read()``, or None when its path does not exist yet. Any other
+    error is raised."""
     try:
-        return spark.read.schema(ddl).parquet(path)
+        return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ddl)
+        return None
+
+
+def read_or_empty(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """A parquet source that may not exist yet counts as empty."""
+    found = unless_missing(lambda: spark.read.schema(ddl).parquet(path))
+    return spark.createDataFrame([], ddl) if found is None else found
 
 
 def read_ad_urls(spark: SparkSession, root: str, category: str) -> DataFrame:

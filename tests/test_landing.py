@@ -19,7 +19,7 @@ from adloom.operators.flatten import (
     variant_exprs,
 )
 from adloom.operators.normalize import bronze_metadata, normalize_search_key
-from adloom.plans.bronze import SEARCH_KEYS, ingest_metadata
+from adloom.plans.bronze import SEARCH_KEYS, ingest_content, ingest_metadata
 from adloom.schemas import AD_HTML_DDL, CATEGORY_SCHEMAS, doc_schema
 from adloom.sinks.writers import append_partitioned, rebuild, snapshot
 from adloom.sources import readers as R
@@ -132,6 +132,12 @@ def test_incremental_categories(spark, landing, tmp_path):
     assert len(SEARCH_KEYS) == 5
 
 
+def test_nothing_landed_yet(spark, tmp_path):
+    assert ingest_metadata(spark, str(tmp_path), str(tmp_path / "b"), checkpoint_root=str(tmp_path / "cp")) == {}
+    ingest_content(spark, str(tmp_path), str(tmp_path / "b"), checkpoint_root=str(tmp_path / "cp"))
+    assert not (tmp_path / "b").exists()
+
+
 def test_union_by_name_and_partition_pruning(spark, tmp_path):
     path = str(tmp_path / "t")
     append_partitioned(spark.sql("select 1 a, 2024 y, 12 m"), path)
