@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import near_dup, token_ids
+from adloom.llm import near_dup, token_ids, toxicity
 from adloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_token_ids")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.token_file_table(spark, load(spark, sf_dir, "documents"))
+
+
+@query("op6_toxicity")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
