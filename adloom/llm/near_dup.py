@@ -59,8 +59,8 @@ def set_digest(shingles: np.ndarray) -> bytes:
 
 
 def shingled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n, node, keys): set size, digest of the set (null for an empty one) and
-    band keys of every whole text."""
+    """(doc_id, text_hash, n, node, keys): set size, digest of the set (null for an empty
+    one) and band keys of every whole text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,15 +69,17 @@ def shingled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n", "node", "keys"],
+                names=["doc_id", "text_hash", "n", "node", "keys"],
             )
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n long, node binary, keys array<long>"
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text)).mapInArrow(
+        run, "doc_id long, text_hash long, n long, node binary, keys array<long>"
     )
 
 
@@ -115,7 +117,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row.
+    """(doc_id, n_shingles, component_id, kept, text_hash) for every row.
 
     Words, sets and links as in the module text. ``component_id`` is the smallest id
     that can be reached over links, its own included; ``kept`` marks that document.
@@ -188,11 +190,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     names = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = grouped.join(names, "root").select("node", "component_id")
-    joined = rows.select("doc_id", "n", "node").join(named, "node", "left")
+    joined = rows.select("doc_id", "text_hash", "n", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "text_hash",
     )
+
+
+def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with their own columns; of rows with the same
+    id and text, one."""
+    found = materialize(near_duplicates(docs, id_col, text_col), "near-dup")
+    of_row = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
+    ids = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+
+    def marked(rows: DataFrame) -> DataFrame:
+        rows = rows.select(*ids).distinct()
+        return F.broadcast(rows) if fits_broadcast(rows) else rows
+
+    left = docs.join(marked(found.where("not kept")), of_row, "left_anti")
+    repeated = found.where("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    if repeated.isEmpty():
+        return left
+    repeated = marked(repeated)
+    single = left.join(repeated, of_row, "left_anti")
+    return single.unionByName(left.join(repeated, of_row, "left_semi").dropDuplicates([id_col, text_col]))

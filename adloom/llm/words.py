@@ -20,6 +20,8 @@ BLOCK = 1 << 19
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True
+# For words without punctuation: all ASCII but letters and digits parts them.
+PARTS = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -71,10 +73,10 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[start:]
 
 
-def _block_words(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _block_words(pieces: list[bytes], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the pieces, and how many each piece has."""
     buffer = np.frombuffer(b" ".join(pieces) + b" ", np.uint8)
-    space = _IS_SPACE[buffer]
+    space = parts[buffer]
     inside = ~space
     starts = np.flatnonzero(inside & np.concatenate(([True], space[:-1])))
     ends = np.flatnonzero(space & np.concatenate(([False], inside[:-1])))
@@ -83,9 +85,9 @@ def _block_words(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return _hashes(_LOWER[buffer], starts, ends), np.diff(upto, prepend=0)
 
 
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(texts: list[bytes], parts: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts one after the other, and ``bounds``: text ``i`` has
-    the words ``bounds[i]`` to ``bounds[i + 1]``."""
+    the words ``bounds[i]`` to ``bounds[i + 1]``. ``parts`` marks the bytes between words."""
     counts = np.zeros(len(texts), np.int64)
     found: list[np.ndarray] = [np.empty(0, np.uint64)]
     pieces: list[bytes] = []
@@ -93,7 +95,7 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     held = 0
 
     def flush() -> None:
-        hashes, sizes = _block_words(pieces)
+        hashes, sizes = _block_words(pieces, parts)
         found.append(hashes)
         np.add.at(counts, owners, sizes)
         pieces.clear()
@@ -115,7 +117,8 @@ def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 _PLACES = _powers(_BASE, 64)
 
 
-def _in_order(words: np.ndarray, n: int, length: int) -> np.ndarray:
+def in_order(words: np.ndarray, n: int, length: int) -> np.ndarray:
+    """Hashes of ``n`` runs of ``length`` words, each starting one word later."""
     total = np.zeros(n, np.uint64)
     for j in range(length):
         total += words[j : j + n] * _PLACES[j + 1]
@@ -126,13 +129,13 @@ def shingle_sets(texts: list[bytes], size: int = 5) -> list[np.ndarray]:
     """Per text the sorted distinct hashes of its ``size``-word shingles; a text
     with fewer words has one, of all its words; a text without words has none."""
     words, bounds = hashed_words(texts)
-    every = _in_order(words, max(len(words) - size + 1, 0), size)
+    every = in_order(words, max(len(words) - size + 1, 0), size)
     sets = []
     for low, high in zip(bounds[:-1], bounds[1:], strict=True):
         if high - low >= size:
             sets.append(np.unique(every[low : high - size + 1]))
         elif high > low:
-            sets.append(_in_order(words[low:high], 1, int(high - low)))
+            sets.append(in_order(words[low:high], 1, int(high - low)))
         else:
             sets.append(np.empty(0, np.uint64))
     return sets
