@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import decontaminate, mixing, near_dup, token_ids, toxicity
+from adloom.llm import decontaminate, fingerprints, mixing, near_dup, token_ids, toxicity, warc
 from adloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,16 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_warc", warc.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark, load(spark, sf_dir, "pages"))
+
+
+@query("op3_lz_fingerprints")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(load(spark, sf_dir, "documents"))
+
+
 @query("op4_near_dup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(load(spark, sf_dir, "documents"))

@@ -15,6 +15,7 @@ fixed number of numpy operations whatever the width.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -37,6 +38,7 @@ _FOOTER = struct.Struct("<QQQQ4s")
 _HEADER = struct.Struct("<4sII")
 # A word no text is likely to hold; words that do hold it are encoded one by one.
 _MARK = "\x02"
+_ENDS = (b".", b",")
 
 
 def bits_for(vocabulary: int) -> int:
@@ -164,11 +166,15 @@ class WordEncoder:
     """Whole texts through the tokenizer, each distinct word once per batch of work.
 
     The tokenizer splits at white space and drops it, so the ids of a text are
-    those of its words in order. New words go to the library joined by a mark word
-    whose id tells where each ends. The cache is emptied when it is full.
+    those of its words in order. It lower-cases, and takes a stop or comma at the end
+    of a word by itself, so ``Word`` and ``word,`` share the work of ``word``. New
+    words go to the library joined by a mark word whose id tells where each ends. The
+    cache is emptied when it is full.
     """
 
     def __init__(self, path: str, most_words: int = 400_000) -> None:
+        # One thread: Spark runs as many tasks as there are cores.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -181,9 +187,11 @@ class WordEncoder:
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _learn(self, words: set[bytes]) -> None:
+        ended = {w for w in words if w[-1:] in _ENDS and w[-2:-1].isalnum()}
+        stems = {w[:-1] for w in ended} | {w[-1:] for w in ended}
         plain, odd = [], []
-        for word in words:
+        for word in (words - ended) | stems.difference(self.cache):
             (odd if self.mark is None or _MARK.encode() in word else plain).append(word)
         for word in odd:
             self.cache[word] = self._encode(word.decode("utf-8", "replace")).tobytes()
@@ -197,14 +205,17 @@ class WordEncoder:
             for word, end in zip(group, ends, strict=True):
                 self.cache[word] = data[4 * low : 4 * end]
                 low = end + 1
+        for word in ended:
+            self.cache[word] = self.cache[word[:-1]] + self.cache[word[-1:]]
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
-        split = [text.split() for text in texts]
+        # Special tokens are recognised as written.
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
         if len(self.cache) > self.most_words:
             self.cache.clear()
         new = set().union(*split).difference(self.cache)
         if new:
-            self._learn(list(new))
+            self._learn(new)
         of = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(of, words)), np.uint32) for words in split]
 
@@ -274,7 +285,7 @@ def read_token_ids(manifest: DataFrame, digest=None, digest_type: str = "ids arr
     documents before it over all files."""
     first = F.coalesce(F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     # One narrow row per file.
-    files = manifest.withColumn("first", first).select("path", "first").repartition("path")
+    files = manifest.withColumn("first", first).select("path", "first").repartition(max(1, manifest.count()), "path")
     digest = digest or (lambda ids: ids.tolist())
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
     names = digest_type.split()[0]
