@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adloom.llm import decontaminate, fingerprints, mixing, near_dup, token_ids, toxicity, warc
+from adloom.llm import (
+    decontaminate,
+    fingerprints,
+    licences,
+    mixing,
+    near_dup,
+    piece_counts,
+    secrets,
+    token_ids,
+    toxicity,
+    warc,
+)
 from adloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +39,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_licences", licences.oracle())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(licences.laid_out(load(spark, sf_dir, "documents")))
+
+
 @query("op2_warc", warc.ORACLE)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(spark, load(spark, sf_dir, "pages"))
@@ -54,6 +70,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
 
 
+@query("op7_piece_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_counts.piece_counts(load(spark, sf_dir, "documents"))
+
+
 @query("op8_decontaminate")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
@@ -64,6 +85,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(load(spark, sf_dir, "documents"))
 
 
+@query("op10_secrets")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(load(spark, sf_dir, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
