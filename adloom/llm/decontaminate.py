@@ -29,7 +29,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.5, 0.5
 RUN = 5
-BLOCK_ITEMS = 16
+BLOCK_ITEMS = 4
 # Words of items in one broadcast index; larger benchmarks are split into several.
 SHARD_WORDS = 2_000_000
 LEAST_PASSAGE = 64
@@ -135,12 +135,16 @@ def _word_lists(texts: list[str]) -> list[np.ndarray]:
     return [words[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _expand(starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all postings of ``keys``, and which key each belongs to."""
-    sizes = starts[keys + 1] - starts[keys]
-    owner = np.repeat(np.arange(len(keys)), sizes)
-    first = np.repeat(starts[keys] - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes)
-    return first + np.arange(len(owner)), owner
+def _ranges(lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of the ranges, one range after the other, and whose each is."""
+    sizes = highs - lows
+    owner = np.repeat(np.arange(len(lows)), sizes)
+    shift = np.repeat(lows - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) if len(lows) else lows
+    return shift + np.arange(len(owner)), owner
+
+
+def _postings(starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return _ranges(starts[keys], starts[keys + 1])
 
 
 class Searcher:
@@ -174,7 +178,7 @@ class Searcher:
         half = first_half[text] + (at - bounds[text]) // index.passage
         pivot = index.essential[term]
         key = np.unique(half[pivot] * len(index.terms) + term[pivot])
-        posting, owner = _expand(index.block_starts, key % len(index.terms))
+        posting, owner = _postings(index.block_starts, key % len(index.terms))
         where = (key // len(index.terms))[owner] * len(index.rest) + index.blocks[posting]
         cells, back = np.unique(where, return_inverse=True)
         bound = np.bincount(back, index.block_weights[posting], len(cells))
@@ -185,19 +189,29 @@ class Searcher:
         opened, back = np.unique(passage, return_inverse=True)
         upper = np.bincount(back, np.concatenate((bound, bound[closes])), len(opened))
         reachable = upper + index.rest[opened % len(index.rest)] >= THRESHOLD - 1e-9
+        opened = opened[reachable]
+        # All terms of the passages opened, against the items of the blocks opened there.
+        starts, back = np.unique(opened // len(index.rest), return_inverse=True)
+        allowed = np.zeros((len(starts), len(index.rest)), bool)
+        allowed[back, opened % len(index.rest)] = True
+        docs = np.searchsorted(first_half, starts, "right") - 1
+        lows = bounds[docs] + (starts - first_half[docs]) * index.passage
+        highs = np.minimum(bounds[docs + 1], lows + 2 * index.passage)
+        hits, owner = _ranges(np.searchsorted(at, lows), np.searchsorted(at, highs))
+        key = np.unique(owner * len(index.terms) + term[hits])
+        posting, back = _postings(index.item_starts, key % len(index.terms))
+        where = (key // len(index.terms))[back]
+        items = index.items[posting]
+        kept = allowed[where, items // BLOCK_ITEMS]
+        pairs, back = np.unique(where[kept] * len(index.item_ids) + items[kept], return_inverse=True)
+        scores = np.bincount(back, index.weights[posting[kept]], len(pairs))
+        found = np.flatnonzero(scores >= THRESHOLD - 1e-9)
         best: dict[tuple[int, int], tuple[float, int, int]] = {}
-        for start in np.unique(opened[reachable] // len(index.rest)):
-            blocks = opened[reachable & (opened // len(index.rest) == start)] % len(index.rest)
-            doc = int(np.searchsorted(first_half, start, "right")) - 1
-            low = int(bounds[doc] + (start - first_half[doc]) * index.passage)
-            high = int(min(bounds[doc + 1], low + 2 * index.passage))
-            inside = np.unique(term[np.searchsorted(at, low) : np.searchsorted(at, high)])
-            posting, _ = _expand(index.item_starts, inside)
-            chosen = posting[np.isin(index.items[posting] // BLOCK_ITEMS, blocks)]
-            scores = np.bincount(index.items[chosen], index.weights[chosen], len(index.item_ids))
-            for item in np.flatnonzero(scores >= THRESHOLD - 1e-9):
-                if (doc, int(item)) not in best or scores[item] > best[doc, int(item)][0] + 1e-12:
-                    best[doc, int(item)] = (float(scores[item]), low, high)
+        for pair, score in zip(pairs[found].tolist(), scores[found].tolist(), strict=True):
+            start, item = divmod(pair, len(index.item_ids))
+            doc = int(docs[start])
+            if (doc, item) not in best or score > best[doc, item][0] + 1e-12:
+                best[doc, item] = (score, int(lows[start]), int(highs[start]))
         for (doc, item), (score, low, high) in sorted(best.items()):
             yield doc, item, score, *self._overlap(words[low:high], item)
 
