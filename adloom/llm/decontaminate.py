@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adloom.llm.words import PARTS, binary_texts, hashed_words, in_order
+from adloom.llm.words import PARTS, binary_texts, hashed_words, in_order, ranges
 from adloom.operators.joins import fits_broadcast
 from adloom.storage import materialize
 
@@ -135,16 +135,8 @@ def _word_lists(texts: list[str]) -> list[np.ndarray]:
     return [words[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _ranges(lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All positions of the ranges, one range after the other, and whose each is."""
-    sizes = highs - lows
-    owner = np.repeat(np.arange(len(lows)), sizes)
-    shift = np.repeat(lows - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) if len(lows) else lows
-    return shift + np.arange(len(owner)), owner
-
-
 def _postings(starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return _ranges(starts[keys], starts[keys + 1])
+    return ranges(starts[keys], starts[keys + 1])
 
 
 class Searcher:
@@ -197,7 +189,7 @@ class Searcher:
         docs = np.searchsorted(first_half, starts, "right") - 1
         lows = bounds[docs] + (starts - first_half[docs]) * index.passage
         highs = np.minimum(bounds[docs + 1], lows + 2 * index.passage)
-        hits, owner = _ranges(np.searchsorted(at, lows), np.searchsorted(at, highs))
+        hits, owner = ranges(np.searchsorted(at, lows), np.searchsorted(at, highs))
         key = np.unique(owner * len(index.terms) + term[hits])
         posting, back = _postings(index.item_starts, key % len(index.terms))
         where = (key // len(index.terms))[back]

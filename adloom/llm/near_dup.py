@@ -16,16 +16,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from adloom.llm.components import star_components
-from adloom.llm.words import binary_texts, mix, shingle_sets
+from adloom.llm.words import binary_texts, mix, ranges, shingle_sets
 from adloom.operators.joins import fits_broadcast
 from adloom.storage import materialize
 
 WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 40, 4
+# Shingles of the sets that are compared together.
+BLOCK_SHINGLES = 16_000
 # Shingles whose hashes are evaluated at once: bounds the work array to 80 x 4096.
 _CHUNK = 4096
 _RANDOM = np.random.RandomState(75)
@@ -83,37 +84,96 @@ def shingled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) for the nodes of ``wanted`` (node, doc_id), from whole texts."""
+def set_blocks(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(block, nodes, sizes, shingles): the full sets of ``wanted`` (node, doc_id, block),
+    recomputed from whole texts, those of a block one after the other."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            nodes, blocks = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             sets = shingle_sets(binary_texts(batch.column(1)), WORDS)
-            rows = [(d, s.view(np.int64)) for d, s in zip(batch.column(0).to_pylist(), sets, strict=True) if set_digest(s) == d]
+            rows = [(n, b, s.view(np.int64)) for n, b, s in zip(nodes, blocks, sets, strict=True) if set_digest(s) == n]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.list_(pa.int64()))],
-                names=["node", "shingles"],
+                [
+                    pa.array([r[0] for r in rows], pa.binary()),
+                    pa.array([r[1] for r in rows], pa.int64()),
+                    pa.array([r[2] for r in rows], pa.list_(pa.int64())),
+                ],
+                names=["node", "block", "shingles"],
             )
 
-    wanted = wanted.select("node", F.col("doc_id").alias("_doc"))
+    wanted = wanted.select("node", "block", F.col("doc_id").alias("_doc"))
     if fits_broadcast(wanted):
         wanted = F.broadcast(wanted)
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    found = texts.join(wanted, F.col("_id").eqNullSafe(F.col("_doc"))).select("node", "_text")
-    return found.mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
+    found = texts.join(wanted, F.col("_id").eqNullSafe(F.col("_doc"))).select("node", "_text", "block")
+    sets = found.mapInArrow(run, "node binary, block long, shingles array<long>")
+    # Rows that repeat an id give a node again. A block holds about BLOCK_SHINGLES
+    # shingles, or one larger set.
+    one = sets.groupBy("block", "node").agg(F.first("shingles").alias("shingles"))
+    blocks = one.groupBy("block").agg(F.collect_list(F.struct("node", "shingles")).alias("m"))
+    return blocks.select(
+        "block",
+        F.col("m.node").alias("nodes"),
+        F.transform("m.shingles", F.size).alias("sizes"),
+        F.flatten("m.shingles").alias("shingles"),
+    )
 
 
-def _alike(size_a: str, size_b: str) -> Column:
-    return F.expr(f"100 * least({size_a}, {size_b}) >= {PERCENT} * greatest({size_a}, {size_b})")
+def _alike_pairs(a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the sets of ``a`` and of ``b`` with 100 * intersection >= 75 * union.
+
+    Sets are written one after the other. Shingles that both sides have meet through
+    their positions in sorted order; nothing is estimated.
+    """
+    a_owner, b_owner = np.repeat(np.arange(len(a_sizes)), a_sizes), np.repeat(np.arange(len(b_sizes)), b_sizes)
+    order = np.argsort(b, kind="stable")
+    b, b_owner = b[order], b_owner[order]
+    hits, owner = ranges(np.searchsorted(b, a, "left"), np.searchsorted(b, a, "right"))
+    common = np.bincount(a_owner[owner] * len(b_sizes) + b_owner[hits], minlength=len(a_sizes) * len(b_sizes))
+    common = common.reshape(len(a_sizes), len(b_sizes))
+    union = a_sizes[:, None] + b_sizes[None, :] - common
+    return np.nonzero(100 * common >= PERCENT * union)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= 75 * union."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - common
-    return pairs.join(left, "a").join(right, "b").where(100 * common >= PERCENT * union).select("a", "b")
+def _forest(names: list[bytes], first: list[int], second: list[int]) -> Iterator[tuple[bytes, bytes]]:
+    """Of the links given, those that join something not joined before."""
+    parent = {name: name for name in names}
+
+    def find(x: bytes) -> bytes:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for i, j in zip(first, second, strict=True):
+        x, y = find(names[i]), find(names[j])
+        if x != y:
+            parent[x] = y
+            yield names[i], names[j]
+
+
+def confirmed(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Links (a, b) between the two blocks of each pair (a, b), on full sets; a link that
+    would close a circle among those of a pair of blocks is left out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links: list[tuple[bytes, bytes]] = []
+            for row in range(batch.num_rows):
+                a_names, a_sizes, a, b_names, b_sizes, b = (column[row].values for column in batch.columns)
+                first, second = _alike_pairs(*(np.asarray(x) for x in (a, a_sizes, b, b_sizes)))
+                links += _forest(a_names.to_pylist() + b_names.to_pylist(), first.tolist(), (second + len(a_names)).tolist())
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    columns = ["nodes", "sizes", "shingles"]
+    left = blocks.select(F.col("block").alias("a"), *(F.col(c).alias(f"a_{c}") for c in columns))
+    right = blocks.select(F.col("block").alias("b"), *(F.col(c).alias(f"b_{c}") for c in columns))
+    both = pairs.join(left, "a").join(right, "b").drop("a", "b")
+    return both.mapInArrow(run, "a binary, b binary")
+
+
+def _ordered(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -127,12 +187,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is named by the smallest known id, or by null when there is none, and it is kept
     only in that case. No rows give no rows; other columns are ignored.
 
-    Equal sets are one node from the start. Within a band bucket no two members are
-    paired as such: all are compared with the bucket's hub, the member with the most
-    bucket mates over all bands (the text others were copied from). Only buckets that
-    still hold several components go on, without that hub and with twice as many hubs
-    as before, until none is left; every candidate pair is then either confirmed,
-    refused, or already inside one component.
+    Equal sets are one node from the start. Nodes that share their fullest band bucket
+    stand in blocks of bounded size. Members of a bucket are not paired with each
+    other: each member's block meets the block of the bucket's hub, the member with the
+    most bucket mates over all bands (the text others were copied from), and every link
+    between the two blocks is found. Only buckets that still hold several components
+    go on; there the blocks of different components meet, so that every candidate pair
+    is confirmed, refused, or inside one component.
     """
     rows = materialize(shingled(docs, id_col, text_col), "shingled")
     nodes = (
@@ -146,42 +207,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         shared = F.broadcast(shared)
     placed = materialize(placed.join(shared, "key"), "bucketed")
 
-    degree = placed.groupBy("node").agg(F.sum("mates").alias("degree"), F.first("doc_id").alias("doc_id"))
-    sets = materialize(full_sets(docs, degree.select("node", "doc_id"), id_col, text_col), "sets")
-    members = placed.join(degree.select("node", "degree"), "node").select(
-        "key", "node", "n", "degree", F.col("node").alias("root")
+    fullest = placed.groupBy("node").agg(
+        F.sum("mates").alias("degree"),
+        F.max(F.struct("mates", "key"))["key"].alias("anchor"),
+        F.first("doc_id").alias("doc_id"),
+        F.first("n").alias("n"),
     )
-    links: DataFrame | None = None
-    roots: DataFrame | None = None
-    hubs_now, first = 1, True
-    while first or not members.isEmpty():
-        by_rank = Window.partitionBy("key").orderBy(F.desc("degree"), "node")
-        if first:
-            # One hub for each bucket: a maximum, combined before the shuffle.
-            top = members.groupBy("key").agg(F.max(F.struct("degree", "node", "n")).alias("h"))
-            hubs = top.select("key", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.node").alias("hub_root"))
-        else:
-            hubs = (
-                members.withColumn("r", F.row_number().over(by_rank))
-                .where(F.col("r") <= hubs_now)
-                .select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"), F.col("root").alias("hub_root"))
-            )
-        hubs = materialize(hubs, "hubs")
-        pairs = (
-            members.join(hubs, "key")
-            .where((F.col("root") != F.col("hub_root")) & (F.col("node") != F.col("hub")) & _alike("n", "hub_n"))
-            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-            .distinct()
-        )
-        new = confirmed(pairs, sets)
-        links = materialize(new if links is None else links.union(new), "links")
-        roots = materialize(star_components(links), "roots")
-        left = members.join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti").drop("root")
-        left = left.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        left = materialize(left.select("key", "node", "n", "degree", "root"), "members")
-        open_ = left.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-        members = materialize(left.join(open_, "key", "left_semi"), "members")
-        hubs_now, first = (1 if first else hubs_now * 2), False
+    fullest = materialize(fullest, "anchors")
+    cells = fullest.groupBy("anchor").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("cells"))
+    cell = F.pmod(F.xxhash64("node"), F.col("cells"))
+    blocked = materialize(
+        fullest.join(cells, "anchor").select("node", "doc_id", "degree", F.xxhash64("anchor", cell).alias("block")), "blocked"
+    )
+    blocks = materialize(set_blocks(docs, blocked, id_col, text_col), "set-blocks")
+
+    members = materialize(placed.select("key", "node").join(blocked.select("node", "degree", "block"), "node"), "members")
+    hubs = members.groupBy("key").agg(F.max(F.struct("degree", "node", "block"))["block"].alias("hub"))
+    tried = members.select("key", "block").distinct().join(hubs, "key").select(*_ordered("block", "hub")).distinct()
+    tried = materialize(tried, "block-pairs")
+    links = materialize(confirmed(tried, blocks), "links")
+    roots = materialize(star_components(links), "roots")
+
+    members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    parts = materialize(members.select("key", "block", "root").distinct(), "parts")
+    several = parts.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    parts = materialize(parts.join(several, "key", "left_semi"), "open-parts")
+    others = parts.select("key", F.col("block").alias("other"), F.col("root").alias("other_root"))
+    open_pairs = parts.join(others, "key").where("root <> other_root and block <= other").select(*_ordered("block", "other"))
+    more = confirmed(open_pairs.distinct().join(tried, ["a", "b"], "left_anti"), blocks)
+    links = materialize(more.union(links), "links")
+    roots = materialize(star_components(links), "roots")
 
     grouped = (
         nodes.select("node", "doc_id")

@@ -141,6 +141,14 @@ def shingle_sets(texts: list[bytes], size: int = 5) -> list[np.ndarray]:
     return sets
 
 
+def ranges(lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All positions of the ranges, one range after the other, and whose each is."""
+    sizes = highs - lows
+    owner = np.repeat(np.arange(len(lows)), sizes)
+    shift = np.repeat(lows - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) if len(lows) else lows
+    return shift + np.arange(len(owner)), owner
+
+
 def binary_texts(column) -> list[bytes]:
     """An Arrow string column as bytes; null is empty."""
     import pyarrow as pa
