@@ -229,11 +229,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = materialize(star_components(links), "roots")
 
     members = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    parts = materialize(members.select("key", "block", "root").distinct(), "parts")
-    several = parts.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    parts = materialize(members.groupBy("key", "block").agg(F.min("root").alias("lo"), F.max("root").alias("hi")), "parts")
+    several = parts.groupBy("key").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("key")
     parts = materialize(parts.join(several, "key", "left_semi"), "open-parts")
-    others = parts.select("key", F.col("block").alias("other"), F.col("root").alias("other_root"))
-    open_pairs = parts.join(others, "key").where("root <> other_root and block <= other").select(*_ordered("block", "other"))
+    others = parts.select("key", F.col("block").alias("other"), F.col("lo").alias("other_lo"), F.col("hi").alias("other_hi"))
+    # Blocks of one and the same component have nothing left to find in this bucket.
+    differ = "block <= other and not (lo = hi and other_lo = other_hi and lo = other_lo)"
+    open_pairs = parts.join(others, "key").where(differ).select(*_ordered("block", "other"))
     more = confirmed(open_pairs.distinct().join(tried, ["a", "b"], "left_anti"), blocks)
     links = materialize(more.union(links), "links")
     roots = materialize(star_components(links), "roots")
