@@ -39,13 +39,12 @@ TEMPLATES = {
     "Proprietary": "All rights reserved.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
-# Words that say little about a line whatever their weight among the templates, the
-# commonest first.
+# Function words take no part in the vectors.
 COMMON = (
-    "the of with to in is it for and are or that by not this a an as be any all from on use v work under form terms but met version into code"
+    "a all an and any are as at be but by for from has have if in is it its no not of on or so that the this to was with"
 ).split()
 _WORD = "[a-z0-9]+(?:\\.[0-9]+)?"
-LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)(\.[a-z]+)?$"
+LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)(\.[a-z]+|-[0-9]+)?$"
 
 
 def _template_words() -> dict[str, dict[str, int]]:
@@ -53,7 +52,8 @@ def _template_words() -> dict[str, dict[str, int]]:
     for name, text in TEMPLATES.items():
         counts = found.setdefault(name, {})
         for word in re.findall(_WORD, text.lower()):
-            counts[word] = counts.get(word, 0) + 1
+            if word not in COMMON:
+                counts[word] = counts.get(word, 0) + 1
     return found
 
 
@@ -72,7 +72,7 @@ def _model() -> tuple[list[tuple[str, str, float]], dict[str, float], float, lis
         weights = sorted(((tf * idf[w] / length, w) for w, tf in counts.items()))
         rows += [(name, w, weight) for weight, w in weights]
         held = 0.0
-        for weight, word in sorted(weights, key=lambda x: (COMMON.index(x[1]) if x[1] in COMMON else len(COMMON), x)):
+        for weight, word in weights:
             # Words that together stay below the threshold need not be looked for.
             if held + weight**2 < THRESHOLD**2 - 1e-9:
                 held += weight**2
@@ -95,6 +95,7 @@ def notice_scores(notices: DataFrame, spark: SparkSession) -> DataFrame:
     words = notices.select(
         "notice", F.explode(F.regexp_extract_all(F.lower("notice"), F.lit(f"({_WORD})"), F.lit(1))).alias("word")
     )
+    words = words.where(~F.col("word").isin(COMMON))
     # A whole licence text has many words: counted per task before the shuffle.
     counted = words.groupBy("notice", "word").agg(F.count(F.lit(1)).alias("tf"))
     weighed = counted.join(F.broadcast(vectors), "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
@@ -180,28 +181,29 @@ def scan(files: DataFrame) -> DataFrame:
     )
 
 
-FILES_PER_DIRECTORY = 50
+# Ids per directory, and which of them are licence files of the directory, of the
+# language above it, and of the tree.
+PER_DIRECTORY, PER_LANGUAGE, PER_TREE = 10, 50, 200
 
 
 def laid_out(docs: DataFrame) -> DataFrame:
     """``documents`` has no paths: every source is a tree, every language a directory of
-    it, and each FILES_PER_DIRECTORY ids a directory below. The first document of a
-    directory is its licence file."""
-    folder = F.floor(F.col("doc_id") / FILES_PER_DIRECTORY).cast("string")
-    rows = docs.select(
-        "doc_id", "text", F.coalesce("source", F.lit("none")).alias("_s"), F.coalesce("lang", F.lit("none")).alias("_l"), folder.alias("_f")
-    )
-    for name, keys in (("_ms", ["_s"]), ("_ml", ["_s", "_l"]), ("_mf", ["_s", "_l", "_f"])):
-        least = rows.groupBy(*keys).agg(F.min("doc_id").alias(name))
-        rows = rows.join(F.broadcast(least), keys, "left") if fits_broadcast(least) else rows.join(least, keys, "left")
-    is_first = lambda name: F.col("doc_id") == F.col(name)
+    it, and each PER_DIRECTORY ids a directory below. Ids that the numbers above divide
+    are licence files. A row without an id has no path."""
+    tree, lang, number = F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")), F.col("doc_id").cast("string")
+    folder = F.floor(F.col("doc_id") / PER_DIRECTORY).cast("string")
+    licence = F.concat(F.lit("LICENSE-"), number)
+
+    def divides(n: int) -> Column:
+        return F.col("doc_id") % n == 0
+
     path = (
-        F.when(is_first("_ms"), F.concat_ws("/", "_s", F.lit("LICENSE")))
-        .when(is_first("_ml"), F.concat_ws("/", "_s", "_l", F.lit("LICENSE")))
-        .when(is_first("_mf"), F.concat_ws("/", "_s", "_l", "_f", F.lit("LICENSE")))
-        .otherwise(F.concat_ws("/", "_s", "_l", "_f", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))))
+        F.when(divides(PER_TREE), F.concat_ws("/", tree, licence))
+        .when(divides(PER_LANGUAGE), F.concat_ws("/", tree, lang, licence))
+        .when(divides(PER_DIRECTORY), F.concat_ws("/", tree, lang, folder, licence))
+        .when(number.isNotNull(), F.concat_ws("/", tree, lang, folder, F.concat(number, F.lit(".txt"))))
     )
-    return rows.select("doc_id", path.alias("path"), "text")
+    return docs.select("doc_id", path.alias("path"), "text")
 
 
 def oracle() -> str:
@@ -213,21 +215,21 @@ WITH vectors(template, word, idf, unit) AS (VALUES {vectors}),
 idfs AS (SELECT DISTINCT word, idf FROM vectors),
 named AS (
   SELECT doc_id, text, coalesce(source, 'none') AS s, coalesce(lang, 'none') AS l,
-         CAST(CAST(floor(doc_id / {FILES_PER_DIRECTORY}) AS BIGINT) AS VARCHAR) AS f FROM documents),
+         CAST(CAST(floor(doc_id / {PER_DIRECTORY}) AS BIGINT) AS VARCHAR) AS f FROM documents),
 files AS (
   SELECT doc_id, text,
-         CASE WHEN doc_id = min(doc_id) OVER (PARTITION BY s) THEN s || '/LICENSE'
-              WHEN doc_id = min(doc_id) OVER (PARTITION BY s, l) THEN s || '/' || l || '/LICENSE'
-              WHEN doc_id = min(doc_id) OVER (PARTITION BY s, l, f) THEN s || '/' || l || '/' || f || '/LICENSE'
+         CASE WHEN doc_id % {PER_TREE} = 0 THEN s || '/LICENSE-' || doc_id
+              WHEN doc_id % {PER_LANGUAGE} = 0 THEN s || '/' || l || '/LICENSE-' || doc_id
+              WHEN doc_id % {PER_DIRECTORY} = 0 THEN s || '/' || l || '/' || f || '/LICENSE-' || doc_id
               ELSE s || '/' || l || '/' || f || '/' || doc_id || '.txt' END AS path
   FROM named),
 units AS (
   SELECT doc_id, path, unnest(string_split(text, chr(10))) AS notice FROM files
-  UNION SELECT doc_id, path, text FROM files WHERE path LIKE '%/LICENSE'),
+  UNION SELECT doc_id, path, text FROM files WHERE path LIKE '%/LICENSE-%'),
 words AS (
   SELECT notice, word, count(*) AS tf
   FROM (SELECT notice, unnest(regexp_extract_all(lower(notice), '{_WORD}')) AS word FROM (SELECT DISTINCT notice FROM units))
-  GROUP BY ALL),
+  WHERE word NOT IN ({", ".join(f"'{w}'" for w in COMMON)}) GROUP BY ALL),
 weighed AS (SELECT notice, word, tf * coalesce(idf, {other!r}::DOUBLE) AS w FROM words LEFT JOIN idfs USING (word)),
 lengths AS (SELECT notice, sqrt(sum(w * w)) AS length FROM weighed GROUP BY notice),
 alike AS (
@@ -241,7 +243,7 @@ own AS (
   QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY similarity DESC, licence) = 1),
 placed AS (SELECT doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir FROM files),
 per_dir AS (
-  SELECT dir AS licence_dir, licence AS dir_licence FROM own JOIN placed USING (doc_id, path) WHERE path LIKE '%/LICENSE'
+  SELECT dir AS licence_dir, licence AS dir_licence FROM own JOIN placed USING (doc_id, path) WHERE path LIKE '%/LICENSE-%'
   QUALIFY row_number() OVER (PARTITION BY dir ORDER BY similarity DESC, licence) = 1),
 nearest AS (
   SELECT dir, licence_dir, dir_licence FROM (SELECT DISTINCT dir FROM placed) JOIN per_dir
