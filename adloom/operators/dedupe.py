@@ -40,15 +40,23 @@ def merge_rows(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame
     return df.groupBy(*keys).agg(*[pick(c) for c in rest])
 
 
-def dedupe_html(html: DataFrame) -> DataFrame:
-    """One row per page version; rows without id or HTML are dropped."""
+def page_versions(html: DataFrame) -> DataFrame:
+    """One row per page version, named by ``html_hash``; rows without id or HTML are
+    dropped. Rows are dealt by id, which a join on the id uses again, and grouped by
+    the hash, not by the page."""
+    known = html.where(F.col("html_main").isNotNull() & F.col("id").isNotNull())
     return (
-        html.where(F.col("html_main").isNotNull() & F.col("id").isNotNull())
-        .groupBy("html_main", "id")
-        .agg(F.min("ingestion_ts").alias("ingestion_ts"))
+        known.withColumn("html_hash", F.sha2("html_main", 256))
+        .repartition("id")
+        .groupBy("id", "html_hash")
+        .agg(F.first("html_main").alias("html_main"), F.min("ingestion_ts").alias("ingestion_ts"))
     )
 
 
+def dedupe_html(html: DataFrame) -> DataFrame:
+    return page_versions(html).select("html_main", "id", "ingestion_ts")
+
+
 def dedupe_urls(urls: DataFrame) -> DataFrame:
     """One row per ad and URL: earliest times and the first known occupation."""
     first_seen = F.when(F.col("occupation").isNotNull(), F.struct("ingeston_ts", "occupation"))

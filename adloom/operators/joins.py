@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adloom.storage import materialize
+
 # A side is broadcast only when measured to be below both bounds.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# At most this many keys are treated as heavy. Every key outside the top N holds
-# at most 1/N of the rows, so no partition can be dominated by one of them.
-HEAVY_KEYS = 1000
 # A heavy key is split into cells of about this many rows.
 ROWS_PER_CELL = 500_000
-MAX_CELLS = 4096
+# Rows whose key is NULL match nothing; they are spread over so many cells.
+NULL_CELLS = 4096
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -25,26 +25,20 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 
 def heavy_keys(df: DataFrame, on: list[str], rows_per_cell: int = ROWS_PER_CELL) -> DataFrame | None:
-    """The heaviest keys and how many cells to split each into, or None.
+    """Every key with more than ``rows_per_cell`` rows and how many cells to split it
+    into, or None when there is none.
 
-    Counting combines on the map side, and only HEAVY_KEYS rows reach the driver.
+    Counting combines on the map side. There are at most rows / rows_per_cell such
+    keys; they stay a table, broadcast only when measured to be small.
     """
     known = df
     for column in on:
         known = known.where(F.col(column).isNotNull())
-    top = (
-        known.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows_per_cell)
-        .orderBy(F.desc("_n"), *on)
-        .limit(HEAVY_KEYS)
-        .withColumn("_cells", F.least(F.ceil(F.col("_n") / rows_per_cell), F.lit(MAX_CELLS)).cast("int"))
-        .select(*on, "_cells")
-    )
-    rows = top.collect()
-    if not rows:
+    counts = known.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_cell)
+    heavy = materialize(counts.select(*on, F.ceil(F.col("_n") / rows_per_cell).cast("int").alias("_cells")), "heavy-keys")
+    if heavy.isEmpty():
         return None
-    return df.sparkSession.createDataFrame(rows, top.schema)
+    return F.broadcast(heavy) if fits_broadcast(heavy) else heavy
 
 
 def salted_join(
@@ -74,7 +68,6 @@ def salted_join(
         # Computed, not a literal: a literal would be folded out of the join keys.
         left, right = facts, lookup.withColumn("_cell", F.pmod(F.xxhash64(*on), F.lit(1)).cast("int"))
     else:
-        heavy = F.broadcast(heavy)
         cells = F.coalesce(F.col("_cells"), F.lit(1))
         left = facts.join(heavy, on, "left")
         right = (
@@ -84,7 +77,7 @@ def salted_join(
         )
     left = left.withColumn(
         "_cell",
-        F.when(null_key, F.pmod(spread, F.lit(MAX_CELLS))).otherwise(F.pmod(spread, cells)).cast("int"),
+        F.when(null_key, F.pmod(spread, F.lit(NULL_CELLS))).otherwise(F.pmod(spread, cells)).cast("int"),
     ).drop("_cells")
     keys = [*on, "_cell"]
     if condition is None:

@@ -123,6 +123,23 @@ def article_record(html: str | None, job_type: str | None) -> dict:
         raise LayoutError(f"unsupported job type: {job_type}")
     except LayoutError as reason:
         return {"error": str(reason)}
+    except (AssertionError, ValueError, RecursionError) as fault:  # markup the parser refuses
+        return {"error": unreadable(fault)}
+
+
+def unreadable(fault: Exception) -> str:
+    return f"unreadable page: {type(fault).__name__}"
+
+
+def _from_page(html: str | None, read):
+    """``read(page)``; None for no page and for one that cannot be parsed, which costs
+    this value and not the job."""
+    if html is None:
+        return None
+    try:
+        return read(Page(html))
+    except (AssertionError, ValueError, RecursionError):
+        return None
 
 
 _FIELDS = ["article_header", "article_content", "about_section_content", "keywords"]
@@ -162,7 +179,26 @@ def accepted(df: DataFrame) -> DataFrame:
 
 
 def quarantined(df: DataFrame) -> DataFrame:
-    return df.where(F.col("error").isNotNull()).select("id", "canonical_url", "job_type", "error", "html_main")
+    kept = ["id", "canonical_url", "job_type", "error", "html_main"]
+    return df.where(F.col("error").isNotNull()).select(*kept, *(["html_hash"] if "html_hash" in df.columns else []))
+
+
+def parse_errors(df: DataFrame, html: str = "html") -> DataFrame:
+    """``df`` with ``parse_error``: why a page cannot be read, else NULL."""
+
+    @F.pandas_udf("string")
+    def fault(pages: pd.Series) -> pd.Series:
+        def one(source):
+            try:
+                page = Page(source) if source is not None else None
+                _ = page and page.joined(page.root)
+                return None
+            except (AssertionError, ValueError, RecursionError) as error:
+                return unreadable(error)
+
+        return pages.map(one).astype(object)
+
+    return df.withColumn("parse_error", fault(F.col(html)))
 
 
 def main_subtree(df: DataFrame, html: str = "html", tag: str = "main", out: str = "html_main") -> DataFrame:
@@ -170,12 +206,11 @@ def main_subtree(df: DataFrame, html: str = "html", tag: str = "main", out: str
 
     @F.pandas_udf("string")
     def subtree(pages: pd.Series) -> pd.Series:
-        def one(text):
-            page = Page(text) if text is not None else None
-            node = page.first(page.root, tag) if page else None
+        def one(page):
+            node = page.first(page.root, tag)
             return page.markup(node) if node else None
 
-        return pages.map(one).astype(object)
+        return pages.map(lambda source: _from_page(source, one)).astype(object)
 
     return df.withColumn(out, subtree(F.col(html)))
 
@@ -185,12 +220,11 @@ def subtree_text(df: DataFrame, html: str = "html", tag: str = "main", out: str
 
     @F.pandas_udf("string")
     def text(pages: pd.Series) -> pd.Series:
-        def one(source):
-            page = Page(source) if source is not None else None
-            node = page.first(page.root, tag) if page else None
+        def one(page):
+            node = page.first(page.root, tag)
             return page.joined(node).replace(NBSP, "") if node else None
 
-        return pages.map(one).astype(object)
+        return pages.map(lambda source: _from_page(source, one)).astype(object)
 
     return df.withColumn(out, text(F.col(html)))
 
@@ -200,12 +234,11 @@ def list_items(df: DataFrame, html: str = "html", out: str = "attributes") -> Da
 
     @F.pandas_udf("map<string,string>")
     def items(pages: pd.Series) -> pd.Series:
-        def one(source):
-            page = Page(source) if source is not None else None
-            node = page.first(page.root, "ul") if page else None
+        def one(page):
+            node = page.first(page.root, "ul")
             return list_attributes(page, node) if node else None
 
-        return pages.map(one).astype(object)
+        return pages.map(lambda source: _from_page(source, one)).astype(object)
 
     return df.withColumn(out, items(F.col(html)))
 

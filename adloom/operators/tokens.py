@@ -12,7 +12,7 @@ from adloom.operators.ids import dense_ids
 from adloom.operators.joins import fits_broadcast, salted_join
 from adloom.storage import materialize
 
-# A stopword list up to this size is matched inside the row.
+# A stopword list up to this size is written into the plan; the outcome is the same.
 STOPWORD_LIMIT = 20_000
 
 
@@ -31,11 +31,13 @@ def drop_stopwords(tokens: DataFrame, stopwords: DataFrame) -> DataFrame:
 
 
 def kept_words(ads: DataFrame, stopwords: DataFrame, text: str = "article_content") -> DataFrame:
-    """``ads`` with a ``words`` list: the tokens left after stopword removal, in order.
+    """``ads`` with a ``words`` list: the tokens left after stopword removal, in order;
+    empty when none is left, NULL for a NULL text.
 
-    With a list of ordinary size this happens inside the row, with no shuffle at
-    all. Otherwise tokens go through the shuffled anti-join and are put back
-    together per ad, which never holds more than the one text of that ad.
+    With a list of ordinary size this happens inside the row, with no shuffle at all.
+    For a longer one each row first learns which of its distinct words are listed, over
+    a number that tells rows apart even when they share an ad, and is then filtered in
+    the same way.
     """
     listed = (
         stopwords.select("stopword").where("stopword is not null").distinct().limit(STOPWORD_LIMIT + 1).collect()
@@ -43,10 +45,18 @@ def kept_words(ads: DataFrame, stopwords: DataFrame, text: str = "article_conten
     if len(listed) <= STOPWORD_LIMIT:
         excluded = [row.stopword for row in listed]
         return ads.withColumn("words", without_words(words(F.col(text)), excluded))
-    tokens = drop_stopwords(word_rows(ads, text), stopwords)
-    lists = tokens.groupBy("ad_id").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("_w"))
-    rebuilt = lists.select("ad_id", F.col("_w.word").alias("words"))
-    return ads.join(rebuilt, "ad_id", "left")
+    # Written once, so that the numbers stay with their rows.
+    rows = materialize(ads.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    own = rows.select("_row", F.explode(F.array_distinct(words(F.col(text)))).alias("word"))
+    every = stopwords.select(F.col("stopword").alias("word")).where("word is not null").distinct()
+    if fits_broadcast(every):
+        met = own.join(F.broadcast(every), "word")
+    else:
+        met = salted_join(own, every, ["word"], "left_semi")
+    per_row = met.groupBy("_row").agg(F.collect_list("word").alias("_stop"))
+    joined = rows.join(per_row, "_row", "left").withColumn("_stop", F.coalesce("_stop", F.array().cast("array<string>")))
+    kept = F.filter(words(F.col(text)), lambda word: ~F.array_contains("_stop", word))
+    return joined.select(*ads.columns, kept.alias("words"))
 
 
 def reassembled_text(ads: DataFrame, stopwords: DataFrame, text: str = "article_content") -> DataFrame:

@@ -6,9 +6,13 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from adloom.functions.text import replace_nul
 from adloom.functions.values import category_name
-from adloom.sources.readers import read_ad_html, read_ad_urls, source_path, unless_missing
-from adloom.storage import shared_folder
+from adloom.operators.pages import main_subtree
+from adloom.sinks.writers import append_parquet
+from adloom.sources.readers import read_ad_html, read_ad_urls, source_path, union_pages, unless_missing
 from adloom.streaming.incremental import crawl_frontier, run_content, run_metadata
 
 # Configured search keys and occupations.
@@ -31,8 +35,8 @@ def ingest_metadata(
     checkpoint_root: str | None = None,
 ) -> dict[str, str]:
     """Every selected category, new files only; returns the bronze paths of those
-    that have landed anything yet. New buildings are one of the categories."""
-    checkpoints = checkpoint_root or f"{shared_folder(spark)}/streams"
+    that have landed anything yet. New buildings are one of the categories. Progress is
+    kept beside each table unless ``checkpoint_root`` says otherwise."""
     targets = {}
     for key in search_keys if search_keys is not None else SEARCH_KEYS:
         if key not in SEARCH_KEYS:
@@ -44,7 +48,7 @@ def ingest_metadata(
             spark,
             source_path(landing_root, "ad_metadata", category),
             target,
-            f"{checkpoints}/{category}-metadata{'-full' if keep_nested else ''}",
+            f"{checkpoint_root}/{category}-metadata{'-full' if keep_nested else ''}" if checkpoint_root else None,
             category,
             keep_nested,
         )
@@ -53,6 +57,29 @@ def ingest_metadata(
     return targets
 
 
+def land_search_pages(pages: DataFrame, landing_root: str, category: str = "job_fulltime") -> None:
+    """Landed search pages (docs, page, last, occupation) to the URL table: every ad of
+    the configured occupations with its time, URL and occupation."""
+    docs = union_pages(pages.where(F.col("occupation").isin(OCCUPATIONS)))
+    rows = docs.select(
+        F.col("doc.id").cast("string").alias("id"),
+        F.col("doc.timestamp").cast("bigint").alias("timestamp"),
+        "doc.canonical_url",
+        "occupation",
+        F.current_timestamp().alias("ingeston_ts"),
+    )
+    append_parquet(rows, source_path(landing_root, "ad_urls", category))
+
+
+def land_fetched_pages(fetched: DataFrame, landing_root: str, category: str = "job_fulltime") -> None:
+    """Fetched pages (id, html) to the page table: the main part, without NULs. A page
+    that cannot be read or has no main part is stored as NULL, and fetched once."""
+    rows = main_subtree(fetched).select(
+        replace_nul(F.col("html_main")).alias("html_main"), F.col("id").cast("string").alias("id"), F.current_timestamp().alias("ingestion_ts")
+    )
+    append_parquet(rows, source_path(landing_root, "ad_html", category))
+
+
 def pages_to_fetch(spark: SparkSession, landing_root: str, category: str = "job_fulltime") -> DataFrame:
     """What a fetcher has to download next; before the first run everything."""
     return crawl_frontier(
@@ -66,10 +93,10 @@ def ingest_content(
     bronze_root: str,
     category: str = "job_fulltime",
     checkpoint_root: str | None = None,
+    files_per_batch: int | None = None,
 ) -> tuple[str, str]:
     """New pages, if any, into the content table; returns its path and the
     quarantine's."""
-    checkpoints = checkpoint_root or f"{shared_folder(spark)}/streams"
     target = f"{bronze_root.rstrip('/')}/{category}/ad_content"
     rejected = f"{bronze_root.rstrip('/')}/{category}/ad_content_rejected"
     unless_missing(
@@ -79,7 +106,8 @@ def ingest_content(
             read_ad_urls(spark, landing_root, category),
             target,
             rejected,
-            f"{checkpoints}/{category}-content",
+            f"{checkpoint_root}/{category}-content" if checkpoint_root else None,
+            files_per_batch,
         )
     )
     return target, rejected

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from adloom.functions.values import split_table_name
-from adloom.operators.quality import assert_unique, conform
+from adloom.operators.quality import assert_primary_key, assert_unique, conform
 from adloom.schemas import EXPORT_INDEXES, EXPORT_TABLES, EXPORT_UNIQUE
+from adloom.sources.readers import CSV_OPTIONS
 
 
 def append_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = ("y", "m")) -> None:
@@ -61,7 +62,7 @@ def write_json(df: DataFrame, path: str, gzip: bool = False) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("append").option("header", True).csv(path)
+    df.write.mode("append").options(**CSV_OPTIONS).csv(path)
 
 
 def replace_table(df: DataFrame, name: str, path: str) -> DataFrame:
@@ -75,7 +76,7 @@ def export_frame(df: DataFrame, table: str) -> DataFrame:
     primary key and their values unique."""
     frame = conform(df, EXPORT_TABLES[table])
     if table in EXPORT_UNIQUE:
-        assert_unique(frame.where("id is not null"), ["id"])
+        assert_primary_key(frame, ["id"])
         for column in EXPORT_UNIQUE[table]:
             assert_unique(frame, [column])
     return frame
@@ -89,6 +90,14 @@ def jdbc_column_types(table: str) -> str:
     return ", ".join(f"{f.name} {names[f.dataType]}" for f in fields)
 
 
+def key_statements(table: str) -> list[str]:
+    """Constraints to add after a load, in the order to run them."""
+    if table not in EXPORT_UNIQUE:
+        return []
+    keys = [f"ALTER TABLE {table} ADD CONSTRAINT pk_{table} PRIMARY KEY (id)"]
+    return keys + [f"ALTER TABLE {table} ADD CONSTRAINT uq_{table}_{c} UNIQUE ({c})" for c in EXPORT_UNIQUE[table]]
+
+
 def index_statements(table: str) -> list[str]:
     """DDL to run on the target after a load; Spark's writer creates no indexes."""
     return [f"CREATE INDEX IF NOT EXISTS idx_{table}_{c} ON {table} ({c})" for c in EXPORT_INDEXES.get(table, [])]

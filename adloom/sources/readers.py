@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from adloom.functions.values import split_table_name
@@ -18,8 +19,6 @@ SOURCES = {
     "stopwords": "stopwords",
     "food_prices": "food_prices",
 }
-# Fixed value: the search stops after this many result pages.
-LAST_PAGE = 50
 
 
 def source_path(root: str, source: str, category: str = "") -> str:
@@ -31,19 +30,76 @@ def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(name))
 
 
-def read_payloads(spark: SparkSession, path: str, category: str, lean: bool = False) -> DataFrame:
-    """Search payloads, plain or gzipped by file name, one JSON object per file.
+def json_records(files: DataFrame) -> DataFrame:
+    """Whole files (``value``, ``source_file``) to JSON records: one per line where the first line is a
+    whole object, else the file itself, which may be spread over many lines."""
+    lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
+    by_line = F.coalesce(F.get(lines, F.lit(0)).rlike(r"^\s*\{.*\}\s*$"), F.lit(False))
+    # A file of spaces is a record that cannot be parsed, so that it is seen; the file
+    # source skips files of no bytes.
+    records = F.when(by_line, lines).otherwise(F.array("value"))
+    return files.select(F.explode(records).alias("record"), "source_file")
 
-    A gzipped file is one task; the rows after ``explode`` can be spread by the
-    rebalancing writer.
+
+def parse_payloads(records: DataFrame, category: str, lean: bool = False, keep_other: bool = False) -> DataFrame:
+    """Typed payloads of ``records`` with ``error`` where a record is no payload.
+
+    A value of a wrong type costs that value only. ``keep_other`` adds to every document
+    the fields that the category does not declare, as ``other`` (path -> text).
     """
-    raw = spark.read.schema(payload_schema(category, lean)).json(path)
-    return with_source_file(raw)
+    schema = payload_schema(category, lean)
+    broken = "_corrupt"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    parsed = records.withColumn("_p", F.from_json("record", T.StructType([*schema.fields, T.StructField(broken, T.StringType())]), options))
+    fields = [F.col("_p")[f.name].alias(f.name) for f in schema.fields]
+    # Partial results keep the fields; a record that is no JSON object keeps none.
+    unread = F.col("_p").isNull() | (F.col("_p")[broken].isNotNull() & F.col("_p.docs").isNull())
+    error = F.when(unread, F.when(F.trim("record") == "", "empty file").otherwise("malformed JSON"))
+    if keep_other:
+        raw = F.from_json("record", "docs array<map<string,string>>")["docs"]
+        fields.append(F.transform(raw, lambda doc: undeclared(doc, payload_schema(category, False)["docs"].dataType.elementType)).alias("_other"))
+    return parsed.select(*fields, "source_file", "record", error.alias("error"))
+
+
+def undeclared(doc: Column, schema: T.StructType) -> Column:
+    """Fields of a document (name -> text) that ``schema`` lacks; those of a declared
+    object as ``object.field``."""
+    def without(fields: Column, names: list[str]) -> Column:
+        known = F.array(*(F.lit(n) for n in names))
+        return F.map_filter(fields, lambda key, _: ~F.array_contains(known, key))
+
+    def inside(field: T.StructField) -> Column:
+        fields = F.from_json(F.try_element_at(doc, F.lit(field.name)), "map<string,string>")
+        named = F.transform_keys(
+            without(fields, field.dataType.fieldNames()), lambda key, _: F.concat(F.lit(f"{field.name}."), key)
+        )
+        return F.coalesce(named, F.create_map().cast("map<string,string>"))
+
+    objects = [f for f in schema.fields if isinstance(f.dataType, T.StructType)]
+    return F.map_concat(without(doc, schema.fieldNames()), *map(inside, objects))
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """JSON records of plain or gzipped files. A file is read by one task; its rows
+    after ``explode`` can be spread by the rebalancing writer."""
+    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    return json_records(with_source_file(files))
+
+
+def read_payloads(spark: SparkSession, path: str, category: str, lean: bool = False, keep_other: bool = False) -> DataFrame:
+    """Search payloads; records that cannot be parsed are left to ``rejected_payloads``."""
+    parsed = parse_payloads(read_records(spark, path), category, lean, keep_other)
+    return parsed.where("error is null").drop("record", "error")
+
+
+def rejected_payloads(spark: SparkSession, path: str, category: str) -> DataFrame:
+    parsed = parse_payloads(read_records(spark, path), category)
+    return parsed.where("error is not null").select("source_file", "record", "error")
 
 
 def read_payload_variants(spark: SparkSession, path: str) -> DataFrame:
     """The same for payloads of unknown shape: one VARIANT per document."""
-    raw = with_source_file(spark.read.option("singleVariantColumn", "payload").json(path))
+    raw = read_records(spark, path).select(F.try_parse_json("record").alias("payload"), "source_file")
     docs = F.try_variant_get("payload", "$.docs", "array<variant>")
     return raw.select(F.explode(docs).alias("doc"), "source_file")
 
@@ -114,17 +170,45 @@ def read_ad_html(spark: SparkSession, root: str, category: str) -> DataFrame:
     return read_or_empty(spark, source_path(root, "ad_html", category), AD_HTML_DDL)
 
 
+# Quotes are doubled inside quoted values; an empty value is quoted, NULL is not.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "emptyValue": '""', "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+_EMPTY = "\u0000empty"
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with a header, columns by name in any order, values over several lines. A
+    column the files lack is NULL."""
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    # The reader would take an empty value for NULL once more, so it gets a name.
+    raw = spark.read.options(**CSV_OPTIONS | {"emptyValue": _EMPTY}).option("multiLine", True).csv(path)
+
+    def column(name: str) -> Column:
+        value = F.col(f"`{name}`")
+        return F.when(value == _EMPTY, "").otherwise(value) if name in raw.columns else F.lit(None)
+
+    return raw.select(*(column(f.name).try_cast(f.dataType).alias(f.name) for f in wanted.fields))
+
+
+# A record ends at a line break outside quotes.
+_CSV_RECORD = r'((?:[^"\r\n]|"(?:[^"]|"")*")+)'
 
 
 def parse_csv_payload(df: DataFrame, column: str, ddl: str) -> DataFrame:
-    """A CSV document held in a column (header first) to one row per line."""
+    """A CSV document held in a column (header first) to one row per record; columns by
+    the header's names, in any order."""
     kept = [c for c in df.columns if c != column]
-    lines = F.filter(F.split(F.col(column), r"\r?\n"), lambda line, at: (at > 0) & (line != ""))
-    rows = df.select(*kept, F.posexplode(lines).alias("_at", "_line"))
-    parsed = rows.select(*kept, (F.col("_at") + 1).alias("line_no"), F.from_csv("_line", ddl).alias("_r"))
-    return parsed.select(*kept, "line_no", "_r.*")
+    records = F.regexp_extract_all(F.col(column), F.lit(_CSV_RECORD), F.lit(1))
+    rows = df.select(*kept, F.get(records, F.lit(0)).alias("_head"), F.posexplode(F.slice(records, 2, 2**31 - 1)).alias("_at", "_line"))
+    names = F.transform(F.split("_head", ","), lambda n: F.lower(F.trim(F.btrim(F.trim(n), F.lit('"')))))
+    cells = F.regexp_extract_all(F.concat(F.lit(","), F.col("_line")), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
+    plain = F.transform(
+        cells,
+        lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).when(c != "", c),
+    )
+    rows = rows.select(*kept, (F.col("_at") + 1).alias("line_no"), F.map_from_arrays(names, F.slice(F.concat(plain, F.array_repeat(F.lit(None).cast("string"), F.size(names))), F.lit(1), F.size(names))).alias("_r"))
+    fields = T.StructType.fromDDL(ddl).fields
+    return rows.select(*kept, "line_no", *(F.try_element_at("_r", F.lit(f.name.lower())).try_cast(f.dataType).alias(f.name) for f in fields))
 
 
 # Fixed value: ``.../{category}/{chain_id}_{uuid}.json[.gz]``.
@@ -149,11 +233,10 @@ def read_category_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def union_pages(pages: DataFrame, page: str = "page", last: str = "last") -> DataFrame:
-    """Documents of all result pages up to the last one the search offers, at most
-    the first 50. A page that was landed twice is left to the deduplication."""
-    wanted = F.least(F.col(last), F.lit(LAST_PAGE))
+    """Documents of all landed result pages up to the last one the search offers. A page
+    that was landed twice is left to the deduplication."""
     rest = [c for c in pages.columns if c != "docs"]
-    return pages.where(F.col(page) <= wanted).select(F.explode("docs").alias("doc"), *rest)
+    return pages.where(F.col(page) <= F.col(last)).select(F.explode("docs").alias("doc"), *rest)
 
 
 def read_table_jdbc(

@@ -7,6 +7,7 @@ never takes intermediate data with it.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
         # A single machine (tests, bench): the local disk is the shared folder.
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="adloom-"))

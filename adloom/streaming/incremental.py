@@ -3,69 +3,120 @@ stops; the checkpoint, not a tag on the object, records what is done."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from adloom.operators.dedupe import dedupe_html, dedupe_urls
+from adloom.functions.values import epoch_ms, month_of, year_of
+from adloom.operators.dedupe import dedupe_urls, page_versions
 from adloom.operators.joins import fits_broadcast
 from adloom.operators.normalize import bronze_metadata
 from adloom.operators.pages import accepted, extract_content, quarantined, with_job_type
-from adloom.functions.values import epoch_ms, month_of, year_of
-from adloom.schemas import AD_HTML_DDL, payload_schema
-from adloom.sources.readers import with_source_file
-
-# Fixed value: files per micro-batch, at least.
-FILES_PER_BATCH = 20
+from adloom.schemas import AD_HTML_DDL, CONTENT_REJECTS_DDL, PAYLOAD_REJECTS_DDL
+from adloom.sinks.writers import append_partitioned
+from adloom.sources.readers import json_records, parse_payloads, read_or_empty, unless_missing, with_source_file
+from adloom.storage import materialize
+
+# The file source forgets files older than this against the newest one; files may be
+# landed late, so it is set beyond any real age. The checkpoint names every file done.
+_MAX_FILE_AGE = "36500d"
+
+
+def default_checkpoint(target: str) -> str:
+    """Beside the table it belongs to."""
+    return f"{target.rstrip('/')}_progress"
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None as long as nothing was written to it."""
+    try:
+        return unless_missing(lambda: spark.read.parquet(path))
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
+def _missing(rows: DataFrame, stored: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Rows whose keys are not stored yet. The stored keys are narrow; they are broadcast
+    only when measured to be small."""
+    if stored is None:
+        return rows
+    known = stored.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    known = F.broadcast(known) if fits_broadcast(known) else known
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return rows.join(known, same, "left_anti")
+
+
+def _append_new(rows: DataFrame, path: str, by: tuple[str, ...], keys: list[str]) -> None:
+    """Append what the table does not hold. A batch that is run again, or a run whose
+    checkpoint was lost, finds its rows stored and adds nothing."""
+    spark = rows.sparkSession
+    stored = _stored(spark, path)
+    rows = _missing(rows, stored, keys)
+    if by:
+        append_partitioned(rows, path, by)
+    else:
+        rows.write.mode("append").option("compression", "zstd").parquet(path)
+
+
+def _drain(stream: DataFrame, checkpoint: str, write) -> StreamingQuery:
+    query = (
+        stream.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query
 
 
-def _batch_size(spark: SparkSession) -> int:
-    """Enough files to keep every core of the cluster busy."""
-    return max(FILES_PER_BATCH, 2 * spark.sparkContext.defaultParallelism)
+def _files(spark: SparkSession, files_per_batch: int | None):
+    reader = spark.readStream.option("maxFileAge", _MAX_FILE_AGE).option("recursiveFileLookup", True)
+    return reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader
 
 
 def run_metadata(
     spark: SparkSession,
     landing: str,
     target: str,
-    checkpoint: str,
+    checkpoint: str | None,
     category: str,
     keep_nested: bool = False,
     files_per_batch: int | None = None,
+    rejects: str | None = None,
 ) -> StreamingQuery:
-    """New payload files of one category into its bronze table."""
-    payloads = with_source_file(
-        spark.readStream.schema(payload_schema(category, lean=not keep_nested))
-        .option("maxFilesPerTrigger", files_per_batch or _batch_size(spark))
-        .option("recursiveFileLookup", True)
-        .json(landing)
-    )
-    rows = bronze_metadata(payloads, category, keep_nested)
-    query = (
-        rows.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .option("compression", "zstd")
-        .partitionBy(*(("_y", "_m") if keep_nested else ("y", "m")))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    """New payload files of one category into its bronze table, records that cannot be
+    parsed into ``rejects`` (``<target>_rejected`` by default).
+
+    A file's rows are written once, whatever happens to the checkpoint: a batch leaves
+    out the files that the table names already.
+    """
+    rejects = rejects or f"{target.rstrip('/')}_rejected"
+    files = _files(spark, files_per_batch).schema("value string").option("wholetext", True).format("text").load(landing)
+    files = with_source_file(files)
+
+    def write(batch: DataFrame, _: int) -> None:
+        parsed = materialize(parse_payloads(json_records(batch), category, lean=not keep_nested, keep_other=True), "payloads")
+        rows = bronze_metadata(parsed.where("error is null").drop("error", "record"), category, keep_nested)
+        _append_new(rows, target, ("_y", "_m") if keep_nested else ("y", "m"), ["source_file"])
+        bad = parsed.where("error is not null").select("source_file", "record", "error")
+        _append_new(bad, rejects, (), ["source_file", "record"])
+
+    return _drain(files, checkpoint or default_checkpoint(target), write)
 
 
 def content_rows(html: DataFrame, urls: DataFrame) -> DataFrame:
-    """Pages joined to their URLs and parsed: one row per URL and page version.
+    """Pages joined to their URLs and parsed: one row per URL and page version, with
+    ``html_hash`` naming the version. A page whose URL is not known yet gives no row.
 
-    Only URLs of ads in this batch are deduplicated. Deduplication comes before
-    the parse, which is the expensive step.
+    Deduplication comes before the parse, which is the expensive step, and shares its
+    exchange by ``id`` with the join.
     """
-    pages = dedupe_html(html)
-    ids = html.select("id").distinct()  # reads the id column only
-    if fits_broadcast(ids):
-        ids = F.broadcast(ids)
-    wanted = dedupe_urls(urls.join(ids, "id", "left_semi"))
-    rows = with_job_type(wanted.join(pages, "id"))
+    wanted = dedupe_urls(urls) if "ingeston_ts_url" not in urls.columns else urls
+    versions = html if "html_hash" in html.columns else page_versions(html)
+    rows = with_job_type(versions.join(wanted, "id"))
     parsed = extract_content(rows)
     seen = epoch_ms(F.col("timestamp"))
     return parsed.withColumns({"timestamp": seen, "y": year_of(seen), "m": month_of(seen)})
@@ -77,45 +128,59 @@ def run_content(
     urls: DataFrame,
     target: str,
     quarantine: str,
-    checkpoint: str,
+    checkpoint: str | None,
     files_per_batch: int | None = None,
+    waiting: str | None = None,
 ) -> StreamingQuery:
-    """New page files into the content table; rejected pages into ``quarantine``.
+    """New page files into the content table; rejected pages into ``quarantine``; pages
+    whose URL has not landed yet into ``waiting`` (``<target>_waiting`` by default), which
+    every run tries again.
 
-    Each batch writes below its own ``batch`` partition and replaces it when the
-    batch is run again, so a batch that failed halfway is never counted twice.
+    A page version is stored once per URL however files are dealt to batches and runs;
+    its ingestion time is the earliest of the batch that stored it.
     """
+    waiting = waiting or f"{target.rstrip('/')}_waiting"
+    # Once per run, not once per batch.
+    known = materialize(dedupe_urls(urls), "urls")
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = content_rows(batch, urls).withColumn("batch", F.lit(batch_id)).persist()
-        try:
-            _replace_batch(accepted(rows), target, ("batch", "y", "m"))
-            _replace_batch(quarantined(rows).withColumn("batch", F.lit(batch_id)), quarantine, ("batch",))
-        finally:
-            rows.unpersist()
+    def store(pages: DataFrame) -> None:
+        versions = page_versions(pages)
+        for path in (target, quarantine):
+            done = _stored(spark, path)
+            if done is not None:
+                versions = _missing_versions(versions, done, known)
+        rows = materialize(content_rows(versions, known), "content")
+        _append_new(accepted(rows), target, ("y", "m"), ["id", "canonical_url", "html_hash"])
+        _append_new(quarantined(rows), quarantine, (), ["id", "canonical_url", "html_hash"])
 
-    query = (
-        spark.readStream.schema(AD_HTML_DDL)
-        .option("maxFilesPerTrigger", files_per_batch or _batch_size(spark))
-        .parquet(html_landing)
-        .writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(write)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    def write(batch: DataFrame, _: int) -> None:
+        store(batch)
+        orphans = page_versions(batch).join(known.select("id").distinct(), "id", "left_anti")
+        _append_new(orphans.select("html_main", "id", "ingestion_ts", "html_hash"), waiting, (), ["id", "html_hash"])
 
+    held = read_or_empty(spark, waiting, AD_HTML_DDL)
+    found = held.join(known.select("id").distinct(), "id", "left_semi")
+    if not found.isEmpty():
+        store(found)
+    pages = _files(spark, files_per_batch).schema(AD_HTML_DDL).parquet(html_landing)
+    return _drain(pages, checkpoint or default_checkpoint(target), write)
 
-def _replace_batch(rows: DataFrame, path: str, by: tuple[str, ...]) -> None:
-    (
-        rows.hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+
+def _missing_versions(versions: DataFrame, done: DataFrame, urls: DataFrame) -> DataFrame:
+    """Page versions that still lack a row for some URL: those fully stored are not parsed again."""
+    wanted = urls.groupBy("id").agg(F.count(F.lit(1)).alias("_urls"))
+    stored = done.groupBy("id", "html_hash").agg(F.count_distinct("canonical_url").alias("_stored"))
+    complete = stored.join(wanted, "id").where("_stored >= _urls").select("id", "html_hash")
+    return versions.join(complete, ["id", "html_hash"], "left_anti")
+
+
+def read_rejected_payloads(spark: SparkSession, target: str) -> DataFrame:
+    """Readable also when nothing was rejected."""
+    return read_or_empty(spark, f"{target.rstrip('/')}_rejected", PAYLOAD_REJECTS_DDL)
+
+
+def read_rejected_content(spark: SparkSession, quarantine: str) -> DataFrame:
+    return read_or_empty(spark, quarantine, CONTENT_REJECTS_DDL)
 
 
 def crawl_frontier(urls: DataFrame, html: DataFrame) -> DataFrame:
@@ -144,5 +209,13 @@ def high_water_mark(target: DataFrame, column: str):
     return target.agg(F.max(column).alias("mark")).first().mark
 
 
-def rows_after(source: DataFrame, column: str, mark) -> DataFrame:
-    return source if mark is None else source.where(F.col(column) > F.lit(mark))
+def rows_after(source: DataFrame, column: str, mark, target: DataFrame | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Rows not loaded yet. Rows at the mark itself or without a time may be new: with
+    ``target`` and ``keys`` they are read again and those stored are left out."""
+    if mark is None:
+        return source
+    if target is None:
+        return source.where(F.col(column) > F.lit(mark))
+    open_ = source.where((F.col(column) >= F.lit(mark)) | F.col(column).isNull())
+    stored = target.where((F.col(column) >= F.lit(mark)) | F.col(column).isNull())
+    return _missing(open_, stored, keys)

@@ -14,18 +14,19 @@ from adloom.operators.pages import (
     extract_content,
     list_items,
     main_subtree,
+    parse_errors,
     quarantined,
     subtree_text,
     with_ad_type,
     with_job_type,
 )
 from adloom.operators.tokens import union_all
-from adloom.plans.bronze import ingest_content, pages_to_fetch
+from adloom.plans.bronze import OCCUPATIONS, ingest_content, land_fetched_pages, land_search_pages, pages_to_fetch
 from adloom.schemas import AD_HTML_DDL
 from adloom.sinks.writers import append_parquet
 from adloom.sources.readers import read_or_empty, source_path
 from adloom.storage import fresh_path
-from adloom.streaming.incremental import crawl_frontier
+from adloom.streaming.incremental import crawl_frontier, read_rejected_content
 from driver_queries.registry import load, load_spread, query
 
 # --- URLs and stored pages: every page is listed twice and stored twice --------
@@ -273,28 +274,102 @@ def quarantine(spark, sf_dir):
 _MS_DAY = "TIMESTAMP '1970-01-01' + to_days(CAST(n_chars AS INTEGER))"
 
 
-@query(
-    "incremental_content",
-    f"""WITH d AS ({_LAYOUT_SQL})
+_CONTENT_SQL = f"""WITH d AS ({_LAYOUT_SQL})
         SELECT id, job_type, length(body) AS n, CAST(year({_MS_DAY}) AS INTEGER) AS y,
-               CAST(month({_MS_DAY}) AS INTEGER) AS m, source AS occupation, '' AS error FROM d WHERE fits
+               CAST(month({_MS_DAY}) AS INTEGER) AS m, {{occupation}} AS occupation, '' AS error FROM d WHERE fits
         UNION ALL
-        SELECT id, job_type, NULL, NULL, NULL, NULL, 'unsupported job type: hobby' FROM d WHERE NOT fits""",
-)
+        SELECT id, job_type, NULL, NULL, NULL, NULL, 'unsupported job type: hobby' FROM d WHERE NOT fits"""
+
+
+def _content(spark: SparkSession, target: str, rejected: str) -> DataFrame:
+    good = spark.read.parquet(target).select(
+        "id", "job_type", F.length("article_content").cast("bigint").alias("n"), "y", "m", "occupation", F.lit("").alias("error")
+    )
+    return union_all([good, read_rejected_content(spark, rejected).select("id", "job_type", "error")])
+
+
+def _listed(pages: DataFrame) -> DataFrame:
+    return pages.select("id", "timestamp", "canonical_url", "occupation", F.current_timestamp().alias("ingeston_ts"))
+
+
+def _stored(pages: DataFrame) -> DataFrame:
+    return pages.select("html_main", "id", F.current_timestamp().alias("ingestion_ts"))
+
+
+@query("incremental_content", _CONTENT_SQL.format(occupation="source"))
 def incremental_content(spark, sf_dir):
-    """Three arrivals, then a run with nothing new; every URL is listed twice."""
+    """Three arrivals, the last of them twice, then a run with nothing new; every URL is
+    listed twice. The number of files per batch changes nothing."""
     root = fresh_path(spark, "content")
     landing, bronze = f"{root}/landing", f"{root}/bronze"
     pages = _ad_pages(spark, sf_dir)
-    listed = pages.select("id", "timestamp", "canonical_url", "occupation", F.current_timestamp().alias("ingeston_ts"))
-    append_parquet(listed.union(listed), source_path(landing, "ad_urls", "job_fulltime"))
-    for arrival in ("length(html_main) < 1000", "length(html_main) between 1000 and 3000", "length(html_main) > 3000"):
-        stored = pages.where(arrival).select("html_main", "id", F.current_timestamp().alias("ingestion_ts"))
-        append_parquet(stored, source_path(landing, "ad_html", "job_fulltime"))
-        ingest_content(spark, landing, bronze, checkpoint_root=f"{root}/checkpoints")
-    target, rejected = ingest_content(spark, landing, bronze, checkpoint_root=f"{root}/checkpoints")
+    append_parquet(_listed(pages).union(_listed(pages)), source_path(landing, "ad_urls", "job_fulltime"))
+    arrivals = ("length(html_main) < 1000", "length(html_main) between 1000 and 3000", "length(html_main) > 3000")
+    for files_per_batch, arrival in zip((5, None, None, None), (*arrivals, arrivals[-1]), strict=True):
+        append_parquet(_stored(pages.where(arrival)), source_path(landing, "ad_html", "job_fulltime"))
+        ingest_content(spark, landing, bronze, files_per_batch=files_per_batch)
+    target, rejected = ingest_content(spark, landing, bronze)
     assert pages_to_fetch(spark, landing).isEmpty()
-    good = spark.read.parquet(target).select(
-        "id", "job_type", F.length("article_content").cast("bigint").alias("n"), "y", "m", "occupation", F.lit("").alias("error")
+    return _content(spark, target, rejected)
+
+
+@query("content_lost_checkpoint", _CONTENT_SQL.format(occupation="source"))
+def content_lost_checkpoint(spark, sf_dir):
+    """The second run starts without the progress of the first: nothing is lost or doubled."""
+    root = fresh_path(spark, "content")
+    landing, bronze = f"{root}/landing", f"{root}/bronze"
+    pages = _ad_pages(spark, sf_dir)
+    append_parquet(_listed(pages), source_path(landing, "ad_urls", "job_fulltime"))
+    for run, arrival in enumerate(("length(html_main) < 2000", "length(html_main) >= 2000")):
+        append_parquet(_stored(pages.where(arrival)), source_path(landing, "ad_html", "job_fulltime"))
+        target, rejected = ingest_content(spark, landing, bronze, checkpoint_root=f"{root}/progress-{run}")
+    return _content(spark, target, rejected)
+
+
+@query("content_waiting", _CONTENT_SQL.format(occupation="source"))
+def content_waiting(spark, sf_dir):
+    """All pages land with half of the URLs; the others arrive one run later."""
+    root = fresh_path(spark, "content")
+    landing, bronze = f"{root}/landing", f"{root}/bronze"
+    pages = _ad_pages(spark, sf_dir)
+    append_parquet(_stored(pages), source_path(landing, "ad_html", "job_fulltime"))
+    for arrival in ("length(html_main) < 2000", "length(html_main) >= 2000"):
+        append_parquet(_listed(pages.where(arrival)), source_path(landing, "ad_urls", "job_fulltime"))
+        target, rejected = ingest_content(spark, landing, bronze)
+    return _content(spark, target, rejected)
+
+
+_OCCUPATION_CASE = "CASE CAST(id AS BIGINT) % 5 " + " ".join(f"WHEN {i} THEN '{o}'" for i, o in enumerate(OCCUPATIONS)) + " END"
+
+
+@query("ads_flow", _CONTENT_SQL.format(occupation=_OCCUPATION_CASE))
+def ads_flow(spark, sf_dir):
+    """Landed search pages to the URL table, fetched pages to the page table, both to
+    content. Every page is searched and landed; a fetch is due for each ad."""
+    root = fresh_path(spark, "flow")
+    landing, bronze = f"{root}/landing", f"{root}/bronze"
+    ads = _ad_pages(spark, sf_dir).withColumn("occupation", F.expr(_OCCUPATION_CASE))
+    search = ads.select(
+        F.array(F.struct("id", "timestamp", "canonical_url")).alias("docs"),
+        (F.col("id").cast("bigint") % 120 + 1).cast("int").alias("page"),
+        F.lit(120).alias("last"),
+        "occupation",
     )
-    return union_all([good, spark.read.parquet(rejected).select("id", "job_type", "error")])
+    land_search_pages(search, landing)
+    due = pages_to_fetch(spark, landing)
+    whole = F.concat(F.lit("<html><body><nav>n</nav>"), "html_main", F.lit("<footer>f</footer></body></html>"))
+    land_fetched_pages(ads.join(due.select("id"), "id", "left_semi").select("id", whole.alias("html")), landing)
+    return _content(spark, *ingest_content(spark, landing, bronze))
+
+
+@query(
+    "page_parse_errors",
+    """SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'unreadable page: AssertionError' END AS parse_error,
+              page_id % 7 = 0 AS no_main FROM pages""",
+)
+def page_parse_errors(spark, sf_dir):
+    """Pages that the parser refuses cost their own values only."""
+    broken = F.when(F.col("page_id") % 7 == 0, F.lit("<main><![x[y]]></main>")).otherwise(F.lit("<main>m</main>"))
+    pages = load_spread(spark, sf_dir, "pages", "page_id").select("page_id", F.concat(broken, "html").alias("html"))
+    parsed = main_subtree(parse_errors(pages))
+    return parsed.select("page_id", "parse_error", F.col("html_main").isNull().alias("no_main"))

@@ -53,7 +53,15 @@ from adloom.sources.readers import (
 )
 from adloom.functions.text import words
 from adloom.storage import fresh_path
-from adloom.streaming.incremental import high_water_mark, list_files, mark_done, new_files, rows_after, run_metadata
+from adloom.streaming.incremental import (
+    high_water_mark,
+    list_files,
+    mark_done,
+    new_files,
+    read_rejected_payloads,
+    rows_after,
+    run_metadata,
+)
 from driver_queries.registry import load, load_spread, query
 
 # --- Payloads built from `orders`: every field gets a value that depends on the
@@ -166,18 +174,12 @@ for _category in CATEGORY_SCHEMAS:
     _register_category(_category)
 
 
-@query(
-    "flatten_unknown_shape",
-    """SELECT o_orderkey AS id, 'regno-' || o_orderkey AS regno, o_orderkey + 12 AS price_amount,
-              o_totalprice AS mileage, o_orderdate AS "timestamp",
-              CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS coordinates_lat
-       FROM orders""",
-)
+@query("flatten_unknown_shape", " ".join(["SELECT * EXCLUDE (_y, _m) FROM (", _flat_sql("car_used", lean=False), ")"]))
 def flatten_unknown_shape(spark, sf_dir):
+    """All columns of the variant form."""
     path = fresh_path(spark, "variant")
     _land_payloads(load_spread(spark, sf_dir, "orders", "o_orderkey"), "car_used", path)
-    flat = read_payload_variants(spark, path).select(*variant_exprs(doc_schema("car_used")))
-    return _plain(flat.select("id", "regno", "price_amount", "mileage", "timestamp", "coordinates_lat"))
+    return _plain(read_payload_variants(spark, path).select(*variant_exprs(doc_schema("car_used"))))
 
 
 @query(
@@ -318,25 +320,35 @@ def json_gz_roundtrip(spark, sf_dir):
     return spark.read.schema(customers.schema).json(path)
 
 
-@query("csv_roundtrip", "SELECT * FROM customer")
+@query(
+    "csv_roundtrip",
+    """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '' WHEN doc_id % 5 = 1 THEN NULL
+              ELSE '"' || text || '", ' || chr(10) || ' end' END AS text, lang, n_chars FROM documents""",
+)
 def csv_roundtrip(spark, sf_dir):
+    """Line breaks, quotes, empty values and NULL; the reader asks for another order."""
     path = fresh_path(spark, "csv")
-    customers = load(spark, sf_dir, "customer")
-    write_csv(customers, path)
-    return read_csv(spark, path, customers.schema)
+    text = F.when(F.col("doc_id") % 5 == 0, "").when(
+        F.col("doc_id") % 5 != 1, F.concat(F.lit('"'), "text", F.lit('", \n end'))
+    )
+    docs = load(spark, sf_dir, "documents").select("n_chars", "lang", text.alias("text"), "doc_id")
+    write_csv(docs, path)
+    return read_csv(spark, path, "doc_id bigint, text string, lang string, n_chars bigint")
 
 
 @query(
     "csv_payload_rows",
     """SELECT s_nationkey, s_name AS symbol, s_acctbal AS price FROM supplier
-       UNION ALL SELECT s_nationkey, 'total ' || s_suppkey, s_acctbal * 2 FROM supplier""",
+       UNION ALL SELECT s_nationkey, 'total "' || s_suppkey || '",' || chr(10) || 'all', s_acctbal * 2 FROM supplier""",
 )
 def csv_payload_rows(spark, sf_dir):
+    """Columns in another order than asked for, and a quoted line break."""
+    quoted = F.concat(F.lit('"total ""'), F.col("s_suppkey"), F.lit('"",\nall"'))
     line = F.concat_ws(
         "\n",
-        F.lit("symbol,price"),
-        F.concat_ws(",", "s_name", F.col("s_acctbal").cast("string")),
-        F.concat_ws(",", F.concat(F.lit("total "), F.col("s_suppkey")), (F.col("s_acctbal") * 2).cast("string")),
+        F.lit("price,symbol"),
+        F.concat_ws(",", F.col("s_acctbal").cast("string"), "s_name"),
+        F.concat_ws(",", (F.col("s_acctbal") * 2).cast("string"), quoted),
         F.lit(""),
     )
     payloads = load(spark, sf_dir, "supplier").select("s_nationkey", line.alias("body"))
@@ -421,10 +433,10 @@ def crawl_urls(spark, sf_dir):
 @query(
     "page_union_cap",
     """SELECT p_partkey, p_name, p_size + 5 AS page, CAST(NULL AS VARCHAR) AS title FROM part
-       WHERE p_size + 5 <= least(60, 50)
        UNION ALL SELECT s_suppkey, s_name, 1, 'suppliers' FROM supplier""",
 )
 def page_union_cap(spark, sf_dir):
+    """Every page up to the last one offered, however many there are."""
     parts = load(spark, sf_dir, "part").select(
         F.array(F.struct("p_partkey", "p_name")).alias("docs"),
         (F.col("p_size") + 5).alias("page"),
@@ -462,6 +474,102 @@ def incremental_rerun(spark, sf_dir):
     return _by_month(spark.read.parquet(target))
 
 
+def _late_files(spark: SparkSession, path: str, days: int) -> None:
+    """Date the files of a folder back, as files landed late are."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in store.listStatus(folder):
+        store.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
+@query("incremental_old_file", _BY_MONTH)
+def incremental_old_file(spark, sf_dir):
+    """The second arrival carries a date 30 days before the first."""
+    root = fresh_path(spark, "incremental")
+    orders = load(spark, sf_dir, "orders")
+    for n, arrival in enumerate(("o_orderstatus = 'F'", "o_orderstatus <> 'F'")):
+        _land_payloads(orders.where(arrival), "car_used", f"{root}/landing/{n}")
+        if n:
+            _late_files(spark, f"{root}/landing/{n}", 30)
+        run_metadata(spark, f"{root}/landing", f"{root}/bronze", None, "car_used")
+    return _by_month(spark.read.parquet(f"{root}/bronze"))
+
+
+@query("incremental_two_targets", f"SELECT *, 'first' AS target FROM ({_BY_MONTH}) UNION ALL SELECT *, 'second' FROM ({_BY_MONTH})")
+def incremental_two_targets(spark, sf_dir):
+    """One landing folder, two tables."""
+    root = fresh_path(spark, "incremental")
+    _land_payloads(load(spark, sf_dir, "orders"), "car_used", f"{root}/landing")
+    found = []
+    for target in ("first", "second"):
+        run_metadata(spark, f"{root}/landing", f"{root}/{target}", None, "car_used")
+        found.append(_by_month(spark.read.parquet(f"{root}/{target}")).withColumn("target", F.lit(target)))
+    return union_all(found)
+
+
+@query("incremental_lost_checkpoint", _BY_MONTH)
+def incremental_lost_checkpoint(spark, sf_dir):
+    """Every run starts without the progress of the one before; small batches."""
+    root = fresh_path(spark, "incremental")
+    orders = load(spark, sf_dir, "orders")
+    for n, arrival in enumerate(("o_orderstatus = 'F'", "o_orderstatus = 'O'", "o_orderstatus = 'P'")):
+        _land_payloads(orders.where(arrival), "car_used", f"{root}/landing")
+        run_metadata(spark, f"{root}/landing", f"{root}/bronze", f"{root}/progress-{n}", "car_used", files_per_batch=1 + n)
+    return _by_month(spark.read.parquet(f"{root}/bronze"))
+
+
+@query(
+    "payload_quarantine",
+    """SELECT 'row' AS outcome, count(*) AS n FROM orders WHERE o_orderstatus <> 'P'
+       UNION ALL SELECT 'malformed JSON', count(DISTINCT o_custkey) FROM orders WHERE o_orderstatus = 'P'""",
+)
+def payload_quarantine(spark, sf_dir):
+    """Records on one line, files spread over many lines, and records cut off."""
+    root = fresh_path(spark, "quarantine")
+    orders = load(spark, sf_dir, "orders")
+    _land_payloads(orders.where("o_orderstatus = 'F'"), "car_used", f"{root}/landing/lines")
+    docs = F.array_agg(_doc("car_used")).alias("docs")
+    spread = orders.where("o_orderstatus = 'O'").groupBy("o_orderdate").agg(docs)
+    spread = spread.select(F.to_json(F.struct("docs"), {"pretty": "true"}).alias("value"), F.month("o_orderdate").alias("m"), "o_orderdate")
+    # One file per value: each folder gets one row per task that holds it.
+    one = spread.groupBy("m").agg(F.min("o_orderdate").alias("o_orderdate"))
+    first = spread.join(one, ["m", "o_orderdate"])
+    first.select("value", "m").repartition("m").write.partitionBy("m").text(f"{root}/landing/spread")
+    rest = orders.where("o_orderstatus = 'O'").join(one.select("o_orderdate"), "o_orderdate", "left_anti")
+    _land_payloads(rest, "car_used", f"{root}/landing/rest")
+    cut = orders.where("o_orderstatus = 'P'").groupBy("o_custkey").agg(docs)
+    cut.select(F.substring(F.to_json(F.struct("docs")), 1, 60).alias("value")).write.text(f"{root}/landing/cut")
+    run_metadata(spark, f"{root}/landing", f"{root}/bronze", None, "car_used")
+    rows = spark.read.parquet(f"{root}/bronze").agg(F.lit("row").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    lines = read_rejected_payloads(spark, f"{root}/bronze").select(
+        F.col("error").alias("outcome"), F.explode(F.split(F.rtrim("record"), "\n")).alias("line")
+    )
+    return rows.union(lines.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query(
+    "undeclared_fields",
+    """SELECT o_orderkey AS id, 'x' || o_orderkey AS extra_field, CAST(o_custkey AS VARCHAR) AS extra_nested,
+              o_orderkey + 12 AS price_amount FROM orders""",
+)
+def undeclared_fields(spark, sf_dir):
+    """Fields that no schema declares, at the top and inside a declared object, stay."""
+    root = fresh_path(spark, "undeclared")
+    doc = _doc("car_used")
+    orders = load_spread(spark, sf_dir, "orders", "o_orderkey").withColumn("d", doc)
+    price = F.col("d.price").withField("net_amount", F.col("o_custkey"))
+    wide = orders.withColumn("d", F.col("d").withField("price", price).withField("extra_field", F.concat(F.lit("x"), "o_orderkey")))
+    write_json(wide.select(F.array("d").alias("docs")), f"{root}/landing", gzip=True)
+    run_metadata(spark, f"{root}/landing", f"{root}/bronze", None, "car_used")
+    return spark.read.parquet(f"{root}/bronze").select(
+        "id",
+        F.col("other")["extra_field"].alias("extra_field"),
+        F.col("other")["price.net_amount"].alias("extra_nested"),
+        "price_amount",
+    )
+
+
 @query("ledger_discovery", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def ledger_discovery(spark, sf_dir):
     """Batch discovery: a second pass sees only the files of the second arrival."""

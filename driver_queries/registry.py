@@ -30,8 +30,6 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load_spread(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """For CPU-heavy work on a table that is one small file: spread its rows over
-    the cores. A table with at least as many splits as cores is left alone."""
-    df = load(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() <= cores else df
+    """For CPU-heavy work on a table that is one small file: its rows are dealt over all
+    cores, whatever number of splits it has."""
+    return load(spark, sf_dir, name).repartition(spark.sparkContext.defaultParallelism, key)
