@@ -33,7 +33,7 @@ def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
 def json_records(files: DataFrame) -> DataFrame:
     """Whole files (``value``, ``source_file``) to JSON records: one per line where the first line is a
     whole object, else the file itself, which may be spread over many lines."""
-    lines = F.filter(F.split("value", r"\r?\n"), lambda line: F.trim(line) != "")
+    lines = F.filter(F.split("value", r"\r?\n"), lambda line: line.rlike(r"\S"))
     by_line = F.coalesce(F.get(lines, F.lit(0)).rlike(r"^\s*\{.*\}\s*$"), F.lit(False))
     # A file of spaces is a record that cannot be parsed, so that it is seen; the file
     # source skips files of no bytes.
@@ -54,7 +54,7 @@ def parse_payloads(records: DataFrame, category: str, lean: bool = False, keep_o
     fields = [F.col("_p")[f.name].alias(f.name) for f in schema.fields]
     # Partial results keep the fields; a record that is no JSON object keeps none.
     unread = F.col("_p").isNull() | (F.col("_p")[broken].isNotNull() & F.col("_p.docs").isNull())
-    error = F.when(unread, F.when(F.trim("record") == "", "empty file").otherwise("malformed JSON"))
+    error = F.when(unread, F.when(~F.col("record").rlike(r"\S"), "empty file").otherwise("malformed JSON"))
     if keep_other:
         raw = F.from_json("record", "docs array<map<string,string>>")["docs"]
         fields.append(F.transform(raw, lambda doc: undeclared(doc, payload_schema(category, False)["docs"].dataType.elementType)).alias("_other"))
