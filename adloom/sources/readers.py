@@ -82,7 +82,7 @@ def undeclared(doc: Column, schema: T.StructType) -> Column:
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """JSON records of plain or gzipped files. A file is read by one task; its rows
     after ``explode`` can be spread by the rebalancing writer."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     return json_records(with_source_file(files))
 
 
