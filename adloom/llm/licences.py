@@ -86,29 +86,30 @@ def licence_of(template: Column) -> Column:
 
 
 def notice_scores(notices: DataFrame, spark: SparkSession) -> DataFrame:
-    """(notice, licence, similarity) of the distinct notices that reach the threshold;
-    of equally similar templates the first by name."""
+    """(line, licence, similarity) of the distinct notices (line, notice) that reach the
+    threshold; of equally similar templates the first by name. Only the digest ``line``
+    goes along with each word."""
     rows, idf, other, _ = _model()
     # The templates are a constant of this module: a broadcast of fixed size.
     vectors = spark.createDataFrame([(w, idf[w], t, weight) for t, w, weight in rows], "word string, idf double, template string, unit double")
     vectors = vectors.groupBy("word", "idf").agg(F.collect_list(F.struct("template", "unit")).alias("units"))
     words = notices.select(
-        "notice", F.explode(F.regexp_extract_all(F.lower("notice"), F.lit(f"({_WORD})"), F.lit(1))).alias("word")
+        "line", F.explode(F.regexp_extract_all(F.lower("notice"), F.lit(f"({_WORD})"), F.lit(1))).alias("word")
     )
     words = words.where(~F.col("word").isin(COMMON))
     # A whole licence text has many words: counted per task before the shuffle.
-    counted = words.groupBy("notice", "word").agg(F.count(F.lit(1)).alias("tf"))
+    counted = words.groupBy("line", "word").agg(F.count(F.lit(1)).alias("tf"))
     weighed = counted.join(F.broadcast(vectors), "word", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
-    length = weighed.groupBy("notice").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    parts = weighed.where("units is not null").select("notice", "w", F.explode("units").alias("u"))
-    dots = parts.groupBy("notice", F.col("u.template").alias("template")).agg(F.sum(F.col("w") * F.col("u.unit")).alias("dot"))
-    similar = dots.join(length, "notice").withColumn("similarity", F.round(F.col("dot") / F.col("length"), 9))
+    length = weighed.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    parts = weighed.where("units is not null").select("line", "w", F.explode("units").alias("u"))
+    dots = parts.groupBy("line", F.col("u.template").alias("template")).agg(F.sum(F.col("w") * F.col("u.unit")).alias("dot"))
+    similar = dots.join(length, "line").withColumn("similarity", F.round(F.col("dot") / F.col("length"), 9))
     best = F.min_by(F.struct("template", "similarity"), F.struct(-F.col("similarity"), F.col("template")))
     return (
         similar.where(F.col("similarity") >= THRESHOLD)
-        .groupBy("notice")
+        .groupBy("line")
         .agg(best.alias("best"))
-        .select("notice", licence_of(F.col("best.template")).alias("licence"), F.col("best.similarity").alias("similarity"))
+        .select("line", licence_of(F.col("best.template")).alias("licence"), F.col("best.similarity").alias("similarity"))
     )
 
 
@@ -141,11 +142,11 @@ def scan(files: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(_needed()))
     lines = F.when(F.col("_licence_file"), F.array_append(lines, F.col("text"))).otherwise(lines)
     marked = F.col("text").rlike(_needed())
-    held = materialize(
-        rows.where(marked).select("doc_id", "path", "_licence_file", F.explode(F.array_distinct(lines)).alias("notice")), "notices"
-    )
-    scores = materialize(notice_scores(held.select("notice").distinct(), spark), "notice-scores")
-    scored = lookup_join(held, scores, ["notice"], "inner")
+    held = rows.where(marked).select("doc_id", "path", "_licence_file", F.explode(F.array_distinct(lines)).alias("notice"))
+    held = materialize(held.withColumn("line", F.md5(F.col("notice").cast("binary"))), "notices")
+    distinct = held.groupBy("line").agg(F.first("notice").alias("notice"))
+    scores = materialize(notice_scores(distinct, spark), "notice-scores")
+    scored = lookup_join(held.drop("notice"), scores, ["line"], "inner")
     first = F.struct(-F.col("similarity"), F.col("licence"))
     own = scored.groupBy("doc_id", "path", "_licence_file").agg(F.min_by(F.struct("licence", "similarity"), first).alias("best"))
     own = materialize(own.select("doc_id", "path", "_licence_file", "best.licence", "best.similarity"), "own-licences")
