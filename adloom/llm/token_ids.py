@@ -39,6 +39,7 @@ _HEADER = struct.Struct("<4sII")
 # A word no text is likely to hold; words that do hold it are encoded one by one.
 _MARK = "\x02"
 _ENDS = (b".", b",")
+_BEYOND_LATIN = "\u0250"
 
 
 def bits_for(vocabulary: int) -> int:
@@ -168,54 +169,76 @@ class WordEncoder:
     The tokenizer splits at white space and drops it, so the ids of a text are
     those of its words in order. It lower-cases, and takes a stop or comma at the end
     of a word by itself, so ``Word`` and ``word,`` share the work of ``word``. New
-    words go to the library joined by a mark word whose id tells where each ends. The
-    cache is emptied when it is full.
+    words go to the library joined by a mark word whose id tells where each ends. Words
+    of lower-case Latin letters alone are what normalising and splitting leave of them,
+    so they skip both. Half of the words known are forgotten when they become too many;
+    those in use are carried over.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000) -> None:
+    def __init__(self, path: str, most_words: int = 200_000) -> None:
         # One thread: Spark runs as many tasks as there are cores.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.most_words = most_words
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         ids = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
         self.mark = ids[0] if len(ids) == 1 else None
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _encode_words(self, tokenizer, words: list[bytes]) -> None:
+        between = f" {_MARK} ".encode()
+        for start in range(0, len(words), 16_384):
+            new = words[start : start + 16_384]
+            joined = [between.join(new[i : i + 256]).decode("utf-8", "replace") for i in range(0, len(new), 256)]
+            ids: list[int] = []
+            for encoding in tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+                ids += encoding.ids
+                ids.append(self.mark)
+            flat = np.array(ids, np.uint32)
+            ends = 4 * np.flatnonzero(flat == self.mark)
+            data, starts = flat.tobytes(), np.concatenate(([0], ends[:-1] + 4))
+            found = [data[low:high] for low, high in zip(starts.tolist(), ends.tolist(), strict=True)]
+            self.cache.update(zip(new, found, strict=True))
+
     def _learn(self, words: set[bytes]) -> None:
         ended = {w for w in words if w[-1:] in _ENDS and w[-2:-1].isalnum()}
         stems = {w[:-1] for w in ended} | {w[-1:] for w in ended}
-        plain, odd = [], []
+        letters: list[bytes] = []
+        others: list[bytes] = []
         for word in (words - ended) | stems.difference(self.cache):
-            (odd if self.mark is None or _MARK.encode() in word else plain).append(word)
-        for word in odd:
-            self.cache[word] = self._encode(word.decode("utf-8", "replace")).tobytes()
-        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
-        joined = [f" {_MARK} ".join(w.decode("utf-8", "replace") for w in g) for g in groups]
-        coded = self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        for group, encoding in zip(groups, coded, strict=True):
-            ids = np.array(encoding.ids, np.uint32)
-            data, low = ids.tobytes(), 0
-            ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
-            for word, end in zip(group, ends, strict=True):
-                self.cache[word] = data[4 * low : 4 * end]
-                low = end + 1
+            if word.isalpha() and word.islower():
+                letters.append(word)
+            elif self.mark is None or _MARK.encode() in word:
+                self.cache[word] = self._encode(word.decode("utf-8", "replace")).tobytes()
+            else:
+                text = word.decode("utf-8", "replace")
+                (letters if text.isalpha() and text.islower() and max(text) < _BEYOND_LATIN else others).append(word)
+        self._encode_words(self.plain, letters)
+        self._encode_words(self.tokenizer, others)
         for word in ended:
             self.cache[word] = self.cache[word[:-1]] + self.cache[word[-1:]]
 
     def __call__(self, texts: list[bytes]) -> list[np.ndarray]:
         # Special tokens are recognised as written.
         split = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        if len(self.cache) > self.most_words:
-            self.cache.clear()
+        if len(self.cache) > self.most_words // 2:
+            self.older, self.cache = self.cache, {}
         new = set().union(*split).difference(self.cache)
-        if new:
-            self._learn(new)
+        known = new.intersection(self.older)
+        self.cache.update((word, self.older[word]) for word in known)
+        if len(new) > len(known):
+            self._learn(new - known)
         of = self.cache.__getitem__
         return [np.frombuffer(b"".join(map(of, words)), np.uint32) for words in split]
 
