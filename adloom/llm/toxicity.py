@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -57,8 +58,9 @@ PREFIXES = (4, 5, 6, 7)
 SAMPLE_ROWS = 20_000
 # What a lexicon entry has to show.
 LEAST_TEXTS, LEAST_Z, LEAST_WEIGHT = 5, 5.0, 1.0
-# Characters handled at once.
-_BLOCK = 1 << 18
+# Characters handled at once, and words whose features are counted together.
+_BLOCK = 1 << 17
+_WORDS_TOGETHER = 50_000
 
 
 def _codes(text: str) -> np.ndarray:
@@ -106,7 +108,7 @@ def language_model(counts: np.ndarray) -> np.ndarray:
 
 class Decoder:
     def __init__(self, logp: np.ndarray) -> None:
-        self.logp = logp.tolist()
+        self.logp = array("d", logp)
         self.known: dict[str, str] = {}
 
     def _lattice(self, text: str) -> list[list[tuple[int, ...]]]:
@@ -280,7 +282,21 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 _COUNTS = ["toxic", "clean", "toxic_texts", "clean_texts"]
 
 
+def _feature_counts(texts: list[tuple[np.ndarray, int]]) -> pa.RecordBatch:
+    """Words and texts of each kind that have a feature; all words count under feature 0."""
+    rows = [np.concatenate((f.reshape(-1)[f.reshape(-1) != 0], np.zeros(len(f), np.uint64))) for f, _ in texts]
+    unique, at = np.unique(np.concatenate(rows), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    toxic = np.array([t for _, t in texts], np.int64)
+    found = np.unique(at * len(rows) + owner)
+    columns = [pa.array(unique.view(np.int64))]
+    for index, which in ((at, toxic[owner]), (found // len(rows), toxic[found % len(rows)])):
+        columns += [pa.array(np.bincount(index, which == kind, len(unique)).astype(np.int64)) for kind in (1, 0)]
+    return pa.RecordBatch.from_arrays(columns, names=["feature", *_COUNTS])
+
+
 def _texts(column) -> list[str]:
+    pa.default_memory_pool().release_unused()
     return [value or "" for value in column.to_pylist()]
 
 
@@ -339,22 +355,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(shared.value)
         for batch in batches:
-            features, kinds, owners = [], [], []
-            for i, (text, toxic) in enumerate(zip(_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True)):
-                rows = word_features(restore(text, decoder))
-                # All words, under hash 0: the class totals.
-                rows = np.concatenate((rows.reshape(-1)[rows.reshape(-1) != 0], np.zeros(len(rows), np.uint64)))
-                features.append(rows)
-                kinds.append(np.full(len(rows), toxic, np.int64))
-                owners.append(np.full(len(rows), i, np.int64))
-            feature, kind, owner = map(np.concatenate, (features, kinds, owners))
-            unique, at = np.unique(feature, return_inverse=True)
-            found = np.unique(at * len(features) + owner)
-            text_kind = np.array(batch.column(1).to_pylist(), np.int64)[found % len(features)]
-            columns = [pa.array(unique.view(np.int64))]
-            for index, which in ((at, kind), (found // len(features), text_kind)):
-                columns += [pa.array(np.bincount(index, which == k, len(unique)).astype(np.int64)) for k in (1, 0)]
-            yield pa.RecordBatch.from_arrays(columns, names=["feature", *_COUNTS])
+            held: list[tuple[np.ndarray, int]] = []
+            size = 0
+            for text, toxic in zip(_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                held.append((word_features(restore(text, decoder)), toxic))
+                size += len(held[-1][0])
+                if size >= _WORDS_TOGETHER:
+                    yield _feature_counts(held)
+                    held, size = [], 0
+            if held:
+                yield _feature_counts(held)
 
     counted = (
         sample.mapInArrow(count, "feature long, " + ", ".join(f"{c} long" for c in _COUNTS))

@@ -153,4 +153,6 @@ def binary_texts(column) -> list[bytes]:
     """An Arrow string column as bytes; null is empty."""
     import pyarrow as pa
 
+    # What earlier batches needed goes back to the system, not to the pool.
+    pa.default_memory_pool().release_unused()
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
