@@ -126,6 +126,7 @@ def _bridge(ads: DataFrame, dim: DataFrame, list_col: str, name: str, id_col: st
     return joined.select(joined_key(F.col("ad_id"), F.col(id_col)).alias("id"), "ad_id", id_col)
 
 
+# The ad columns that the wide table repeats.
 AD_COLUMNS = [
     "canonical_url",
     "heading",
@@ -157,7 +158,31 @@ def ads_with_ids(
     are repeated; leave out ``article_content`` where only ids are needed."""
     kept = AD_COLUMNS if columns is None else columns
     base = with_employer(ads, employers).select("ad_id", "employer_id", *kept)
-    k = keyword_ads.select("ad_id", F.col("id").alias("keyword_bridge_id"))
-    s = function_ads.select("ad_id", F.col("id").alias("stillingsfunksjon_bridge_id"))
-    # Both joins are on ad_id, so the second one reuses the first one's shuffle.
-    return base.join(k, "ad_id", "left").join(s, "ad_id", "left")
+    # Numbers go through the joins; the text keys are made of them afterwards. Both
+    # joins are on ad_id, so the second one reuses the first one's shuffle.
+    joined = base.join(keyword_ads.select("ad_id", "keyword_id"), "ad_id", "left").join(
+        function_ads.select("ad_id", "stillingsfunksjon_id"), "ad_id", "left"
+    )
+
+    def key(number: str):
+        return F.when(F.col(number).isNotNull(), joined_key(F.col("ad_id"), F.col(number)))
+
+    return joined.select(
+        "ad_id",
+        "employer_id",
+        *kept,
+        key("keyword_id").alias("keyword_bridge_id"),
+        key("stillingsfunksjon_id").alias("stillingsfunksjon_bridge_id"),
+    )
+
+
+def ad_employers(ads: DataFrame, employers: DataFrame, function_ads: DataFrame | None = None) -> DataFrame:
+    """(ad_id, employer_id, rows) of ads with an employer: what counting an employer's
+    keywords needs of the wide table. ``rows`` is how often the wide table repeats a
+    keyword of the ad, once per function."""
+    known = with_employer(ads.select("ad_id", "company_name"), employers).where("employer_id is not null")
+    if function_ads is None:
+        return known.select("ad_id", "employer_id", F.lit(1).cast("bigint").alias("rows"))
+    repeats = function_ads.groupBy("ad_id").agg(F.count(F.lit(1)).alias("rows"))
+    joined = known.select("ad_id", "employer_id").join(repeats, "ad_id", "left")
+    return joined.withColumn("rows", F.coalesce("rows", F.lit(1)))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.operators.dims import (
+    ad_employers,
     ads_with_ids,
     clean_content,
     clean_metadata,
@@ -344,13 +345,22 @@ _ADS_SQL = _COUNTS_SQL.format(n="count(DISTINCT w.ad_id)")
 _ROWS_SQL = _COUNTS_SQL.format(n="count(*)")
 
 
+def _employer_keywords(spark: SparkSession, sf_dir: str, functions: bool = False):
+    """Keywords, their bridge, and each ad's employer."""
+    ads = document_ads(spark, sf_dir).drop("article_content")
+    ads = materialize(ads, "ads")
+    keywords, employers = keyword_dim(ads), employer_dim(ads)
+    by_function = function_bridge(ads, function_dim(ads)) if functions else None
+    return keywords, keyword_bridge(ads, keywords), ad_employers(ads, employers, by_function)
+
+
 @query(
     "employer_top_keywords",
     f'{DOCUMENT_GOLD_SQL}, {_ROWS_SQL} SELECT "count", id, keyword FROM ranked WHERE rank <= 10 AND employer_id = 2',
 )
 def employer_top_keywords(spark, sf_dir):
-    _, keywords, _, _, bridge, wide = _star(document_ads(spark, sf_dir), [])
-    return employer_keywords(wide, bridge, keywords, 2, count_rows=True)
+    keywords, bridge, ads = _employer_keywords(spark, sf_dir, functions=True)
+    return employer_keywords(ads, bridge, keywords, 2, count_rows=True)
 
 
 @query(
@@ -358,8 +368,8 @@ def employer_top_keywords(spark, sf_dir):
     f'{DOCUMENT_GOLD_SQL}, {_ADS_SQL} SELECT employer_id, rank, "count", id, keyword FROM ranked WHERE rank <= 10',
 )
 def employer_top_keywords_all(spark, sf_dir):
-    _, keywords, _, _, bridge, wide = _star(document_ads(spark, sf_dir), [])
-    return employer_keywords_all(wide, bridge, keywords)
+    keywords, bridge, ads = _employer_keywords(spark, sf_dir)
+    return employer_keywords_all(ads, bridge, keywords)
 
 
 # --- the whole flow and the export shape --------------------------------------

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from adloom.functions.values import (
     base64_text,
     category_of_search_key,
+    epoch_ms_or_null,
     food_label,
     product_page_url,
     published_flag,
@@ -24,9 +25,10 @@ from adloom.operators.flatten import (
     structure_to_schema,
     variant_exprs,
 )
-from adloom.operators.normalize import bronze_metadata, published_on, select_categories
+from adloom.operators.normalize import bronze_metadata, normalize_search_key, published_on, select_categories
+from adloom.operators.quality import conform, null_counts
 from adloom.operators.tokens import union_all
-from adloom.schemas import CATEGORY_SCHEMAS, EPOCH_MS_COLUMNS, NESTED_COLUMNS, REDUNDANT_COLUMNS, doc_schema
+from adloom.schemas import JOB_METADATA_DDL, doc_schema
 from adloom.sinks.writers import (
     append_parquet,
     append_partitioned,
@@ -62,72 +64,60 @@ from adloom.streaming.incremental import (
     rows_after,
     run_metadata,
 )
+from driver_queries.expected import DROPPED, EXPECTED
 from driver_queries.registry import load, load_spread, query
 
 # --- Payloads built from `orders`: every field gets a value that depends on the
 # --- order and on the field's name, so a mixed-up path shows.
 
 
-def _value(dtype: T.DataType, path: str) -> Column:
-    if isinstance(dtype, T.StructType):
-        return F.struct(*[_value(f.dataType, f"{path}.{f.name}").alias(f.name) for f in dtype.fields])
-    if isinstance(dtype, T.ArrayType):
-        return F.array(_value(dtype.elementType, path), _value(dtype.elementType, path + "2"))
-    if isinstance(dtype, T.StringType):
-        return F.concat(F.lit(path + "-"), F.col("o_orderkey").cast("string"))
-    if isinstance(dtype, T.LongType):
+def _value(kind: str, path: str) -> Column:
+    if kind == "labels":
+        return F.array(*(F.struct(*(_value("text", f"{p}.{n}").alias(n) for n in ("id", "text", "type"))) for p in (path, path + "2")))
+    if kind == "list":
+        return F.array(_value("text", path), _value("text", path + "2"))
+    if kind == "time":
+        return F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    if kind == "long":
         return F.col("o_orderkey") + F.lit(len(path))
-    return F.col("o_totalprice")
+    return F.col("o_totalprice") if kind == "double" else F.concat(F.lit(path + "-"), F.col("o_orderkey").cast("string"))
 
 
 def _doc(category: str) -> Column:
-    fields = []
-    for f in doc_schema(category).fields:
-        if f.name == "id":
-            value = F.col("o_orderkey").cast("string")
-        elif f.name in EPOCH_MS_COLUMNS:
-            value = F.unix_millis(F.col("o_orderdate").cast("timestamp"))
+    """A document of ``orders`` with every expected field; some lack their coordinates."""
+    fields: dict[str, list[Column] | Column] = {}
+    for path, kind in EXPECTED[category]:
+        name, _, inner = path.partition(".")
+        value = F.col("o_orderkey").cast("string") if path == "id" else _value(kind, path)
+        if inner:
+            fields.setdefault(name, []).append(value.alias(inner))
         else:
-            value = _value(f.dataType, f.name)
-        # Some documents lack their coordinates altogether.
-        if f.name == "coordinates":
-            value = F.when(F.col("o_orderstatus") != "P", value)
-        fields.append(value.alias(f.name))
-    return F.struct(*fields)
-
-
-def _sql_value(dtype: T.DataType, path: str) -> str:
-    if isinstance(dtype, T.ArrayType):
-        first, second = _sql_value(dtype.elementType, path), _sql_value(dtype.elementType, path + "2")
-        return f"{first} || '|' || {second}"
-    if isinstance(dtype, T.StructType):
-        return " || ':' || ".join(_sql_value(f.dataType, f"{path}.{f.name}") for f in dtype.fields)
-    if isinstance(dtype, T.StringType):
-        return f"'{path}-' || o_orderkey"
-    if isinstance(dtype, T.LongType):
+            fields[name] = value
+    whole = {n: F.struct(*v) if isinstance(v, list) else v for n, v in fields.items()}
+    whole["coordinates"] = F.when(F.col("o_orderstatus") != "P", whole["coordinates"])
+    return F.struct(*(v.alias(n) for n, v in whole.items()))
+
+
+def _sql_value(kind: str, path: str) -> str:
+    if kind == "labels":
+        return " || '|' || ".join(" || ':' || ".join(_sql_value("text", f"{p}.{n}") for n in ("id", "text", "type")) for p in (path, path + "2"))
+    if kind == "list":
+        return f"{_sql_value('text', path)} || '|' || {_sql_value('text', path + '2')}"
+    if kind == "time":
+        return "o_orderdate"
+    if kind == "long":
         return f"o_orderkey + {len(path)}"
-    return "o_totalprice"
+    return "o_totalprice" if kind == "double" else f"'{path}-' || o_orderkey"
 
 
 def _flat_sql(category: str, lean: bool) -> str:
-    nested = ["coordinates", *NESTED_COLUMNS[category]]
     columns = {}
-    for f in doc_schema(category).fields:
-        if lean and f.name in REDUNDANT_COLUMNS:
+    for path, kind in EXPECTED[category]:
+        name = path.partition(".")[0]
+        if lean and name in DROPPED:
             continue
-        if f.name == "id":
-            columns["id"] = "o_orderkey"
-        elif f.name in EPOCH_MS_COLUMNS:
-            columns[f.name] = "o_orderdate"
-        elif isinstance(f.dataType, T.StructType):
-            assert not lean or f.name in nested, f.name
-            for sub in f.dataType.fields:
-                value = _sql_value(sub.dataType, f"{f.name}.{sub.name}")
-                if f.name == "coordinates":
-                    value = f"CASE WHEN o_orderstatus <> 'P' THEN {value} END"
-                columns[f"{f.name}_{sub.name}"] = value
-        else:
-            columns[f.name.lower()] = _sql_value(f.dataType, f.name)
+        value = "o_orderkey" if path == "id" else _sql_value(kind, path)
+        columns[path.replace(".", "_")] = f"CASE WHEN o_orderstatus <> 'P' THEN {value} END" if name == "coordinates" else value
     if lean:
         columns.setdefault("published", "CAST(NULL AS TIMESTAMP)")
     y, m = ("y", "m") if lean else ("_y", "_m")
@@ -137,7 +127,9 @@ def _flat_sql(category: str, lean: bool) -> str:
 
 
 def _land_payloads(orders: DataFrame, category: str, path: str) -> None:
-    write_json(orders.select(F.array(_doc(category)).alias("docs")), path, gzip=True)
+    """Payloads of several documents each: the orders of one customer."""
+    payloads = orders.groupBy("o_custkey").agg(F.array_agg(_doc(category)).alias("docs")).select("docs")
+    write_json(payloads, path, gzip=True)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -170,7 +162,7 @@ def _register_category(category: str) -> None:
         return _plain(bronze_metadata(read_payloads(spark, path, category, lean=True), category))
 
 
-for _category in CATEGORY_SCHEMAS:
+for _category in EXPECTED:
     _register_category(_category)
 
 
@@ -543,7 +535,7 @@ def payload_quarantine(spark, sf_dir):
     run_metadata(spark, f"{root}/landing", f"{root}/bronze", None, "car_used")
     rows = spark.read.parquet(f"{root}/bronze").agg(F.lit("row").alias("outcome"), F.count(F.lit(1)).alias("n"))
     lines = read_rejected_payloads(spark, f"{root}/bronze").select(
-        F.col("error").alias("outcome"), F.explode(F.split(F.rtrim("record"), "\n")).alias("line")
+        F.col("error").alias("outcome"), F.explode(F.split(F.regexp_replace("record", r"\s+$", ""), "\n")).alias("line")
     )
     return rows.union(lines.groupBy("outcome").agg(F.count(F.lit(1)).alias("n")))
 
@@ -657,3 +649,59 @@ def decode_base64(spark, sf_dir):
         schema_of(fqn).alias("schema_name"),
         category_of_search_key(F.concat(F.lit("SEARCH_ID_"), "c_mktsegment")).alias("category"),
     )
+
+
+@query("normalize_by_search_key", _flat_sql("job_fulltime", lean=True))
+def normalize_by_search_key(spark, sf_dir):
+    path = fresh_path(spark, "by-key")
+    _land_payloads(load_spread(spark, sf_dir, "orders", "o_orderkey"), "job_fulltime", path)
+    docs = read_payloads(spark, path, "job_fulltime", lean=True).select(F.explode("docs").alias("doc"), "source_file")
+    return _plain(normalize_search_key(docs.select("doc.*", "source_file"), "SEARCH_ID_JOB_FULLTIME"))
+
+
+@query(
+    "lenient_epoch",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS deadline FROM orders""",
+)
+def lenient_epoch(spark, sf_dir):
+    """Text that is no number of milliseconds becomes NULL."""
+    ms = F.unix_millis(F.col("o_orderdate").cast("timestamp")).cast("string")
+    text = F.when(F.col("o_orderstatus") == "F", ms).when(F.col("o_orderstatus") == "O", F.lit("soon"))
+    orders = load(spark, sf_dir, "orders")
+    return _plain(orders.select("o_orderkey", epoch_ms_or_null(text).alias("deadline")))
+
+
+@query(
+    "null_counts",
+    """SELECT count(*) FILTER (o_orderstatus = 'F') AS status, count(*) FILTER (o_totalprice > 100000) AS price,
+              CAST(0 AS BIGINT) AS o_orderkey FROM orders""",
+)
+def null_counts_query(spark, sf_dir):
+    rows = load(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.nullif("o_orderstatus", F.lit("F")).alias("status"),
+        F.when(F.col("o_totalprice") <= 100000, F.col("o_totalprice")).alias("price"),
+    )
+    return null_counts(rows, ["o_orderkey", "status", "price"])
+
+
+@query(
+    "conform_job_metadata",
+    """SELECT o_orderkey AS id, 'job' AS "type", 'key' AS main_search_key, o_orderstatus AS heading, NULL::VARCHAR AS location,
+              o_orderdate AS "timestamp", o_custkey AS ad_type, 'u' || o_orderkey AS canonical_url, 'title' AS job_title,
+              o_orderdate AS published, NULL::VARCHAR AS company_name, o_custkey % 7 AS no_of_positions,
+              NULL::TIMESTAMP AS deadline, o_totalprice AS longitude, NULL::DOUBLE AS latitude, o_orderdate AS created_at,
+              o_orderkey AS ad_id, '0.1' AS occupation FROM orders""",
+)
+def conform_job_metadata(spark, sf_dir):
+    """A declared table: order, types, optional columns added, surplus ones dropped."""
+    orders = load(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("timestamp")
+    rows = orders.select(
+        F.lit("0.1").alias("occupation"), F.col("o_orderkey").cast("string").alias("id"), F.lit("job").alias("type"),
+        F.lit("key").alias("main_search_key"), F.col("o_orderstatus").alias("heading"), day.alias("timestamp"),
+        F.col("o_custkey").alias("ad_type"), F.concat(F.lit("u"), "o_orderkey").alias("canonical_url"),
+        F.lit("title").alias("job_title"), day.alias("published"), (F.col("o_custkey") % 7).cast("string").alias("no_of_positions"),
+        F.col("o_totalprice").alias("longitude"), day.alias("created_at"), F.col("o_orderkey").alias("ad_id"), F.lit(1).alias("surplus"),
+    )
+    return _plain(conform(rows, JOB_METADATA_DDL))
