@@ -25,8 +25,10 @@ from adloom.storage import materialize
 WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 40, 4
-# Shingles of the sets that are compared together.
-BLOCK_SHINGLES = 16_000
+# Shingles of the sets that are compared together; a set counts SET_WEIGHT besides, so
+# that a block has no more than 250 sets.
+BLOCK_SHINGLES, SET_WEIGHT = 16_000, 64
+_MEETINGS = 1 << 19
 # Shingles whose hashes are evaluated at once: bounds the work array to 80 x 4096.
 _CHUNK = 4096
 _RANDOM = np.random.RandomState(75)
@@ -129,8 +131,14 @@ def _alike_pairs(a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.
     a_owner, b_owner = np.repeat(np.arange(len(a_sizes)), a_sizes), np.repeat(np.arange(len(b_sizes)), b_sizes)
     order = np.argsort(b, kind="stable")
     b, b_owner = b[order], b_owner[order]
-    hits, owner = ranges(np.searchsorted(b, a, "left"), np.searchsorted(b, a, "right"))
-    common = np.bincount(a_owner[owner] * len(b_sizes) + b_owner[hits], minlength=len(a_sizes) * len(b_sizes))
+    low, high = np.searchsorted(b, a, "left"), np.searchsorted(b, a, "right")
+    upto = np.cumsum(high - low)
+    common = np.zeros(len(a_sizes) * len(b_sizes), np.int64)
+    # So many meetings at once, however often a shingle repeats.
+    cuts = np.searchsorted(upto, np.arange(_MEETINGS, int(upto[-1]) if len(upto) else 0, _MEETINGS)) + 1
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(a)], strict=True):
+        hits, owner = ranges(low[start:end], high[start:end])
+        common += np.bincount(a_owner[start:end][owner] * len(b_sizes) + b_owner[hits], minlength=len(common))
     common = common.reshape(len(a_sizes), len(b_sizes))
     union = a_sizes[:, None] + b_sizes[None, :] - common
     return np.nonzero(100 * common >= PERCENT * union)
@@ -214,7 +222,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.first("n").alias("n"),
     )
     fullest = materialize(fullest, "anchors")
-    cells = fullest.groupBy("anchor").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("cells"))
+    cells = fullest.groupBy("anchor").agg(F.ceil(F.sum(F.col("n") + SET_WEIGHT) / BLOCK_SHINGLES).alias("cells"))
     cell = F.pmod(F.xxhash64("node"), F.col("cells"))
     blocked = materialize(
         fullest.join(cells, "anchor").select("node", "doc_id", "degree", F.xxhash64("anchor", cell).alias("block")), "blocked"

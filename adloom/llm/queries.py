@@ -19,7 +19,7 @@ from adloom.llm import (
     toxicity,
     warc,
 )
-from adloom.session import configure
+from adloom.llm.batches import prepared
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,7 +27,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(run):
-        QUERIES[name] = lambda spark, sf_dir: run(configure(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: run(prepared(spark), sf_dir)
         if sql is not None:
             ORACLES[name] = sql
         return run
