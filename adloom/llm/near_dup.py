@@ -144,8 +144,8 @@ def _alike_pairs(a: np.ndarray, a_sizes: np.ndarray, b: np.ndarray, b_sizes: np.
     return np.nonzero(100 * common >= PERCENT * union)
 
 
-def _forest(names: list[bytes], first: list[int], second: list[int]) -> Iterator[tuple[bytes, bytes]]:
-    """Of the links given, those that join something not joined before."""
+def _stars(names: list[bytes], first: list[int], second: list[int]) -> Iterator[tuple[bytes, bytes]]:
+    """Of what the links given connect, each name with the smallest one of its part."""
     parent = {name: name for name in names}
 
     def find(x: bytes) -> bytes:
@@ -155,14 +155,13 @@ def _forest(names: list[bytes], first: list[int], second: list[int]) -> Iterator
 
     for i, j in zip(first, second, strict=True):
         x, y = find(names[i]), find(names[j])
-        if x != y:
-            parent[x] = y
-            yield names[i], names[j]
+        parent[max(x, y)] = min(x, y)
+    return ((name, root) for name in parent if (root := find(name)) != name)
 
 
 def confirmed(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Links (a, b) between the two blocks of each pair (a, b), on full sets; a link that
-    would close a circle among those of a pair of blocks is left out."""
+    """What links between the two blocks of each pair (a, b) connect, on full sets: each
+    node with the smallest one of its part."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +169,7 @@ def confirmed(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
             for row in range(batch.num_rows):
                 a_names, a_sizes, a, b_names, b_sizes, b = (column[row].values for column in batch.columns)
                 first, second = _alike_pairs(*(np.asarray(x) for x in (a, a_sizes, b, b_sizes)))
-                links += _forest(a_names.to_pylist() + b_names.to_pylist(), first.tolist(), (second + len(a_names)).tolist())
+                links += _stars(a_names.to_pylist() + b_names.to_pylist(), first.tolist(), (second + len(a_names)).tolist())
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
     columns = ["nodes", "sizes", "shingles"]
@@ -245,8 +244,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     differ = "block <= other and not (lo = hi and other_lo = other_hi and lo = other_lo)"
     open_pairs = parts.join(others, "key").where(differ).select(*_ordered("block", "other"))
     more = confirmed(open_pairs.distinct().join(tried, ["a", "b"], "left_anti"), blocks)
-    links = materialize(more.union(links), "links")
-    roots = materialize(star_components(links), "roots")
+    # What is known is as many edges as nodes.
+    known = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = materialize(star_components(materialize(more.union(known), "links")), "roots")
 
     grouped = (
         nodes.select("node", "doc_id")
