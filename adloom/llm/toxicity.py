@@ -51,7 +51,7 @@ def _signs(signs: str) -> np.ndarray:
     return table
 
 
-_DIGIT, _LEET, _BETWEEN, _MONEY = _signs("0123456789"), _signs("0123456789@$!|+(<€£*"), _signs("._-@$!|+(<€£*"), _signs("@$")
+_DIGIT, _MONEY = _signs("0123456789"), _signs("@$")
 
 PREFIXES = (4, 5, 6, 7)
 # Labelled texts that the lexicon and the regression are fitted on, at most.
@@ -177,21 +177,39 @@ _REPEATED = re.compile(r"([^\W\d_])\1\1", re.IGNORECASE)
 _MIXED = re.compile(r"[^\W\d_][0-9@$!|+(<€£*._-]+[^\W\d_]|[0-9@$!|+(<€£][^\W\d_]|[^\W\d_][0-9]|[^\W\d_][@$]{1,2}(?!\S)")
 
 
+def _matching(pattern: str, beyond: bool) -> np.ndarray:
+    """Which signs a class of the spot patterns takes; ``beyond`` for those past the table."""
+    return np.array([*(bool(re.match(pattern, chr(c))) for c in range(_TABLE_SIZE)), beyond])
+
+
+_SEPARATOR, _INSIDE, _READABLE = _signs(" ._*-"), _signs("0123456789@$!|+(<€£*._-"), _signs("0123456789@$!|+(<€£")
+_ALPHA, _WORD, _SURE = _matching(r"[^\W\d_]", True), _matching(r"[^\W_]", True), _matching(r"[^\W_]", False)
+# What a repeated sign is compared by; signs that differ may be alike here.
+_ALIKE = np.where(_FOLD > 0, _FOLD, 28 * _ALPHA).astype(np.uint8)
+
+
 def _suspicious(codes: np.ndarray) -> bool:
-    """Whether a text can hold a disguised word at all."""
-    folded = _FOLD[codes]
-    letter = folded > 0
-    if (_LEET[codes[:-1]] & letter[1:]).any() or (letter[:-1] & _DIGIT[codes[1:]]).any():
-        return True
-    if (letter[:-2] & _BETWEEN[codes[1:-1]] & letter[2:]).any():
+    """Whether a text can hold a spot that ``restore`` reads anew: true for all that have
+    one of _MIXED, _REPEATED or _SPELLED."""
+    alpha = _ALPHA[codes]
+    if (_READABLE[codes[:-1]] & alpha[1:]).any() or (alpha[:-1] & (_DIGIT | _MONEY)[codes[1:]]).any():
         return True
-    money = np.concatenate((_MONEY[codes], [False, False]))
-    if (letter[:-1] & money[1 : len(letter)] & ~money[3:]).any():
+    # Runs of signs between two letters.
+    inside = _INSIDE[codes]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    if (alpha[edges[:-1]] & alpha[edges[1:] + 1] & inside[edges[1:]]).any():
         return True
-    if (letter[2:] & (folded[2:] == folded[1:-1]) & (folded[1:-1] == folded[:-2])).any():
+    alike = _ALIKE[codes]
+    if (alpha[2:] & (alike[2:] == alike[1:-1]) & (alike[1:-1] == alike[:-2])).any():
         return True
-    alone = letter & ~np.concatenate(([False], letter[:-1])) & ~np.concatenate((letter[1:], [False]))
-    return bool((alone[4:] & alone[2:-2] & alone[:-4]).any())
+    # Three signs of words in a row, each on its own, one or two separators apart.
+    word, sure = _WORD[codes], _SURE[codes]
+    word[1:] &= ~sure[:-1]
+    word[:-1] &= ~sure[1:]
+    alone = np.flatnonzero(word)
+    apart, after = np.diff(alone), alone[:-1]
+    near = (apart >= 2) & (apart <= 3) & _SEPARATOR[codes[after + 1]] & _SEPARATOR[codes[after + apart - 1]]
+    return bool((near[1:] & near[:-1]).any())
 
 
 def restore(text: str, decoder: Decoder) -> str:

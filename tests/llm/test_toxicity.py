@@ -26,6 +26,31 @@ def test_plain_text_stays(decoder):
         assert restore(text, decoder) == text
 
 
+@pytest.mark.parametrize(
+    "written, read",
+    [("i d 1 o t", "idiot"), ("1 d 1 0 t", "idiot"), ("l 0 s 3 r", "loser"), ("m 0 r 0 n", "moron"),
+     ("i  d  i  o  t", "idiot"), ("i. d. i. o. t", "idiot")],
+)
+def test_spelled_words_in_plain_text(written, read):
+    """Nothing else in the text looks disguised."""
+    decoder = Decoder(language_model(gram_counts(["you are such an idiot loser moron and that is all"] * 50)))
+    assert restore(f"you are such an {written} and that is all", decoder).split() == f"you are such an {read} and that is all".split()
+
+
+def test_every_spot_passes_the_first_test():
+    rng = np.random.default_rng(3)
+    signs = list("aabBcé1203@$!|+(<€£*._-  \n") + ["漢", "🎉", "²", "ß", "\u3000", "İ", "i"]
+    patterns = (toxicity._SPELLED, toxicity._REPEATED, toxicity._MIXED)
+    found = 0
+    for n in rng.integers(2, 12, 40_000):
+        text = "".join(rng.choice(signs, n))
+        spots = [m.group() for m in toxicity._DISGUISED.finditer(text)]
+        if any(toxicity._SPELLED.fullmatch(s) or any(p.search(s) for p in patterns[1:]) for s in spots):
+            found += 1
+            assert toxicity._suspicious(toxicity._codes(text)), text
+    assert found > 10_000
+
+
 def test_brute_force_over_all_readings(decoder):
     """Viterbi against every path of the lattice."""
 
