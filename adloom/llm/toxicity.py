@@ -7,7 +7,8 @@
    decoding under the language model picks the reading.
 3. The words of the restored text and their beginnings are weighed by a lexicon
    learned from labelled texts, and a logistic regression over three sums of
-   weights gives the score.
+   weights gives the score. No entry is cut off: weights shrink with the evidence
+   for them, and the regression sees each text without its own share in them.
 
 Text that has one reading only is not sent through the decoder.
 """
@@ -56,8 +57,9 @@ _DIGIT, _MONEY = _signs("0123456789"), _signs("@$")
 PREFIXES = (4, 5, 6, 7)
 # Labelled texts that the lexicon and the regression are fitted on, at most.
 SAMPLE_ROWS = 20_000
-# What a lexicon entry has to show.
-LEAST_TEXTS, LEAST_Z, LEAST_WEIGHT = 5, 5.0, 1.0
+# A lexicon entry with evidence (signed root of the likelihood ratio) of HALF_AT has half
+# its log-odds as weight; STEEPNESS is how fast less evidence takes the rest.
+HALF_AT, STEEPNESS = 3.0, 8
 # Characters handled at once, and words whose features are counted together.
 _BLOCK = 1 << 17
 _WORDS_TOGETHER = 50_000
@@ -248,6 +250,16 @@ def word_features(text: str) -> np.ndarray:
     return np.concatenate(rows)
 
 
+def _measures(total: float, words: int) -> np.ndarray:
+    n = words + 1
+    return np.array([1.0, np.log1p(total), np.log1p(100 * total / n), total / np.sqrt(n)])
+
+
+def _strongest(weights: np.ndarray) -> float:
+    """A word counts once, by its strongest entry."""
+    return float(weights.max(1).sum()) if weights.size else 0.0
+
+
 @dataclass
 class Model:
     logp: np.ndarray
@@ -260,28 +272,57 @@ class Model:
         total = 0.0
         if len(rows) and len(self.entries):
             at = np.minimum(np.searchsorted(self.entries, rows), len(self.entries) - 1)
-            found = np.where(self.entries[at] == rows, self.weights[at], 0.0)
-            # A word counts once, by its strongest entry.
-            total = float(found.max(1).sum())
-        n = len(rows) + 1
-        return np.array([1.0, np.log1p(total), np.log1p(100 * total / n), total / np.sqrt(n)])
+            total = _strongest(np.where(self.entries[at] == rows, self.weights[at], 0.0))
+        return _measures(total, len(rows))
 
     def score(self, text: str, decoder: Decoder) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.sums(text, decoder) @ self.beta, -30, 30))))
 
 
 def lexicon(words: np.ndarray, texts: np.ndarray, total_words: np.ndarray, total_texts: np.ndarray) -> np.ndarray:
-    """Per feature its weight and whether it is taken; arrays of (toxic, clean) counts.
+    """The weight of each feature; arrays of (toxic, clean) counts.
 
-    The weight is the log-odds over words. Taken are features of at least LEAST_TEXTS
-    toxic texts whose number exceeds chance by LEAST_Z standard deviations and whose
-    weight is above LEAST_WEIGHT.
+    It is the smoothed log-odds over words, shrunk by how surely more of the toxic texts
+    hold the feature than of the clean ones; 0 for features that speak for clean texts.
     """
     rates = (words + 0.5) / (total_words + 1)
-    weight = np.log(rates[:, 0]) - np.log(rates[:, 1])
-    n, share = texts.sum(1), total_texts[0] / max(total_texts.sum(), 1)
-    z = (texts[:, 0] - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1e-9))
-    return np.stack((weight, (texts[:, 0] >= LEAST_TEXTS) & (z >= LEAST_Z) & (weight >= LEAST_WEIGHT)), 1)
+    weight = np.maximum(np.log(rates[:, 0]) - np.log(rates[:, 1]), 0)
+    toxic, n, share = texts[:, 0], np.maximum(texts.sum(1), 1), total_texts[0] / max(total_texts.sum(), 1)
+    if not 0 < share < 1:
+        return np.zeros(len(words))
+    ratio = 0.0
+    for k, expected in ((toxic, n * share), (n - toxic, n * (1 - share))):
+        ratio = ratio + 2 * k * np.log(np.maximum(k, 1) / expected)
+    evidence = np.sqrt(np.where(toxic > n * share, np.maximum(ratio, 0), 0)) ** STEEPNESS
+    return weight * evidence / (evidence + HALF_AT**STEEPNESS)
+
+
+@dataclass
+class Counts:
+    """What the lexicon is made of: (toxic, clean) words and texts of each feature."""
+
+    features: np.ndarray  # sorted hashes
+    words: np.ndarray
+    texts: np.ndarray
+    total_words: np.ndarray
+    total_texts: np.ndarray
+
+    def sums_without(self, rows: np.ndarray, toxic: int) -> np.ndarray:
+        """The sums of a text that is counted here, weighed by the other texts."""
+        unique, back, own = np.unique(rows.reshape(-1), return_inverse=True, return_counts=True)
+        if not len(rows) or not len(self.features):
+            return _measures(0.0, len(rows))
+        at = np.minimum(np.searchsorted(self.features, unique), len(self.features) - 1)
+        found = np.flatnonzero(self.features[at] == unique)
+        kind = np.array([toxic, 1 - toxic])
+        weights = np.zeros(len(unique))
+        weights[found] = lexicon(
+            self.words[at[found]] - np.outer(own[found], kind),
+            self.texts[at[found]] - kind,
+            self.total_words - len(rows) * kind,
+            self.total_texts - kind,
+        )
+        return _measures(_strongest(weights[back].reshape(rows.shape)), len(rows))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -388,24 +429,25 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         sample.mapInArrow(count, "feature long, " + ", ".join(f"{c} long" for c in _COUNTS))
         .groupBy("feature")
         .agg(*(F.sum(c).alias(c) for c in _COUNTS))
-        .where((F.col("feature") == 0) | (F.col("toxic_texts") >= LEAST_TEXTS) & (F.col("toxic") > F.col("clean") / 8))
+        .where((F.col("feature") == 0) | (F.col("toxic_texts") > 0))
         .toPandas()
     )
-    found = counted[_COUNTS].to_numpy(np.float64).reshape(-1, 2, 2)
-    whole = counted.feature.to_numpy() == 0
+    found = counted[_COUNTS].to_numpy(np.int32).reshape(-1, 2, 2)
+    hashes = counted.feature.to_numpy(np.int64).view(np.uint64)
+    whole = hashes == 0
     # Texts without any word are in no row; the share of toxic texts needs the others only.
     totals = found[whole].sum(0) if whole.any() else np.zeros((2, 2))
-    weights = lexicon(found[~whole, 0], found[~whole, 1], totals[0], totals[1])
-    taken = weights[:, 1] > 0
-    hashes = counted.feature.to_numpy(np.int64)[~whole][taken].view(np.uint64)
-    order = np.argsort(hashes)
-    model = Model(logp, hashes[order], weights[taken, 0][order], np.zeros(4))
-    measured = docs.sparkSession.sparkContext.broadcast(model)
+    order = np.flatnonzero(~whole)[np.argsort(hashes[~whole])]
+    counts = Counts(hashes[order], found[order, 0], found[order, 1], totals[0], totals[1])
+    weights = lexicon(counts.words, counts.texts, totals[0], totals[1])
+    model = Model(logp, counts.features[weights > 0], weights[weights > 0], np.zeros(4))
+    measured = docs.sparkSession.sparkContext.broadcast(counts)
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(measured.value.logp)
+        decoder = Decoder(shared.value)
         for batch in batches:
-            x = np.array([measured.value.sums(t, decoder) for t in _texts(batch.column(0))]).reshape(-1, 4)
+            labelled = zip(_texts(batch.column(0)), batch.column(1).to_pylist(), strict=True)
+            x = np.array([measured.value.sums_without(word_features(restore(t, decoder)), y) for t, y in labelled]).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in x.T), batch.column(1)], names=["a", "b", "c", "d", "toxic"])
 
     fitted = sample.mapInArrow(measure, "a double, b double, c double, d double, toxic int").toPandas()

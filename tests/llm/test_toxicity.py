@@ -124,3 +124,23 @@ def test_documents_held_out(spark, sf_dir, documents):
     rows = score(docs, fit(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
     assert (rows.predicted == rows.toxic).mean() > 0.97
     assert rows.predicted[rows.toxic == 1].mean() > 0.85
+
+
+@pytest.mark.parametrize("scale, accuracy, recall", [("0.001", 0.94, 1.0), ("0.01", 0.95, 0.6)])
+def test_held_out_recall_with_few_labels(spark, sf_dir, scale, accuracy, recall):
+    small = sf_dir.replace("0.001", scale)
+    docs, labels = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "labels"))
+    rows = score(docs, fit(docs, labels)).join(labels, "doc_id").where("held_out").toPandas()
+    assert (rows.predicted == rows.toxic).mean() > accuracy
+    assert rows.predicted[rows.toxic == 1].mean() >= recall
+
+
+def test_weights_grow_with_the_evidence():
+    texts = np.array([[k, 0] for k in range(1, 12)] + [[0, 5], [10, 100]])
+    weights = toxicity.lexicon(texts, texts, np.array([1000, 10_000]), np.array([10, 100]))
+    assert (np.diff(weights[:11]) > 0).all() and weights[0] > 0
+    assert weights[11] == weights[12] == 0
+    # A text has no share in what it is weighed by.
+    counts = toxicity.Counts(np.array([5], np.uint64), np.array([[1, 0]]), np.array([[1, 0]]), np.array([50, 50]), np.array([4, 4]))
+    rows = np.array([[5, 0, 0, 0, 0]], np.uint64)
+    assert counts.sums_without(rows, 1)[1] == 0
