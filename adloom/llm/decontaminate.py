@@ -6,8 +6,8 @@ threshold serves items of any length. Retrieval is block-max WAND: items stand i
 blocks, each term keeps its largest weight per block, and a block is scored only
 when the largest weights of the passage's terms can reach the threshold. Terms of
 the least weight, which cannot lift an item over half the threshold, open no block.
-Passages retrieved are verified: enough of the question's word runs and of the
-answer's words must stand in them.
+All passages retrieved are verified: enough of the question's word runs and of the
+answer's words must stand in one of them.
 """
 
 from __future__ import annotations
@@ -155,8 +155,8 @@ class Searcher:
         return at[hit], found[hit]
 
     def __call__(self, texts: list[bytes]) -> Iterator[tuple[int, int, float, float, float]]:
-        """(text number, item number, score, question and answer overlap), the best
-        passage of each pair."""
+        """(text number, item number, score, question and answer overlap) of each pair: the
+        best score of its passages, and the overlaps of the passage that shows most."""
         index = self.index
         if not len(index.terms):
             return
@@ -198,20 +198,28 @@ class Searcher:
         pairs, back = np.unique(where[kept] * len(index.item_ids) + items[kept], return_inverse=True)
         scores = np.bincount(back, index.weights[posting[kept]], len(pairs))
         found = np.flatnonzero(scores >= THRESHOLD - 1e-9)
-        best: dict[tuple[int, int], tuple[float, int, int]] = {}
+        best: dict[tuple[int, int], tuple[bool, float, float]] = {}
+        top: dict[tuple[int, int], float] = {}
+        # Pairs come passage by passage; runs of a passage are hashed once for each length.
+        now, runs = -1, {}
         for pair, score in zip(pairs[found].tolist(), scores[found].tolist(), strict=True):
             start, item = divmod(pair, len(index.item_ids))
+            if start != now:
+                now, runs = start, {}
             doc = int(docs[start])
-            if (doc, item) not in best or score > best[doc, item][0] + 1e-12:
-                best[doc, item] = (score, int(lows[start]), int(highs[start]))
-        for (doc, item), (score, low, high) in sorted(best.items()):
-            yield doc, item, score, *self._overlap(words[low:high], item)
-
-    def _overlap(self, passage: np.ndarray, item: int) -> tuple[float, float]:
+            question, answer = self._overlap(words[lows[start] : highs[start]], item, runs)
+            shown = (question >= QUESTION_OVERLAP and answer >= ANSWER_OVERLAP, question, answer)
+            best[doc, item] = max(best.get((doc, item), shown), shown)
+            top[doc, item] = max(top.get((doc, item), score), score)
+        for (doc, item), (_, question, answer) in sorted(best.items()):
+            yield doc, item, top[doc, item], question, answer
+
+    def _overlap(self, passage: np.ndarray, item: int, known: dict[int, np.ndarray]) -> tuple[float, float]:
         runs, answer = self.index.question_runs[item], self.index.answers[item]
         length = min(RUN, self.index.question_lengths[item])
-        there = in_order(passage, max(len(passage) - length + 1, 0), length) if length else passage
-        question = float(np.isin(runs, there).mean()) if len(runs) else 1.0
+        if length not in known:
+            known[length] = in_order(passage, max(len(passage) - length + 1, 0), length) if length else passage
+        question = float(np.isin(runs, known[length]).mean()) if len(runs) else 1.0
         return question, float(np.isin(answer, passage).mean()) if len(answer) else 1.0
 
 
@@ -223,7 +231,9 @@ def find_leaks(
     shard_words: int = SHARD_WORDS,
 ) -> DataFrame:
     """A row for each text and benchmark item whose BM25 share in some passage reaches
-    THRESHOLD, with the overlaps of its best passage; ``leaked`` when both reach theirs.
+    THRESHOLD; ``score`` is the largest share. Every such passage is verified: ``leaked``
+    when both overlaps reach theirs in one of them. The overlaps are those of a passage
+    where they do, if any, and of those the one with the largest question overlap.
 
     Null and empty texts give no rows, nor do items without words. Rows of ``docs``
     that are repeated give their rows again; of benchmark rows with one ``item_id`` and

@@ -109,3 +109,19 @@ def test_question_and_answer():
     assert question_and_answer("line one\nline two") == ("line one\n", "line two")
     assert question_and_answer("only this.") == ("only this.", "")
     assert question_and_answer("") == ("", "")
+
+
+def test_every_passage_is_verified(spark):
+    """Shuffled copies, with as many of the words or more, stand before the copy that counts."""
+    rng = np.random.default_rng(5)
+    items = [*benchmark_of(), (90, " ".join(f"long{i}" for i in range(300)))]
+    rows = []
+    for i, text in items[:10]:
+        shuffled, edited = rng.permutation(text.split()), text.split()
+        edited[3] = "changed"
+        rows.append((i, " ".join([*shuffled, *(FILLER * 3), text, *FILLER])))
+        rows.append((100 + i, " ".join([*shuffled, *(FILLER * 3), " ".join(edited), *FILLER])))
+        rows.append((200 + i, " ".join([*shuffled, *(FILLER * 3), *shuffled])))
+    found = find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, ITEMS))
+    assert leaks(found) == {(d, i) for i in range(10) for d in (i, 100 + i)}
+    assert {r.question_overlap for r in found.collect() if r.doc_id < 10} == {1.0}
