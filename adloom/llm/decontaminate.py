@@ -7,7 +7,8 @@ blocks, each term keeps its largest weight per block, and a block is scored only
 when the largest weights of the passage's terms can reach the threshold. Terms of
 the least weight, which cannot lift an item over half the threshold, open no block.
 All passages retrieved are verified: enough of the question's word runs and of the
-answer's words must stand in one of them.
+answer's words must stand in one of them. Only an item that has an answer is split;
+other texts, such as prose, are all question.
 """
 
 from __future__ import annotations
@@ -44,6 +45,20 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (text[: ends[-1]], text[ends[-1] :]) if ends else (text, "")
 
 
+# A word that opens an answer; a single letter does so at the start of a line only.
+_ANSWER = re.compile(r"(?:\b(?:answer|solution|antwort|lösung|réponse|respuesta)|^[ \t]*a)[ \t]*:(?=\s*\S)", re.IGNORECASE | re.MULTILINE)
+
+
+def parts_to_find(text: str) -> tuple[str, str]:
+    """Question and answer where the text marks an answer or ends in what follows a
+    question mark; any other text is all question."""
+    marked = [m.start() for m in _ANSWER.finditer(text) if text[: m.start()].strip()]
+    if marked:
+        return text[: marked[-1]], text[marked[-1] :]
+    question, answer = question_and_answer(text)
+    return (question, answer) if question.rstrip().endswith("?") else (text, "")
+
+
 def _runs(words: np.ndarray) -> np.ndarray:
     if not len(words):
         return words
@@ -78,7 +93,7 @@ def _csr(keys: np.ndarray, n: int) -> np.ndarray:
 
 def build_index(items: list[tuple[int, str]], df: dict[int, int], n_items: int, mean_length: float, passage: int) -> Index:
     """``df``: number of items with each term, over the whole benchmark."""
-    parts = [question_and_answer(text) for _, text in items]
+    parts = [parts_to_find(text) for _, text in items]
     questions = _word_lists([q for q, _ in parts])
     answers = _word_lists([a for _, a in parts])
     term_of, item_of, weight_of, light = [], [], [], []

@@ -4,7 +4,7 @@ import re
 import numpy as np
 
 from adloom.llm import decontaminate
-from adloom.llm.decontaminate import Searcher, build_index, find_leaks, question_and_answer, without_leaks
+from adloom.llm.decontaminate import Searcher, build_index, find_leaks, parts_to_find, question_and_answer, without_leaks
 from adloom.llm.words import PARTS, hashed_words
 
 ITEMS = "item_id long, text string"
@@ -125,3 +125,28 @@ def test_every_passage_is_verified(spark):
     found = find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, ITEMS))
     assert leaks(found) == {(d, i) for i in range(10) for d in (i, 100 + i)}
     assert {r.question_overlap for r in found.collect() if r.doc_id < 10} == {1.0}
+
+
+def test_only_marked_answers_are_split_off():
+    assert parts_to_find("What is it? A cat.") == ("What is it?", " A cat.")
+    assert parts_to_find("Pick one.\nA: the cat. It purrs.") == ("Pick one.\n", "A: the cat. It purrs.")
+    assert parts_to_find("Explain. Answer: a cat") == ("Explain. ", "Answer: a cat")
+    for text in ("One. Two. Er.", "line one\nline two", "Why? So it is. It ends.", "Answer: yes.", "only this?", ""):
+        assert parts_to_find(text) == (text, "")
+
+
+def test_prose_without_its_last_sentence_is_a_leak(spark):
+    prose = [(i, ". ".join(" ".join(f"w{i}x{s}x{j}" for j in range(9)) for s in range(4)) + ". Er.") for i in range(5)]
+    asked = [(50, " ".join(f"q{j}" for j in range(20)) + "? It is the answer")]
+    rows = [(i, around(text.removesuffix(" Er."))) for i, text in prose] + [(50, around(asked[0][1].split("?")[0]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert leaks(find_leaks(docs, spark.createDataFrame(prose + asked, ITEMS))) == {(i, i) for i in range(5)}
+
+
+def test_table_items_without_their_last_sentence(spark, sf_dir):
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
+    rows = [(r.item_id, around(question_and_answer(r.text)[0])) for r in benchmark]
+    # At least half of the item has to stand before its last sentence.
+    long = {i for i, text in rows for r in benchmark if r.item_id == i and len(question_and_answer(r.text)[0]) >= 0.7 * len(r.text)}
+    found = leaks(find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(benchmark)))
+    assert len(long) > 10 and {(i, i) for i in long} <= found
