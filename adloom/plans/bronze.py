@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from adloom.functions.text import replace_nul
 from adloom.functions.values import category_name
-from adloom.operators.pages import main_subtree
+from adloom.operators.pages import main_subtree, parse_errors
 from adloom.sinks.writers import append_parquet
 from adloom.sources.readers import read_ad_html, read_ad_urls, source_path, union_pages, unless_missing
-from adloom.streaming.incremental import crawl_frontier, run_content, run_metadata
+from adloom.storage import materialize
+from adloom.streaming.incremental import append_new, crawl_frontier, run_content, run_metadata
 
 # Configured search keys and occupations.
 SEARCH_KEYS = [
@@ -71,13 +72,27 @@ def land_search_pages(pages: DataFrame, landing_root: str, category: str = "job_
     append_parquet(rows, source_path(landing_root, "ad_urls", category))
 
 
-def land_fetched_pages(fetched: DataFrame, landing_root: str, category: str = "job_fulltime") -> None:
+def land_fetched_pages(fetched: DataFrame, landing_root: str, category: str = "job_fulltime", rejects: str | None = None) -> None:
     """Fetched pages (id, html) to the page table: the main part, without NULs. A page
-    that cannot be read or has no main part is stored as NULL, and fetched once."""
-    rows = main_subtree(fetched).select(
-        replace_nul(F.col("html_main")).alias("html_main"), F.col("id").cast("string").alias("id"), F.current_timestamp().alias("ingestion_ts")
+    that cannot be read or has no main part is stored as NULL, and fetched once; its whole
+    html and the reason go to ``rejects`` (``<page table>_rejected`` by default), which
+    ``read_rejected_content`` reads."""
+    target = source_path(landing_root, "ad_html", category)
+    pages = materialize(main_subtree(fetched.select(F.col("id").cast("string").alias("id"), "html")), "fetched")
+    refused = parse_errors(pages.where("html_main is null"))
+    reason = F.when(F.col("html").isNull(), "no page").otherwise(F.coalesce("parse_error", F.lit("no main part")))
+    refused = refused.select(
+        "id",
+        F.lit(None).cast("string").alias("canonical_url"),
+        F.lit(None).cast("string").alias("job_type"),
+        reason.alias("error"),
+        F.col("html").alias("html_main"),
+        F.sha2("html", 256).alias("html_hash"),
     )
-    append_parquet(rows, source_path(landing_root, "ad_html", category))
+    # Before the page table, which says that the page needs no other fetch.
+    append_new(refused.distinct(), rejects or f"{target}_rejected", (), ["id", "html_hash"])
+    rows = pages.select(replace_nul(F.col("html_main")).alias("html_main"), "id", F.current_timestamp().alias("ingestion_ts"))
+    append_parquet(rows, target)
 
 
 def pages_to_fetch(spark: SparkSession, landing_root: str, category: str = "job_fulltime") -> DataFrame:

@@ -3,6 +3,8 @@ stops; the checkpoint, not a tag on the object, records what is done."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +51,7 @@ def _missing(rows: DataFrame, stored: DataFrame | None, keys: list[str]) -> Data
     return rows.join(known, same, "left_anti")
 
 
-def _append_new(rows: DataFrame, path: str, by: tuple[str, ...], keys: list[str]) -> None:
+def append_new(rows: DataFrame, path: str, by: tuple[str, ...], keys: list[str]) -> None:
     """Append what the table does not hold. A batch that is run again, or a run whose
     checkpoint was lost, finds its rows stored and adds nothing."""
     spark = rows.sparkSession
@@ -100,9 +102,9 @@ def run_metadata(
     def write(batch: DataFrame, _: int) -> None:
         parsed = materialize(parse_payloads(json_records(batch), category, lean=not keep_nested, keep_other=True), "payloads")
         rows = bronze_metadata(parsed.where("error is null").drop("error", "record"), category, keep_nested)
-        _append_new(rows, target, ("_y", "_m") if keep_nested else ("y", "m"), ["source_file"])
+        append_new(rows, target, ("_y", "_m") if keep_nested else ("y", "m"), ["source_file"])
         bad = parsed.where("error is not null").select("source_file", "record", "error")
-        _append_new(bad, rejects, (), ["source_file", "record"])
+        append_new(bad, rejects, (), ["source_file", "record"])
 
     return _drain(files, checkpoint or default_checkpoint(target), write)
 
@@ -137,7 +139,8 @@ def run_content(
     every run tries again.
 
     A page version is stored once per URL however files are dealt to batches and runs;
-    its ingestion time is the earliest of the batch that stored it.
+    its ingestion time is the earliest of the batch that stored it. URLs that an ad gets
+    after its page was stored are joined to the landed page by the next run.
     """
     waiting = waiting or f"{target.rstrip('/')}_waiting"
     # Once per run, not once per batch.
@@ -150,18 +153,22 @@ def run_content(
             if done is not None:
                 versions = _missing_versions(versions, done, known)
         rows = materialize(content_rows(versions, known), "content")
-        _append_new(accepted(rows), target, ("y", "m"), ["id", "canonical_url", "html_hash"])
-        _append_new(quarantined(rows), quarantine, (), ["id", "canonical_url", "html_hash"])
+        append_new(accepted(rows), target, ("y", "m"), ["id", "canonical_url", "html_hash"])
+        append_new(quarantined(rows), quarantine, (), ["id", "canonical_url", "html_hash"])
 
     def write(batch: DataFrame, _: int) -> None:
         store(batch)
         orphans = page_versions(batch).join(known.select("id").distinct(), "id", "left_anti")
-        _append_new(orphans.select("html_main", "id", "ingestion_ts", "html_hash"), waiting, (), ["id", "html_hash"])
+        append_new(orphans.select("html_main", "id", "ingestion_ts", "html_hash"), waiting, (), ["id", "html_hash"])
 
     held = read_or_empty(spark, waiting, AD_HTML_DDL)
     found = held.join(known.select("id").distinct(), "id", "left_semi")
     if not found.isEmpty():
         store(found)
+    late = materialize(_lacking_urls(spark, known, (target, quarantine)), "late-urls")
+    if not late.isEmpty():
+        landed = spark.read.schema(AD_HTML_DDL).option("recursiveFileLookup", True).parquet(html_landing)
+        store(landed.join(late, "id", "left_semi"))
     pages = _files(spark, files_per_batch).schema(AD_HTML_DDL).parquet(html_landing)
     return _drain(pages, checkpoint or default_checkpoint(target), write)
 
@@ -174,6 +181,17 @@ def _missing_versions(versions: DataFrame, done: DataFrame, urls: DataFrame) ->
     return versions.join(complete, ["id", "html_hash"], "left_anti")
 
 
+def _lacking_urls(spark: SparkSession, urls: DataFrame, paths: tuple[str, ...]) -> DataFrame:
+    """Ids with a stored page version that has no row for some URL of theirs."""
+    keys = ["id", "canonical_url", "html_hash"]
+    tables = [table.select(*keys) for table in (_stored(spark, path) for path in paths) if table is not None]
+    if not tables:
+        return urls.select("id").limit(0)
+    done = reduce(DataFrame.union, tables).distinct()
+    wanted = done.select("id", "html_hash").distinct().join(urls.select("id", "canonical_url"), "id")
+    return wanted.join(done, keys, "left_anti").select("id").distinct()
+
+
 def read_rejected_payloads(spark: SparkSession, target: str) -> DataFrame:
     """Readable also when nothing was rejected."""
     return read_or_empty(spark, f"{target.rstrip('/')}_rejected", PAYLOAD_REJECTS_DDL)

@@ -339,6 +339,20 @@ def content_waiting(spark, sf_dir):
     return _content(spark, target, rejected)
 
 
+@query("content_second_url", f"SELECT q.* FROM ({_CONTENT_SQL.format(occupation='source')}) q, range(2)")
+def content_second_url(spark, sf_dir):
+    """Every ad gets a second URL one run after its page was stored."""
+    root = fresh_path(spark, "content")
+    landing, bronze = f"{root}/landing", f"{root}/bronze"
+    pages = _ad_pages(spark, sf_dir)
+    append_parquet(_stored(pages), source_path(landing, "ad_html", "job_fulltime"))
+    for end in ("", "?second"):
+        listed = _listed(pages).withColumn("canonical_url", F.concat("canonical_url", F.lit(end)))
+        append_parquet(listed, source_path(landing, "ad_urls", "job_fulltime"))
+        target, rejected = ingest_content(spark, landing, bronze)
+    return _content(spark, target, rejected)
+
+
 _OCCUPATION_CASE = "CASE CAST(id AS BIGINT) % 5 " + " ".join(f"WHEN {i} THEN '{o}'" for i, o in enumerate(OCCUPATIONS)) + " END"
 
 

@@ -11,6 +11,7 @@ from adloom.operators.flatten import distinct_keys
 from adloom.operators.joins import heavy_keys, salted_join
 from adloom.operators.pages import article_record, list_items, main_subtree, parse_errors, subtree_text
 from adloom.operators.quality import QualityError
+from adloom.plans.bronze import land_fetched_pages
 from adloom.sinks.writers import export_frame, key_statements, write_csv
 from adloom.sources import readers as R
 from adloom.storage import shared_folder
@@ -128,6 +129,29 @@ def test_pages_wait_for_their_url(spark, tmp_path):
     assert ids(spark, target) == ["1", "2"]
 
 
+def test_second_url_after_the_page(spark, tmp_path):
+    landing, target, bad = (str(tmp_path / d) for d in ("html", "content", "bad"))
+    store(spark, landing, [(PAGE, "1"), ("<main>no layout</main>", "2")])
+    first = url_table(spark, 1, 2)
+    second = first.union(first.withColumn("canonical_url", F.concat("canonical_url", F.lit("?second"))))
+    for urls, times in ((first, 1), (second, 2), (second, 2)):
+        run_content(spark, landing, urls, target, bad, None)
+        assert ids(spark, target) == ["1"] * times and ids(spark, bad) == ["2"] * times
+    assert spark.read.parquet(target).select("canonical_url").distinct().count() == 2
+
+
+def test_refused_fetched_pages_are_kept(spark, tmp_path):
+    landing = str(tmp_path)
+    pages = [(1, f"<html>{PAGE}</html>"), (2, "<main><![x[y]]></main>"), (3, "<p>no main</p>"), (4, None)]
+    fetched = spark.createDataFrame(pages, "id int, html string")
+    for _ in range(2):
+        land_fetched_pages(fetched, landing)
+    table = R.source_path(landing, "ad_html", "job_fulltime")
+    assert ids(spark, table) == sorted("1234" * 2)
+    kept = sorted((r.id, r.error, r.html_main) for r in read_rejected_content(spark, f"{table}_rejected").collect())
+    assert kept == [("2", "unreadable page: AssertionError", pages[1][1]), ("3", "no main part", pages[2][1]), ("4", "no page", None)]
+
+
 def test_unreadable_pages_cost_themselves_only(spark):
     broken = "<main><![x[y]]></main>"
     assert article_record(broken, "fulltime") == {"error": "unreadable page: AssertionError"}
