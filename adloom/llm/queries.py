@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adloom.llm import (
+    chat,
     decontaminate,
     fingerprints,
+    lexical,
     licences,
     mixing,
     near_dup,
@@ -18,6 +20,7 @@ from adloom.llm import (
     token_ids,
     toxicity,
     warc,
+    whitening,
 )
 from adloom.llm.batches import prepared
 
@@ -90,6 +93,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(load(spark, sf_dir, "documents"))
 
 
+@query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings"))
+
+
+@query("op12_lexical", lexical.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@query("op13_chat", chat.oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted_conversations(load(spark, sf_dir, "conversations"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

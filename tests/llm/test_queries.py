@@ -20,7 +20,7 @@ def test_query(spark, con, sf_dir, name):
 def test_one_query_for_each_operator():
     import __spark_entry__ as entry
 
-    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 14)] == [1] * 13
     assert QUERIES.keys() <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
 
 
