@@ -199,7 +199,7 @@ def parse_csv_payload(df: DataFrame, column: str, ddl: str) -> DataFrame:
     the header's names, in any order."""
     kept = [c for c in df.columns if c != column]
     records = F.regexp_extract_all(F.col(column), F.lit(_CSV_RECORD), F.lit(1))
-    rows = df.select(*kept, F.get(records, F.lit(0)).alias("_head"), F.posexplode(F.slice(records, 2, 2**31 - 1)).alias("_at", "_line"))
+    rows = df.select(*kept, F.get(records, F.lit(0)).alias("_head"), F.posexplode(F.slice(records, F.lit(2), F.size(records))).alias("_at", "_line"))
     names = F.transform(F.split("_head", ","), lambda n: F.lower(F.trim(F.btrim(F.trim(n), F.lit('"')))))
     cells = F.regexp_extract_all(F.concat(F.lit(","), F.col("_line")), F.lit(r',("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
     plain = F.transform(
