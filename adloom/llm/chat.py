@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adloom.operators.joins import heavy_keys
+
 # Template: fixed values of the format that is written.
 OPEN, BODY, CLOSE = "### ", ":\n", "</turn>\n"
 LEARNED_ROLE = "assistant"
@@ -24,6 +26,9 @@ LEARNED_ROLE = "assistant"
 # Code points of one delta of a laid out log.
 DELTA = 400
 
+# A conversation with more events than this is spread over tasks by message.
+EVENTS_PER_TASK = 500_000
+
 LOG_DDL = "conv_id long, turn long, message long, seq long, kind string, role string, text string"
 
 
@@ -84,8 +89,7 @@ def laid_out(conversations: DataFrame) -> DataFrame:
 def messages(log: DataFrame) -> DataFrame:
     """(conv_id, turn, message, role, text): every message of the log as it ended up.
 
-    Grouped by message, so that a conversation with very many rows is spread over tasks
-    until its messages are done. An event that was delivered twice counts once; events of
+    An event that was delivered twice counts once; events of
     one sequence number apply by kind and text; events without a number come first. A
     message without text is empty, one without ``open`` has no turn and no role; unknown
     kinds change nothing. Rows without a conversation or message belong to the one
@@ -103,21 +107,39 @@ def messages(log: DataFrame) -> DataFrame:
     )
 
 
-def rendered(log: DataFrame) -> DataFrame:
+def rendered(log: DataFrame, events_per_task: int = EVENTS_PER_TASK) -> DataFrame:
     """(conv_id, formatted, loss_mask) per conversation of a log (``LOG_DDL``; other columns
     are ignored).
 
     ``loss_mask`` lists what is learned: ``length`` code points from ``start`` on in the
-    segment ``segment`` of ``formatted``, where a segment ends after its end of turn. Texts
-    are escaped and framed message by message; only the joining of finished segments takes
-    a whole conversation, which is one row of the result and has to fit one. Turns without
-    a number come last, equal ones by role and text. No rows give no conversations.
+    segment ``segment`` of ``formatted``, where a segment ends after its end of turn. Turns
+    without a number come last, equal ones by role and text. No rows give no conversations.
+
+    Events are dealt by conversation, so that folding and joining share one exchange. A
+    conversation with very many events is dealt by message instead, folded, escaped and
+    framed in many tasks; only the joining of its finished segments takes the whole, which
+    is one row of the result and has to fit one.
     """
+    log = log.select("conv_id", "turn", "message", "seq", "kind", "role", "text")
+    heavy = heavy_keys(log, ["conv_id"], events_per_task)
+    if heavy is None and log.where("conv_id is null").limit(1).isEmpty():
+        return _joined(_framed(log.repartition("conv_id")))
+    # Rows without a conversation count as one that may be of any size.
+    many = log.where("conv_id is null")
+    few = log.where("conv_id is not null")
+    if heavy is not None:
+        many = many.unionAll(few.join(heavy, "conv_id", "left_semi"))
+        few = few.join(heavy, "conv_id", "left_anti")
+    return _joined(_framed(few.repartition("conv_id"))).unionAll(_joined(_framed(many)))
+
+
+def _framed(log: DataFrame) -> DataFrame:
+    """Finished segments, one per message, with all that sorts them and finds their text."""
     role, body = escaped_role(F.coalesce("role", F.lit(""))), escaped(F.col("text"))
     framed = messages(log).select(
         "conv_id", F.col("turn").isNull().alias("_open"), "turn", F.coalesce("role", F.lit("")).alias("role"), role.alias("_role"), body.alias("_body")
     )
-    segments = framed.select(
+    return framed.select(
         "conv_id",
         F.struct(
             "_open", "turn", "role",
@@ -126,6 +148,9 @@ def rendered(log: DataFrame) -> DataFrame:
             F.length("_body").alias("length"),
         ).alias("_s"),
     )
+
+
+def _joined(segments: DataFrame) -> DataFrame:
     whole = segments.groupBy("conv_id").agg(F.array_sort(F.collect_list("_s")).alias("_s"))
     learned = F.transform(
         "_s", lambda s, i: F.when(s["role"] == LEARNED_ROLE, F.struct(i.alias("segment"), s["start"].alias("start"), s["length"].alias("length")))

@@ -101,6 +101,17 @@ def test_awkward_rows_against_sql(spark, tmp_path):
     assert sorted(map(tuple, ours.select(*theirs.columns).collect()), key=repr) == sorted(theirs.fetchall(), key=repr)
 
 
+def test_conversations_with_many_events(spark):
+    draw = random.Random(6)
+    rows = [(draw.choice([1, 1, 2, None, i]), i, draw.choice(["user", "assistant"]), f"text {i} " * draw.randint(0, 200)) for i in range(400)]
+    log = chat.laid_out(spark.createDataFrame(rows, ROWS).repartition(7))
+    assert got(chat.rendered(log, events_per_task=20)) == expected(rows)
+    # Others share one exchange between folding and joining.
+    few = log.where("conv_id > 2")
+    plan = chat.rendered(few)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_empty(spark):
     assert chat.rendered(spark.createDataFrame([], chat.LOG_DDL)).count() == 0
     only = chat.formatted_conversations(spark.createDataFrame([], ROWS)).collect()
