@@ -58,13 +58,16 @@ def bronze_metadata(payloads: DataFrame, category: str, keep_nested: bool = Fals
 
     ``keep_nested=False`` drops images, labels and flags and partitions by ``y, m``.
     ``keep_nested=True`` keeps every field, typed, and partitions by ``_y, _m``.
+    Payloads with undeclared fields get ``source_doc`` too, a document's place in its list.
     """
     docs = explode_docs(payloads)
     if "_other" in payloads.columns:
         # Undeclared fields stand at the same place of their own list.
         carried = [c for c in payloads.columns if c not in ("docs", "metadata", "_other")]
-        pairs = F.explode(F.arrays_zip("docs", "_other")).alias("_d")
-        docs = payloads.select(pairs, *carried).select(F.col("_d.docs").alias("doc"), *carried, F.col("_d._other").alias("other"))
+        pairs = F.posexplode(F.arrays_zip("docs", "_other")).alias("source_doc", "_d")
+        docs = payloads.select(pairs, *carried).select(
+            F.col("_d.docs").alias("doc"), *carried, "source_doc", F.col("_d._other").alias("other")
+        )
     if keep_nested:
         flat = flatten_category(docs, category)
         return flat.withColumns(

@@ -14,7 +14,8 @@ from adloom.operators.pages import main_subtree, parse_errors
 from adloom.sinks.writers import append_parquet
 from adloom.sources.readers import read_ad_html, read_ad_urls, source_path, union_pages, unless_missing
 from adloom.storage import materialize
-from adloom.streaming.incremental import append_new, crawl_frontier, run_content, run_metadata
+from adloom.streaming.incremental import crawl_frontier, run_content, run_metadata
+from adloom.streaming.stored import append_new
 
 # Configured search keys and occupations.
 SEARCH_KEYS = [

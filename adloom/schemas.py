@@ -221,7 +221,7 @@ POSITION_JOB_TYPES = ("positions",)
 AD_URLS_DDL = "id string, timestamp bigint, canonical_url string, occupation string, ingeston_ts timestamp"
 AD_HTML_DDL = "html_main string, id string, ingestion_ts timestamp"
 STOPWORDS_DDL = "stopword string"
-PAYLOAD_REJECTS_DDL = "source_file string, record string, error string"
+PAYLOAD_REJECTS_DDL = "source_file string, source_line bigint, record string, error string"
 CONTENT_REJECTS_DDL = "id string, canonical_url string, job_type string, error string, html_main string, html_hash string"
 
 # Declared nullability of the two relational job tables.

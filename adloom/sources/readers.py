@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from adloom.functions.values import split_table_name
+from adloom.operators.joins import fits_broadcast, lookup_join
 from adloom.schemas import AD_HTML_DDL, AD_URLS_DDL, payload_schema
+from adloom.storage import materialize
 
 # Where each landing table lives below the lake root.
 SOURCES = {
@@ -30,15 +35,59 @@ def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(name))
 
 
-def json_records(files: DataFrame) -> DataFrame:
-    """Whole files (``value``, ``source_file``) to JSON records: one per line where the first line is a
-    whole object, else the file itself, which may be spread over many lines."""
-    lines = F.filter(F.split("value", r"\r?\n"), lambda line: line.rlike(r"\S"))
-    by_line = F.coalesce(F.get(lines, F.lit(0)).rlike(r"^\s*\{.*\}\s*$"), F.lit(False))
-    # A file of spaces is a record that cannot be parsed, so that it is seen; the file
-    # source skips files of no bytes.
-    records = F.when(by_line, lines).otherwise(F.array("value"))
-    return files.select(F.explode(records).alias("record"), "source_file")
+def text_lines(df: DataFrame) -> DataFrame:
+    """Lines (``value``) of a text scan with their file, its size, the block of the file a
+    line was read from, and a number that rises with the lines of a block. Apply directly
+    on the scan. A plain file is read by many tasks, a gzipped one by one."""
+    return df.select(
+        "value",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_size").alias("_size"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_seq"),
+    )
+
+
+def numbered(lines: DataFrame) -> DataFrame:
+    """``source_line``, the position of a line in its file from 1 on, in place of ``_block``
+    and ``_seq``. It does not depend on how the files were cut into blocks, so a repeated
+    run gives a line the same number. ``lines`` holds all lines and is read twice."""
+    blocks = lines.groupBy("source_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
+    before = Window.partitionBy("source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    placed = lookup_join(lines, materialize(starts, "line-starts"), ["source_file", "_block"], "inner", spread_by=["_seq"])
+    line = F.col("_start") + F.col("_seq") - F.col("_first") + 1
+    return placed.withColumn("source_line", line).drop("_block", "_seq", "_start", "_first")
+
+
+# A single document is one string; a file beyond this many bytes is lines whatever it holds.
+WHOLE_FILE_BYTES = 256 << 20
+
+
+def whole_files(spark: SparkSession, names: list[str]) -> DataFrame:
+    """Files (named as the scan names them) as one ``value`` each."""
+    # Names are encoded, and the reader takes some signs for patterns.
+    paths = [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(name)) for name in names]
+    return with_source_file(spark.read.text(paths, wholetext=True)) if paths else spark.createDataFrame([], "value string, source_file string")
+
+
+def single_documents(lines: DataFrame, is_payload: Column) -> list[str]:
+    """Names of the files in which no line is a payload by itself: each is one document, or
+    nothing that can be read. A file of which only some lines are broken is not one of
+    them. One name per such file reaches the driver, as the listing of the files does."""
+    files = lines.groupBy("source_file").agg(F.bool_or(is_payload).alias("by_line"), F.max("_size").alias("size"))
+    found = files.where(~F.coalesce("by_line", F.lit(False)) & (F.col("size") <= WHOLE_FILE_BYTES))
+    return sorted(r.source_file for r in found.select("source_file").collect())
+
+
+def _not_in_files(lines: DataFrame, names: list[str]) -> DataFrame:
+    if not names:
+        return lines
+    files = lines.sparkSession.createDataFrame([(n,) for n in names], "source_file string")
+    return lines.join(F.broadcast(files) if fits_broadcast(files) else files, "source_file", "left_anti")
+
+
+_BLANK_LINE = r"^\s*$"
 
 
 def parse_payloads(records: DataFrame, category: str, lean: bool = False, keep_other: bool = False) -> DataFrame:
@@ -50,6 +99,7 @@ def parse_payloads(records: DataFrame, category: str, lean: bool = False, keep_o
     schema = payload_schema(category, lean)
     broken = "_corrupt"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    carried = [c for c in records.columns if c not in ("record", "source_file")]
     parsed = records.withColumn("_p", F.from_json("record", T.StructType([*schema.fields, T.StructField(broken, T.StringType())]), options))
     fields = [F.col("_p")[f.name].alias(f.name) for f in schema.fields]
     # Partial results keep the fields; a record that is no JSON object keeps none.
@@ -58,7 +108,8 @@ def parse_payloads(records: DataFrame, category: str, lean: bool = False, keep_o
     if keep_other:
         raw = F.from_json("record", "docs array<map<string,string>>")["docs"]
         fields.append(F.transform(raw, lambda doc: undeclared(doc, payload_schema(category, False)["docs"].dataType.elementType)).alias("_other"))
-    return parsed.select(*fields, "source_file", "record", error.alias("error"))
+    # The text of a record is only carried on where it was not read.
+    return parsed.select(*fields, "source_file", *carried, F.when(unread, F.col("record")).alias("record"), error.alias("error"))
 
 
 def undeclared(doc: Column, schema: T.StructType) -> Column:
@@ -80,10 +131,28 @@ def undeclared(doc: Column, schema: T.StructType) -> Column:
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """JSON records of plain or gzipped files. A file is read by one task; its rows
-    after ``explode`` can be spread by the rebalancing writer."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    return json_records(with_source_file(files))
+    """JSON records of plain or gzipped files: the lines of files that hold a payload per
+    line, and whole files that hold one document.
+
+    Which is which is found by one pass over the lines that parses nothing."""
+    lines = text_lines(spark.read.text(path, recursiveFileLookup=True))
+    looks_whole = F.col("value").rlike(r"^\s*\{.*\}\s*$") & F.contains("value", F.lit('"docs"'))
+    whole = single_documents(lines, looks_whole)
+    by_line = _not_in_files(lines, whole).where(~F.col("value").rlike(_BLANK_LINE))
+    return by_line.unionByName(whole_files(spark, whole), allowMissingColumns=True).select(F.col("value").alias("record"), "source_file")
+
+
+def parse_landed(lines: DataFrame, category: str, lean: bool = False, keep_other: bool = False) -> DataFrame:
+    """``parse_payloads`` of landed lines (``text_lines``), written once, with
+    ``source_line``: the line of the file, 0 where the file is one document. Lines that are
+    no payload are errors of their own, also the first of a file."""
+    spark = lines.sparkSession
+    parsed = materialize(parse_payloads(lines.withColumnRenamed("value", "record"), category, lean, keep_other), "payloads")
+    whole = single_documents(parsed, F.col("error").isNull())
+    documents = whole_files(spark, whole).select(F.col("value").alias("record"), "source_file", F.lit(0).cast("long").alias("source_line"))
+    documents = materialize(parse_payloads(documents, category, lean, keep_other), "payloads") if whole else None
+    read = _not_in_files(numbered(parsed.drop("_size")), whole).where("record is null or record rlike '\\\\S'")
+    return read if documents is None else read.unionByName(documents)
 
 
 def read_payloads(spark: SparkSession, path: str, category: str, lean: bool = False, keep_other: bool = False) -> DataFrame:
@@ -233,10 +302,20 @@ def read_category_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def union_pages(pages: DataFrame, page: str = "page", last: str = "last") -> DataFrame:
-    """Documents of all landed result pages up to the last one the search offers. A page
-    that was landed twice is left to the deduplication."""
+    """Documents of all landed result pages. What was landed stays, also a page without
+    paging data or beyond the last one that the search offers by now; ``more_pages`` says
+    what is left to fetch. A page that was landed twice is left to the deduplication."""
     rest = [c for c in pages.columns if c != "docs"]
-    return pages.where(F.col(page) <= F.col(last)).select(F.explode("docs").alias("doc"), *rest)
+    return pages.select(F.explode("docs").alias("doc"), *rest)
+
+
+def more_pages(pages: DataFrame, by: list[str], page: str = "page", last: str = "last") -> DataFrame:
+    """(by, page): pages that a search offers and that were not landed. The latest known
+    ``last`` counts; without paging data there is one page."""
+    offered = pages.groupBy(*by).agg(F.greatest(F.max(last), F.lit(1)).alias("_last"))
+    wanted = offered.select(*by, F.explode(F.sequence(F.lit(1), F.col("_last").cast("int"))).alias(page))
+    same = [wanted[c].eqNullSafe(pages[c]) for c in by] + [wanted[page] == pages[page]]
+    return wanted.join(pages, same, "left_anti")
 
 
 def read_table_jdbc(

@@ -3,9 +3,6 @@ stops; the checkpoint, not a tag on the object, records what is done."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,9 +13,9 @@ from adloom.operators.joins import fits_broadcast
 from adloom.operators.normalize import bronze_metadata
 from adloom.operators.pages import accepted, extract_content, quarantined, with_job_type
 from adloom.schemas import AD_HTML_DDL, CONTENT_REJECTS_DDL, PAYLOAD_REJECTS_DDL
-from adloom.sinks.writers import append_partitioned
-from adloom.sources.readers import json_records, parse_payloads, read_or_empty, unless_missing, with_source_file
+from adloom.sources.readers import parse_landed, read_or_empty
 from adloom.storage import materialize
+from adloom.streaming.stored import append, append_new, stored_table, unstored, without
 
 # The file source forgets files older than this against the newest one; files may be
 # landed late, so it is set beyond any real age. The checkpoint names every file done.
@@ -30,39 +27,6 @@ def default_checkpoint(target: str) -> str:
     return f"{target.rstrip('/')}_progress"
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table, or None as long as nothing was written to it."""
-    try:
-        return unless_missing(lambda: spark.read.parquet(path))
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return None
-
-
-def _missing(rows: DataFrame, stored: DataFrame | None, keys: list[str]) -> DataFrame:
-    """Rows whose keys are not stored yet. The stored keys are narrow; they are broadcast
-    only when measured to be small."""
-    if stored is None:
-        return rows
-    known = stored.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
-    known = F.broadcast(known) if fits_broadcast(known) else known
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return rows.join(known, same, "left_anti")
-
-
-def append_new(rows: DataFrame, path: str, by: tuple[str, ...], keys: list[str]) -> None:
-    """Append what the table does not hold. A batch that is run again, or a run whose
-    checkpoint was lost, finds its rows stored and adds nothing."""
-    spark = rows.sparkSession
-    stored = _stored(spark, path)
-    rows = _missing(rows, stored, keys)
-    if by:
-        append_partitioned(rows, path, by)
-    else:
-        rows.write.mode("append").option("compression", "zstd").parquet(path)
-
-
 def _drain(stream: DataFrame, checkpoint: str, write) -> StreamingQuery:
     query = (
         stream.writeStream.option("checkpointLocation", checkpoint)
@@ -92,19 +56,21 @@ def run_metadata(
     """New payload files of one category into its bronze table, records that cannot be
     parsed into ``rejects`` (``<target>_rejected`` by default).
 
-    A file's rows are written once, whatever happens to the checkpoint: a batch leaves
-    out the files that the table names already.
+    A document is known by its place: file, line and position in the line's list
+    (``source_file``, ``source_line``, ``source_doc``). Each place is written once, and every
+    place is written, whatever happens to the checkpoint or to a batch while it commits.
     """
     rejects = rejects or f"{target.rstrip('/')}_rejected"
-    files = _files(spark, files_per_batch).schema("value string").option("wholetext", True).format("text").load(landing)
-    files = with_source_file(files)
+    files = _files(spark, files_per_batch).schema("value string").format("text").load(landing)
+    files = files.select("value", "_metadata.file_path", "_metadata.file_size", "_metadata.file_block_start")
 
     def write(batch: DataFrame, _: int) -> None:
-        parsed = materialize(parse_payloads(json_records(batch), category, lean=not keep_nested, keep_other=True), "payloads")
+        lines = batch.toDF("value", "source_file", "_size", "_block").withColumn("_seq", F.monotonically_increasing_id())
+        parsed = parse_landed(lines, category, lean=not keep_nested, keep_other=True)
         rows = bronze_metadata(parsed.where("error is null").drop("error", "record"), category, keep_nested)
-        append_new(rows, target, ("_y", "_m") if keep_nested else ("y", "m"), ["source_file"])
-        bad = parsed.where("error is not null").select("source_file", "record", "error")
-        append_new(bad, rejects, (), ["source_file", "record"])
+        append_new(rows, target, ("_y", "_m") if keep_nested else ("y", "m"), ["source_file", "source_line", "source_doc"])
+        bad = parsed.where("error is not null").select("source_file", "source_line", "record", "error")
+        append_new(bad, rejects, (), ["source_file", "source_line"])
 
     return _drain(files, checkpoint or default_checkpoint(target), write)
 
@@ -118,12 +84,40 @@ def content_rows(html: DataFrame, urls: DataFrame) -> DataFrame:
     """
     wanted = dedupe_urls(urls) if "ingeston_ts_url" not in urls.columns else urls
     versions = html if "html_hash" in html.columns else page_versions(html)
-    rows = with_job_type(versions.join(wanted, "id"))
-    parsed = extract_content(rows)
+    return _parsed(versions.join(wanted, "id"))
+
+
+def _parsed(rows: DataFrame) -> DataFrame:
+    parsed = extract_content(with_job_type(rows))
     seen = epoch_ms(F.col("timestamp"))
     return parsed.withColumns({"timestamp": seen, "y": year_of(seen), "m": month_of(seen)})
 
 
+# What names a row of the content table, and what names a landed page.
+_CONTENT_KEYS = ["id", "canonical_url", "html_hash"]
+_PLACE = ["_file", "_row"]
+
+
+def _landed(reader) -> DataFrame:
+    """Pages of a parquet scan with the place each stands at."""
+    return reader.select("html_main", "id", "ingestion_ts", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+def _versions(pages: DataFrame) -> DataFrame:
+    """Page versions without their HTML: earliest time and one place of each."""
+    known = pages.where("html_main is not null and id is not null")
+    hashed = known.select("id", F.sha2("html_main", 256).alias("html_hash"), "ingestion_ts", *_PLACE)
+    found = hashed.groupBy("id", "html_hash").agg(F.min("ingestion_ts").alias("ingestion_ts"), F.min(F.struct(*_PLACE)).alias("_p"))
+    return found.select("id", "html_hash", "ingestion_ts", *(F.col(f"_p.{c}").alias(c) for c in _PLACE))
+
+
+def content_paths(target: str, waiting: str | None = None) -> dict[str, str]:
+    """The tables a content run keeps beside its target: every page version that landed and
+    where, every URL joined so far, and the versions that came without a URL."""
+    target = target.rstrip("/")
+    return {"pages": f"{target}_pages", "urls": f"{target}_urls", "waiting": waiting or f"{target}_waiting"}
+
+
 def run_content(
     spark: SparkSession,
     html_landing: str,
@@ -134,62 +128,73 @@ def run_content(
     files_per_batch: int | None = None,
     waiting: str | None = None,
 ) -> StreamingQuery:
-    """New page files into the content table; rejected pages into ``quarantine``; pages
-    whose URL has not landed yet into ``waiting`` (``<target>_waiting`` by default), which
-    every run tries again.
-
-    A page version is stored once per URL however files are dealt to batches and runs;
-    its ingestion time is the earliest of the batch that stored it. URLs that an ad gets
-    after its page was stored are joined to the landed page by the next run.
+    """New page files into the content table; rejected pages into ``quarantine``.
+
+    A page version is stored once per URL however files are dealt to batches and runs, and
+    whichever of page and URL lands first: new pages meet all URLs, new URLs meet all pages
+    landed before. Both sides are remembered by narrow tables (``content_paths``); a batch
+    asks the filter of the stored keys and reads the target only where that says so. HTML
+    is read twice, hashed and then, only that of rows to be stored, parsed; it is exchanged
+    at most once. Landed files have to stay, since late URLs are joined to them; URLs whose
+    page is gone are asked for again by each run. Versions without a URL are listed in
+    ``waiting`` (``<target>_waiting`` by default).
     """
-    waiting = waiting or f"{target.rstrip('/')}_waiting"
+    paths = content_paths(target, waiting)
     # Once per run, not once per batch.
     known = materialize(dedupe_urls(urls), "urls")
 
-    def store(pages: DataFrame) -> None:
-        versions = page_versions(pages)
-        for path in (target, quarantine):
-            done = _stored(spark, path)
-            if done is not None:
-                versions = _missing_versions(versions, done, known)
-        rows = materialize(content_rows(versions, known), "content")
-        append_new(accepted(rows), target, ("y", "m"), ["id", "canonical_url", "html_hash"])
-        append_new(quarantined(rows), quarantine, (), ["id", "canonical_url", "html_hash"])
+    def pairs(versions: DataFrame, wanted: DataFrame) -> DataFrame:
+        """(version, URL) pairs that are not stored, without HTML."""
+        seen = epoch_ms(F.col("timestamp"))
+        joined = _by_id(wanted, versions).withColumns({"y": year_of(seen), "m": month_of(seen)})
+        joined = materialize(joined, "pairs")
+        fresh = unstored(unstored(joined, target, ("y", "m"), _CONTENT_KEYS), quarantine, (), _CONTENT_KEYS)
+        return materialize(fresh.drop("y", "m"), "new-pairs")
+
+    def store(fresh: DataFrame, pages: DataFrame) -> DataFrame:
+        """Parse and append new pairs; returns those whose page was found."""
+        wanted = F.broadcast(fresh) if fits_broadcast(fresh) else fresh
+        rows = materialize(_parsed(pages.select("html_main", *_PLACE).join(wanted, _PLACE)), "content")
+        append(accepted(rows.drop(*_PLACE)), target, ("y", "m"), _CONTENT_KEYS)
+        append(quarantined(rows.drop(*_PLACE)), quarantine, (), _CONTENT_KEYS)
+        return rows
 
     def write(batch: DataFrame, _: int) -> None:
-        store(batch)
-        orphans = page_versions(batch).join(known.select("id").distinct(), "id", "left_anti")
-        append_new(orphans.select("html_main", "id", "ingestion_ts", "html_hash"), waiting, (), ["id", "html_hash"])
-
-    held = read_or_empty(spark, waiting, AD_HTML_DDL)
-    found = held.join(known.select("id").distinct(), "id", "left_semi")
-    if not found.isEmpty():
-        store(found)
-    late = materialize(_lacking_urls(spark, known, (target, quarantine)), "late-urls")
-    if not late.isEmpty():
-        landed = spark.read.schema(AD_HTML_DDL).option("recursiveFileLookup", True).parquet(html_landing)
-        store(landed.join(late, "id", "left_semi"))
-    pages = _files(spark, files_per_batch).schema(AD_HTML_DDL).parquet(html_landing)
-    return _drain(pages, checkpoint or default_checkpoint(target), write)
-
-
-def _missing_versions(versions: DataFrame, done: DataFrame, urls: DataFrame) -> DataFrame:
-    """Page versions that still lack a row for some URL: those fully stored are not parsed again."""
-    wanted = urls.groupBy("id").agg(F.count(F.lit(1)).alias("_urls"))
-    stored = done.groupBy("id", "html_hash").agg(F.count_distinct("canonical_url").alias("_stored"))
-    complete = stored.join(wanted, "id").where("_stored >= _urls").select("id", "html_hash")
-    return versions.join(complete, ["id", "html_hash"], "left_anti")
-
-
-def _lacking_urls(spark: SparkSession, urls: DataFrame, paths: tuple[str, ...]) -> DataFrame:
-    """Ids with a stored page version that has no row for some URL of theirs."""
-    keys = ["id", "canonical_url", "html_hash"]
-    tables = [table.select(*keys) for table in (_stored(spark, path) for path in paths) if table is not None]
-    if not tables:
-        return urls.select("id").limit(0)
-    done = reduce(DataFrame.union, tables).distinct()
-    wanted = done.select("id", "html_hash").distinct().join(urls.select("id", "canonical_url"), "id")
-    return wanted.join(done, keys, "left_anti").select("id").distinct()
+        versions = materialize(_versions(batch), "versions")
+        fresh = pairs(versions, known)
+        if not fresh.isEmpty():
+            store(fresh, batch)
+        append_new(versions, paths["pages"], (), ["id", "html_hash"])
+        orphans = without(versions, _by_id(known.select("id"), versions.select("id")), ["id"])
+        if not orphans.isEmpty():
+            append_new(orphans, paths["waiting"], (), ["id", "html_hash"])
+
+    def store_late() -> None:
+        late = materialize(unstored(known, paths["urls"], (), ["id", "canonical_url"]), "late-urls")
+        if late.isEmpty():
+            return
+        # Not there before the first batch is logged.
+        landed = stored_table(spark, paths["pages"])
+        done = late
+        fresh = None if landed is None else pairs(landed, late)
+        if fresh is not None and not fresh.isEmpty():
+            # Only the named files are opened, and those that are gone have no rows.
+            files = [r["_file"] for r in fresh.select("_file").distinct().collect()]
+            pages = spark.read.schema(AD_HTML_DDL).option("recursiveFileLookup", True).parquet(html_landing)
+            found = store(fresh, _landed(pages.where(F.col("_metadata.file_path").isin(files))))
+            gone = without(fresh, found, _CONTENT_KEYS)
+            done = without(late, gone, ["id", "canonical_url"])
+        append(done.select("id", "canonical_url"), paths["urls"], (), ["id", "canonical_url"])
+
+    store_late()
+    files = _files(spark, files_per_batch).schema(AD_HTML_DDL).parquet(html_landing)
+    return _drain(_landed(files), checkpoint or default_checkpoint(target), write)
+
+
+def _by_id(rows: DataFrame, versions: DataFrame) -> DataFrame:
+    """``rows`` (all URLs) joined to the versions of a batch: the smaller side goes to the
+    larger one where it is measured to be small."""
+    return rows.join(F.broadcast(versions) if fits_broadcast(versions) else versions, "id")
 
 
 def read_rejected_payloads(spark: SparkSession, target: str) -> DataFrame:
@@ -227,13 +232,11 @@ def high_water_mark(target: DataFrame, column: str):
     return target.agg(F.max(column).alias("mark")).first().mark
 
 
-def rows_after(source: DataFrame, column: str, mark, target: DataFrame | None = None, keys: list[str] | None = None) -> DataFrame:
-    """Rows not loaded yet. Rows at the mark itself or without a time may be new: with
-    ``target`` and ``keys`` they are read again and those stored are left out."""
+def rows_after(source: DataFrame, column: str, mark, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows not loaded yet. Rows at the mark itself or without a time may be new: they are
+    read again and those that ``target`` holds, by ``keys``, are left out."""
     if mark is None:
         return source
-    if target is None:
-        return source.where(F.col(column) > F.lit(mark))
     open_ = source.where((F.col(column) >= F.lit(mark)) | F.col(column).isNull())
     stored = target.where((F.col(column) >= F.lit(mark)) | F.col(column).isNull())
-    return _missing(open_, stored, keys)
+    return without(open_, stored, keys)

@@ -591,8 +591,9 @@ def full_vs_incremental(spark, sf_dir):
     path = fresh_path(spark, "rebuild")
     events = load(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     rebuild(events.where("ts < timestamp_ntz '2024-01-12 07:00:00'"), path, ("day",))
-    mark = high_water_mark(spark.read.parquet(path), "ts")
-    append_partitioned(rows_after(events, "ts", mark), path, ("day",))
+    stored = spark.read.parquet(path)
+    rows = rows_after(events, "ts", high_water_mark(stored, "ts"), stored, ["event_id"])
+    append_partitioned(rows, path, ("day",))
     replace_partitions(events.where("day >= date '2024-01-20'"), path, ("day",))
     return spark.read.parquet(path).groupBy("day").agg(
         F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_id")

@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from adloom.plans.bronze import land_fetched_pages
 from adloom.sinks.writers import export_frame, key_statements, write_csv
 from adloom.sources import readers as R
 from adloom.storage import shared_folder
+from adloom.streaming import stored
 from adloom.streaming.incremental import (
     read_rejected_content,
     read_rejected_payloads,
@@ -93,6 +95,107 @@ def test_undeclared_fields_stay(spark, landing, tmp_path):
     assert found[2] == {}
 
 
+def test_half_a_commit_is_made_whole(spark, landing, tmp_path):
+    """A driver lost while a batch commits: some month folders stand, others do not, and
+    the progress does not know of the batch."""
+    target = tmp_path / "bronze"
+    months = [1_700_000_000_000 + 40 * 86_400_000 * k for k in range(3)]
+    landing("a.json", {"docs": [{"id": str(k), "timestamp": t} for k, t in enumerate(months)]})
+    landing("b.json", "\n".join(json.dumps({"docs": [{"id": str(10 + k), "timestamp": t}] * 2}) for k, t in enumerate(months)))
+    everything = [0, 1, 2, 10, 10, 11, 11, 12, 12]
+    run_metadata(spark, landing.path, str(target), None, "car_used")
+    assert ids(spark, str(target)) == everything
+    for lost in ([0, 1], [2], [0, 2]):
+        folders = sorted(p for p in target.glob("y=*/m=*"))
+        for k in lost:
+            shutil.rmtree(folders[k])
+        shutil.rmtree(f"{target}_progress")
+        run_metadata(spark, landing.path, str(target), None, "car_used")
+        assert ids(spark, str(target)) == everything
+    # Without its filter a table is asked itself.
+    shutil.rmtree(f"{target}_keys")
+    shutil.rmtree(f"{target}_progress")
+    run_metadata(spark, landing.path, str(target), None, "car_used")
+    assert ids(spark, str(target)) == everything
+
+
+def test_one_cut_line_costs_itself(spark, landing, tmp_path):
+    cut = json.dumps(docs(1))[:-4]
+    landing("lines.json", "\n".join([cut, json.dumps(docs(2)), "", json.dumps(docs(3, 4)), "[]", json.dumps(docs(5))]))
+    landing("whole.json", json.dumps(docs(6), indent=1))
+    target = str(tmp_path / "bronze")
+    run_metadata(spark, landing.path, target, None, "car_used")
+    rows = {(r.id, os.path.basename(r.source_file), r.source_line, r.source_doc) for r in spark.read.parquet(target).collect()}
+    assert rows == {(2, "lines.json", 2, 0), (3, "lines.json", 4, 0), (4, "lines.json", 4, 1), (5, "lines.json", 6, 0), (6, "whole.json", 0, 0)}
+    bad = {(r.source_line, r.record) for r in read_rejected_payloads(spark, target).collect()}
+    assert bad == {(1, cut), (5, "[]")}
+    assert sorted(d.id for r in R.read_payloads(spark, landing.path, "car_used").collect() for d in r.docs) == list("23456")
+
+
+def test_lines_keep_their_number_however_files_are_cut(spark, landing, tmp_path):
+    landing("big.json", "\n".join(json.dumps(docs(n)) if n % 7 else "" for n in range(4000)))
+    landing("odd [1] %20 {a}.json", json.dumps(docs(9999), indent=1))
+    found = []
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for cut in ("5000", size):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", cut)
+            scan = spark.read.text(landing.path)
+            parsed = R.parse_landed(R.text_lines(scan), "car_used")
+            found.append(sorted((r.source_line, r.docs[0].id) for r in parsed.where("error is null").collect()))
+            tasks = R.text_lines(scan).rdd.getNumPartitions()
+            assert (tasks > 20) == (cut == "5000")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert found[0] == found[1] == [(0, "9999")] + [(n + 1, str(n)) for n in range(4000) if n % 7]
+
+
+def test_new_keys_are_stored_without_reading_the_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(2000).select("id", (F.col("id") % 3).cast("int").alias("y"), F.lit(None).cast("int").alias("m"))
+    read = []
+    plain = stored.stored_table
+    monkeypatch.setattr(stored, "stored_table", lambda spark, where: read.append(where) or plain(spark, where))
+    stored.append_new(rows.where("id < 1000"), path, ("y", "m"), ["id"])
+    read.clear()
+    stored.append_new(rows.where("id >= 1000 and id < 1500"), path, ("y", "m"), ["id"])
+    assert path not in read
+    # Seen keys of one month: only that month is looked at, and nothing is stored twice.
+    stored.append_new(rows.where("id >= 1500 or (id < 300 and y = 1)"), path, ("y", "m"), ["id"])
+    assert path in read
+    stored.merge_filter(spark, path)
+    assert stored.unstored(rows, path, ("y", "m"), ["id"]).isEmpty()
+    table = spark.read.parquet(path)
+    assert table.count() == 2000 == table.select("id").distinct().count()
+
+
+def test_a_batch_of_pages_does_not_read_the_target(spark, tmp_path, monkeypatch):
+    landing, target, bad = (str(tmp_path / d) for d in ("html", "content", "bad"))
+    store(spark, landing, [(PAGE.replace("Title", f"T{n}"), str(n)) for n in range(20)])
+    run_content(spark, landing, url_table(spark, *range(20)), target, bad, None)
+    read = []
+    plain = stored.stored_table
+    monkeypatch.setattr(stored, "stored_table", lambda spark, where: read.append(where) or plain(spark, where))
+    store(spark, landing, [(PAGE.replace("Title", f"T{n}"), str(n)) for n in range(20, 40)])
+    run_content(spark, landing, url_table(spark, *range(40)), target, bad, None)
+    assert len(ids(spark, target)) == 40 and not {target, bad} & set(read)
+
+
+def test_a_missing_landed_file_is_asked_for_again(spark, tmp_path):
+    landing, target, bad = (str(tmp_path / d) for d in ("html", "content", "bad"))
+    store(spark, landing, [(PAGE, "1"), (PAGE, "2")])
+    run_content(spark, landing, url_table(spark, 1), target, bad, None)
+    hidden = str(tmp_path / "elsewhere")
+    os.rename(landing, hidden)
+    os.mkdir(landing)
+    run_content(spark, landing, url_table(spark, 1, 2), target, bad, None)
+    assert ids(spark, target) == ["1"]
+    os.rmdir(landing)
+    os.rename(hidden, landing)
+    run_content(spark, landing, url_table(spark, 1, 2), target, bad, None)
+    assert ids(spark, target) == ["1", "2"]
+
+
 def store(spark, path, pages):
     rows = spark.createDataFrame(pages, "html_main string, id string").withColumn("ingestion_ts", F.current_timestamp())
     rows.coalesce(1).write.mode("append").parquet(path)
@@ -182,7 +285,7 @@ def test_rows_at_the_mark(spark):
     source = spark.createDataFrame([(1, 5), (2, 7), (3, 7), (4, None), (5, 9)], "k int, t int")
     loaded = source.where("k in (1, 2)")
     assert sorted(r.k for r in rows_after(source, "t", 7, loaded, ["k"]).collect()) == [3, 4, 5]
-    assert rows_after(source, "t", None).count() == 5
+    assert rows_after(source, "t", None, loaded, ["k"]).count() == 5
 
 
 def test_more_than_a_thousand_heavy_keys(spark):
