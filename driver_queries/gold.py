@@ -34,10 +34,10 @@ from adloom.operators.serving import (
     searchable,
 )
 from adloom.operators.tokens import ngrams, ngrams_with_bridges, union_all
-from adloom.plans.gold import build_gold, gold_counts
+from adloom.plans.gold import build_gold, gold_counts, gold_from_bronze
 from adloom.schemas import EXPORT_TABLES
-from adloom.sinks.writers import export_frame
-from adloom.storage import materialize
+from adloom.sinks.writers import append_partitioned, export_frame
+from adloom.storage import fresh_path, materialize
 from driver_queries.registry import load, load_spread, query
 from driver_queries.text import NGRAMS_SQL, STOPWORDS_SQL, stopwords
 
@@ -406,3 +406,65 @@ def export_relational(spark, sf_dir):
     return frames["ads_with_id"].withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("published", "timestamp")}
     )
+
+
+# --- every export, from stored bronze tables ---------------------------------------
+
+_EXPORT_GOLD_SQL = _PART_KEPT_SQL.replace(
+    "FROM part)",
+    """FROM part),
+    dated AS (SELECT *, TIMESTAMP '2024-01-01' + to_days(CAST(CAST(ad_id AS BIGINT) % 300 AS INTEGER)) AS seen FROM ads)""",
+    1,
+)
+
+_EXPORT_SQL = {
+    "keywords": "SELECT CAST(id AS INTEGER) AS id, keyword FROM keywords",
+    "employers": "SELECT CAST(id AS INTEGER) AS id, company_name, bransje, sektor FROM employers",
+    "stillingsfunksjon": "SELECT CAST(id AS INTEGER) AS id, stillingsfunksjon FROM functions",
+    "ads_with_id": """SELECT w.ad_id, 'https://ads.example/' || w.ad_id AS canonical_url, heading, CAST(NULL AS VARCHAR) AS location, job_title,
+        CAST(employer_id AS INTEGER) AS employer_id, CAST(no_of_positions AS INTEGER) AS no_of_positions, seen AS published,
+        article_header, article_content, keyword_bridge_id, seen + INTERVAL 1 HOUR AS "timestamp", 'fulltime' AS job_type,
+        stillingsfunksjon_bridge_id
+        FROM wide w JOIN (SELECT ad_id, seen FROM dated) d ON w.ad_id = d.ad_id""",
+    "ngrams": """SELECT row_number() OVER (ORDER BY words, ngram_size, g.ad_id) AS id, words, ngram_size, g.ad_id,
+        CAST(NULL AS VARCHAR) AS keyword_bridge_id, CAST(NULL AS VARCHAR) AS stillingsfunksjon_bridge_id,
+        CAST(e.id AS INTEGER) AS employer_id
+        FROM grams g JOIN ads a ON g.ad_id = a.ad_id LEFT JOIN employers e ON a.company_name = e.company_name""",
+    "keyword_ads_bridge": "SELECT id, ad_id, CAST(keyword_id AS INTEGER) AS keyword_id FROM keyword_bridge",
+    "stillingsfunksjon_ads_bridge": "SELECT id, ad_id, CAST(stillingsfunksjon_id AS INTEGER) AS stillingsfunksjon_id FROM function_bridge",
+}
+
+
+def _bronze_of_parts(spark: SparkSession, sf_dir: str) -> str:
+    """Both bronze tables of the job category, by month, as ingestion leaves them."""
+    root = fresh_path(spark, "bronze")
+    seen = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(days=F.col("id") % 300)
+    months = {"y": F.year("timestamp"), "m": F.month("timestamp")}
+    metadata = part_metadata(spark, sf_dir).withColumns(
+        {"timestamp": seen, "canonical_url": F.concat(F.lit("https://ads.example/"), "id")}
+    )
+    append_partitioned(metadata.withColumns(months), f"{root}/job_fulltime/ad_metadata")
+    named = ("sektor", "bransje", "stillingsfunksjon")
+    content = part_content(spark, sf_dir).withColumns(
+        {
+            "timestamp": seen + F.make_dt_interval(hours=F.lit(1)),
+            "job_type": F.lit("fulltime"),
+            "attributes": F.create_map(*(x for n in named for x in (F.lit(n), F.col(n)))),
+        }
+    )
+    content = content.drop(*named).withColumn("id", F.col("id").cast("string"))
+    append_partitioned(content.withColumns(months), f"{root}/job_fulltime/ad_content")
+    return root
+
+
+def _register_export(table: str) -> None:
+    @query(f"exports_{table}", f"{_EXPORT_GOLD_SQL} {_EXPORT_SQL[table]}")
+    def export(spark: SparkSession, sf_dir: str) -> DataFrame:
+        gold = gold_from_bronze(spark, _bronze_of_parts(spark, sf_dir), stopwords(spark), (2024, 1), (2024, 12))
+        frame = export_frame(gold.exports()[table], table)
+        times = {c: F.col(c).cast("timestamp_ntz") for c, kind in frame.dtypes if kind == "timestamp"}
+        return frame.withColumns(times) if times else frame
+
+
+for _table in EXPORT_TABLES:
+    _register_export(_table)

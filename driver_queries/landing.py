@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,7 @@ from adloom.operators.normalize import bronze_metadata, normalize_search_key, pu
 from adloom.operators.quality import conform, null_counts
 from adloom.operators.tokens import union_all
 from adloom.schemas import JOB_METADATA_DDL, doc_schema
+from adloom.plans.bronze import ingest_metadata
 from adloom.sinks.writers import (
     append_parquet,
     append_partitioned,
@@ -40,7 +41,9 @@ from adloom.sinks.writers import (
     write_json,
 )
 from adloom.sources.readers import (
+    more_pages,
     parse_csv_payload,
+    read_category_landing,
     read_csv,
     read_months,
     read_or_empty,
@@ -49,6 +52,7 @@ from adloom.sources.readers import (
     read_payloads,
     read_recursive,
     read_word_lists,
+    source_path,
     union_pages,
     with_landing_columns,
     with_source_file,
@@ -396,6 +400,34 @@ def landing_path_columns(spark, sf_dir):
     return files.select("p_partkey", food_label(F.col("category")).alias("label"), "chain_id")
 
 
+@query(
+    "landing_files",
+    f"""SELECT p_partkey, p_name, {_FOOD_CASE} AS label, CAST(p_size % 3 AS VARCHAR) AS chain_id, true AS named FROM part""",
+)
+def landing_files(spark, sf_dir):
+    """JSON files named by category and chain, read back with what their names say."""
+    root = fresh_path(spark, "food")
+    parts = load(spark, sf_dir, "part").select(_food_code().alias("code"), (F.col("p_size") % 3).alias("chain"), "p_partkey", "p_name")
+    parts.repartition("code", "chain").write.partitionBy("code", "chain").json(f"{root}/raw")
+    jvm = spark.sparkContext._jvm
+    raw = jvm.org.apache.hadoop.fs.Path(f"{root}/raw")
+    store = raw.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # Spark names its files itself; the landing zone has names of its own.
+    for n, status in enumerate(store.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/raw/*/*/*.json"))):
+        code, chain = (status.getPath().toString().split("/")[k].split("=")[1] for k in (-3, -2))
+        target = jvm.org.apache.hadoop.fs.Path(f"{root}/landing/{code}/{chain}_{n}.json")
+        store.mkdirs(target.getParent())
+        store.rename(status.getPath(), target)
+    rows = read_category_landing(spark, f"{root}/landing")
+    return rows.select(
+        F.try_variant_get("payload", "$.p_partkey", "bigint").alias("p_partkey"),
+        F.try_variant_get("payload", "$.p_name", "string").alias("p_name"),
+        food_label(F.col("category")).alias("label"),
+        "chain_id",
+        F.contains("source_file", F.lit("/landing/")).alias("named"),
+    )
+
+
 @query(
     "crawl_urls",
     f"""SELECT p_partkey,
@@ -444,6 +476,33 @@ def page_union_cap(spark, sf_dir):
     return docs.select("doc.p_partkey", "doc.p_name", "page", "title")
 
 
+@query(
+    "page_union",
+    """SELECT p_partkey, page FROM part, (VALUES (1), (2), (9)) pages(page) WHERE page <> 2 OR p_size < 40""",
+)
+def page_union(spark, sf_dir):
+    """Pages without paging data, and pages behind the last one offered by now, stay."""
+    part = load(spark, sf_dir, "part")
+    docs = F.array(F.struct("p_partkey")).alias("docs")
+    first = part.select(docs, F.lit(1).alias("page"), F.lit(None).cast("int").alias("last"))
+    second = part.where("p_size < 40").select(docs, F.lit(2).alias("page"), F.lit(2).alias("last"))
+    behind = part.select(docs, F.lit(9).alias("page"), F.lit(3).alias("last"))
+    return union_pages(union_all([first, second, behind])).select("doc.p_partkey", "page")
+
+
+@query(
+    "pages_left",
+    """SELECT search, page FROM (SELECT p_brand AS search, unnest(range(1, max(p_size) + 1)) AS page FROM part GROUP BY p_brand)
+       ANTI JOIN (SELECT p_brand AS search, p_size AS page FROM part) USING (search, page)""",
+)
+def pages_left(spark, sf_dir):
+    """What a search offers and was not landed: every brand is a search, every size a page."""
+    part = load(spark, sf_dir, "part")
+    landed = part.select(F.col("p_brand").alias("search"), F.col("p_size").alias("page"), "p_size")
+    offered = F.when(F.col("page") % 2 == 0, F.max("p_size").over(Window.partitionBy("search")))
+    return more_pages(landed.withColumn("last", offered), ["search"]).select("search", F.col("page").cast("bigint").alias("page"))
+
+
 _BY_MONTH = """SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m,
     count(*) AS n, count(DISTINCT o_orderkey) AS ids FROM orders GROUP BY ALL"""
 
@@ -562,6 +621,87 @@ def undeclared_fields(spark, sf_dir):
     )
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@query("incremental_half_commit", _BY_MONTH)
+def incremental_half_commit(spark, sf_dir):
+    """A driver lost while a batch commits: some month folders of its files are missing,
+    and the progress does not know of it. Every payload has documents of many months."""
+    root = fresh_path(spark, "incremental")
+    _land_payloads(load(spark, sf_dir, "orders"), "car_used", f"{root}/landing")
+    run_metadata(spark, f"{root}/landing", f"{root}/bronze", None, "car_used")
+    for lost in ("y=1993", "y=1996/m=5", "y=1998"):
+        _remove(spark, f"{root}/bronze/{lost}")
+    _remove(spark, f"{root}/bronze_progress")
+    run_metadata(spark, f"{root}/landing", f"{root}/bronze", None, "car_used")
+    return _by_month(spark.read.parquet(f"{root}/bronze"))
+
+
+@query(
+    "payload_lines",
+    """SELECT o_orderkey AS id, CAST(NULL AS VARCHAR) AS error, CAST(NULL AS BIGINT) AS line, true AS numbered
+       FROM orders WHERE o_orderstatus <> 'P'
+       UNION ALL SELECT NULL, 'malformed JSON', 1, true FROM (SELECT DISTINCT o_custkey % 7 FROM orders)""",
+)
+def payload_lines(spark, sf_dir):
+    """Files of one payload per line whose first line is cut off: that line is rejected."""
+    root = fresh_path(spark, "lines")
+    orders = load(spark, sf_dir, "orders").withColumn("part", F.col("o_custkey") % 7)
+    text = F.to_json(F.struct(F.array_agg(_doc("car_used")).alias("docs")))
+    good = orders.where("o_orderstatus <> 'P'").groupBy("part", "o_custkey").agg(text.alias("value"))
+    first = orders.groupBy("part").agg(F.substring(text, 1, 70).alias("value")).withColumn("o_custkey", F.lit(-1).cast("long"))
+    lines = union_all([good, first]).repartition("part").sortWithinPartitions("part", "o_custkey")
+    lines.select("value", "part").write.partitionBy("part").text(f"{root}/landing")
+    run_metadata(spark, f"{root}/landing", f"{root}/bronze", None, "car_used")
+    rows = spark.read.parquet(f"{root}/bronze")
+    bad = read_rejected_payloads(spark, f"{root}/bronze")
+    return union_all(
+        [
+            rows.select("id", (F.col("source_line") > 1).alias("numbered")),
+            bad.select("error", F.col("source_line").alias("line"), F.lit(True).alias("numbered")),
+        ]
+    )
+
+
+_CATEGORY_OF = {0: "realestate_homes", 1: "realestate_lettings", 2: "car_used", 3: "job_fulltime", 4: "realestate_newbuildings"}
+
+
+@query(
+    "metadata_categories",
+    "SELECT CASE o_custkey % 5 "
+    + " ".join(f"WHEN {k} THEN '{c}'" for k, c in _CATEGORY_OF.items())
+    + """ END AS category, o_orderkey AS id, CAST(year(o_orderdate) AS INTEGER) AS y,
+        CAST(month(o_orderdate) AS INTEGER) AS m, o_orderdate AS "timestamp", true AS stamped FROM orders""",
+)
+def metadata_categories(spark, sf_dir):
+    """All five categories through the plan; rows are stamped with the time of their run."""
+    root = fresh_path(spark, "categories")
+    orders = load(spark, sf_dir, "orders")
+    for k, category in _CATEGORY_OF.items():
+        _land_payloads(orders.where(F.col("o_custkey") % 5 == k), category, source_path(f"{root}/landing", "ad_metadata", category))
+    before = spark.range(1).select(F.current_timestamp()).first()[0]
+    targets = ingest_metadata(spark, f"{root}/landing", f"{root}/bronze")
+    within = (F.col("ingestion_ts") >= F.lit(before)) & (F.col("ingestion_ts") <= F.current_timestamp())
+    tables = [
+        spark.read.parquet(path).select(F.lit(category).alias("category"), "id", "y", "m", "timestamp", within.alias("stamped"))
+        for category, path in targets.items()
+    ]
+    return _plain(union_all(tables))
+
+
+@query("nested_bronze", _flat_sql("car_used", lean=False))
+def nested_bronze(spark, sf_dir):
+    """The table that keeps every field, written by the plan below ``_y`` and ``_m``."""
+    root = fresh_path(spark, "nested")
+    _land_payloads(load_spread(spark, sf_dir, "orders", "o_orderkey"), "car_used", source_path(f"{root}/landing", "ad_metadata", "car_used"))
+    targets = ingest_metadata(spark, f"{root}/landing", f"{root}/bronze", ["SEARCH_ID_CAR_USED"], keep_nested=True)
+    table = spark.read.parquet(targets["car_used"])
+    return _plain(table.drop("metadata", "other", "source_line", "source_doc"))
+
+
 @query("ledger_discovery", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def ledger_discovery(spark, sf_dir):
     """Batch discovery: a second pass sees only the files of the second arrival."""
