@@ -6,6 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adloom.operators.joins import fits_broadcast
+from adloom.storage import materialize
+
 
 def latest_row(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """The row with the greatest ``order_by`` values. Remaining ties go to the
@@ -23,7 +26,24 @@ def latest_row(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame
 
 def merge_rows(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     """Per column, the known value of the latest row that has one: a reproducible
-    choice among the values that "any known value of the group" allows."""
+    choice among the values that "any known value of the group" allows.
+
+    The keys are counted first, without any other column. Rows whose key occurs once are
+    what they should be and go through as they are, neither sorted nor exchanged; only the
+    others are compared. ``df`` is read twice, the first time for its keys alone.
+    """
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    repeated = materialize(repeated.select(*(F.col(k).alias(f"_{k}") for k in keys)), "repeated-keys")
+    if repeated.isEmpty():
+        return df.select(*keys, *[c for c in df.columns if c not in keys])
+    if not fits_broadcast(repeated):
+        return _merged(df, keys, order_by)
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    several = _merged(df.join(F.broadcast(repeated), same, "left_semi"), keys, order_by)
+    return df.join(F.broadcast(repeated), same, "left_anti").select(*several.columns).unionAll(several)
+
+
+def _merged(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
 
     order = [F.col(c).alias(f"_{i}") for i, c in enumerate(order_by)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adloom.storage import materialize
@@ -11,6 +11,26 @@ from adloom.storage import materialize
 _ROW_BITS = 33
 
 
+# Positions that one task sums up.
+_SUMMED_TOGETHER = 1000
+
+
+def prefix_sums(sizes: DataFrame, at: str, n: str, start: str) -> DataFrame:
+    """(at, start): the sum of ``n`` over all smaller ``at`` (whole numbers, each once).
+
+    Summed in two steps, inside groups of neighbours and over the groups; the plan is the
+    same whatever the number of positions.
+    """
+    grouped = sizes.withColumn("_group", F.floor(F.col(at) / _SUMMED_TOGETHER))
+    groups = grouped.groupBy("_group").agg(F.sum(n).alias("_sum"))
+    # One task sees one row per group: a thousandth of the positions.
+    before = Window.partitionBy(F.pmod("_group", F.lit(1))).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("_group", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+    inside = Window.partitionBy("_group").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    within = grouped.select(at, "_group", F.coalesce(F.sum(n).over(inside), F.lit(0)).alias("_within"))
+    return within.join(groups, "_group").select(at, (F.col("_base") + F.col("_within")).alias(start))
+
+
 def dense_ids(df: DataFrame, order_by: list[str], id_col: str = "id") -> DataFrame:
     """``row_number() over (order by ...)`` over a whole table, NULLs last.
 
@@ -28,12 +48,7 @@ def dense_ids(df: DataFrame, order_by: list[str], id_col: str = "id") -> DataFra
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))),
         "dense-ids",
     )
-    # One row per partition reaches the driver, however large the table is.
-    sizes = {r["_part"]: r["count"] for r in placed.groupBy("_part").count().collect()}
-    starts, total = [], 0
-    for part in range(max(sizes, default=-1) + 1):
-        starts.append(f"{total}L")
-        total += sizes.get(part, 0)
-    offsets = F.expr(f"array({', '.join(starts) or '0L'})")
-    number = F.get(offsets, F.col("_part")) + F.col("_pos") + F.lit(1)
-    return placed.select(number.alias(id_col), *df.columns)
+    # One row per task of the sort: spark.sql.shuffle.partitions bounds what is broadcast.
+    starts = F.broadcast(prefix_sums(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")), "_part", "_n", "_start"))
+    number = F.col("_start") + F.col("_pos") + F.lit(1)
+    return placed.join(starts, "_part").select(number.alias(id_col), *df.columns)

@@ -15,6 +15,7 @@ from adloom.operators.pages import accepted, extract_content, quarantined, with_
 from adloom.schemas import AD_HTML_DDL, CONTENT_REJECTS_DDL, PAYLOAD_REJECTS_DDL
 from adloom.sources.readers import parse_landed, read_or_empty
 from adloom.storage import materialize
+from adloom.streaming.fields import register_fields
 from adloom.streaming.stored import append, append_new, stored_table, unstored, without
 
 # The file source forgets files older than this against the newest one; files may be
@@ -57,7 +58,8 @@ def run_metadata(
     parsed into ``rejects`` (``<target>_rejected`` by default).
 
     A document is known by its place: file, line and position in the line's list
-    (``source_file``, ``source_line``, ``source_doc``). Each place is written once, and every
+    (``source_file``, ``source_line``, ``source_doc``). Fields that the category does not
+    declare stay in ``other``; their names go to the registry (``fields.known_fields``). Each place is written once, and every
     place is written, whatever happens to the checkpoint or to a batch while it commits.
     """
     rejects = rejects or f"{target.rstrip('/')}_rejected"
@@ -68,7 +70,10 @@ def run_metadata(
         lines = batch.toDF("value", "source_file", "_size", "_block").withColumn("_seq", F.monotonically_increasing_id())
         parsed = parse_landed(lines, category, lean=not keep_nested, keep_other=True)
         rows = bronze_metadata(parsed.where("error is null").drop("error", "record"), category, keep_nested)
-        append_new(rows, target, ("_y", "_m") if keep_nested else ("y", "m"), ["source_file", "source_line", "source_doc"])
+        by, place = ("_y", "_m") if keep_nested else ("y", "m"), ["source_file", "source_line", "source_doc"]
+        rows = unstored(rows, target, by, place)
+        register_fields(rows, "other", target)
+        append(rows, target, by, place)
         bad = parsed.where("error is not null").select("source_file", "source_line", "record", "error")
         append_new(bad, rejects, (), ["source_file", "source_line"])
 

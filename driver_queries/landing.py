@@ -27,6 +27,7 @@ from adloom.operators.flatten import (
 )
 from adloom.operators.normalize import bronze_metadata, normalize_search_key, published_on, select_categories
 from adloom.operators.quality import conform, null_counts
+from adloom.operators.sketches import merged_counts, period_sketches
 from adloom.operators.tokens import union_all
 from adloom.schemas import JOB_METADATA_DDL, doc_schema
 from adloom.plans.bronze import ingest_metadata
@@ -68,6 +69,7 @@ from adloom.streaming.incremental import (
     rows_after,
     run_metadata,
 )
+from adloom.streaming.fields import known_fields, with_fields
 from driver_queries.expected import DROPPED, EXPECTED
 from driver_queries.registry import load, load_spread, query
 
@@ -702,6 +704,45 @@ def nested_bronze(spark, sf_dir):
     return _plain(table.drop("metadata", "other", "source_line", "source_doc"))
 
 
+@query(
+    "field_registry",
+    """SELECT 'extra_field' AS field, 'string' AS kind, count(*) AS n, true AS once FROM orders
+       UNION ALL SELECT 'price.net_amount', 'bigint', count(*), true FROM orders WHERE o_orderstatus = 'F'
+       UNION ALL SELECT 'late_list', 'array', count(*), true FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def field_registry(spark, sf_dir):
+    """Names, kinds and counts of undeclared fields over two batches, one of which brings
+    a new field."""
+    root = _wide_payloads(spark, sf_dir)
+    seen = known_fields(spark, f"{root}/bronze")
+    return seen.select("field", "kind", "n", ((F.col("first_seen") < F.col("last_seen")) == (F.col("field") == "extra_field")).alias("once"))
+
+
+@query(
+    "registered_columns",
+    """SELECT o_orderkey AS id, 'x' || o_orderkey AS other_extra_field,
+              CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS VARCHAR) END AS "other_price.net_amount",
+              CASE WHEN o_orderstatus <> 'F' THEN '[' || o_custkey || ']' END AS other_late_list FROM orders""",
+)
+def registered_columns(spark, sf_dir):
+    """The registered fields as columns; no pass over the data for their names."""
+    root = _wide_payloads(spark, sf_dir)
+    table = spark.read.parquet(f"{root}/bronze").select("id", "other")
+    return with_fields(table, "other", f"{root}/bronze", drop=True)
+
+
+def _wide_payloads(spark: SparkSession, sf_dir: str) -> str:
+    root = fresh_path(spark, "registry")
+    orders = load_spread(spark, sf_dir, "orders", "o_orderkey").withColumn("d", _doc("car_used"))
+    extra = F.col("d").withField("extra_field", F.concat(F.lit("x"), "o_orderkey"))
+    first = extra.withField("price", F.col("d.price").withField("net_amount", F.col("o_custkey")))
+    second = extra.withField("late_list", F.array("o_custkey"))
+    for where, doc in (("o_orderstatus = 'F'", first), ("o_orderstatus <> 'F'", second)):
+        write_json(orders.where(where).select(F.array(doc).alias("docs")), f"{root}/landing", gzip=True)
+        run_metadata(spark, f"{root}/landing", f"{root}/bronze", None, "car_used")
+    return root
+
+
 @query("ledger_discovery", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def ledger_discovery(spark, sf_dir):
     """Batch discovery: a second pass sees only the files of the second arrival."""
@@ -776,6 +817,40 @@ def distinct_counts(spark, sf_dir):
     return one("events", "user_id").union(one("documents", "text")).union(one("orders", "o_custkey"))
 
 
+@query(
+    "distinct_counts_merged",
+    """SELECT 'events' AS source, 'all' AS range, count(*) AS n, true AS within FROM events
+       UNION ALL SELECT 'events', 'part', count(*), true FROM events WHERE day(ts) BETWEEN 3 AND 12
+       UNION ALL SELECT 'documents', 'all', count(*), true FROM documents
+       UNION ALL SELECT 'orders', 'all', count(*), true FROM orders
+       UNION ALL SELECT 'orders', 'part', count(*), true FROM orders WHERE year(o_orderdate) BETWEEN 1994 AND 1996""",
+)
+def distinct_counts_merged(spark, sf_dir):
+    """Sketches stored per period, merged for a range: within 2 % of the exact count."""
+
+    def one(name: str, value: str, period: Column, part: str | None) -> list[DataFrame]:
+        path = fresh_path(spark, f"sketches-{name}")
+        rows = load(spark, sf_dir, name).withColumn("period", period)
+        append_parquet(period_sketches(rows, ["period"], {"ids": F.col(value)}), path)
+        found = []
+        for label, where in (("all", "true"), ("part", part)):
+            if where is None:
+                continue
+            exact = rows.where(where).agg(F.count_distinct(value).alias("exact"))
+            merged = merged_counts(spark.read.parquet(path).where(where), ["ids"]).join(F.broadcast(exact))
+            within = F.abs(F.col("ids") - F.col("exact")) <= F.col("exact") * 0.02
+            found.append(merged.select(F.lit(name).alias("source"), F.lit(label).alias("range"), F.col("rows").alias("n"), within.alias("within")))
+        return found
+
+    return union_all(
+        [
+            *one("events", "user_id", F.dayofmonth("ts"), "period between 3 and 12"),
+            *one("documents", "text", F.col("lang"), None),
+            *one("orders", "o_custkey", F.year("o_orderdate"), "period between 1994 and 1996"),
+        ]
+    )
+
+
 @query(
     "decode_base64",
     """SELECT c_custkey, c_name AS decoded, c_mktsegment AS table_name, 'sales' AS schema_name,

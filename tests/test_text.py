@@ -151,3 +151,60 @@ def test_plans_have_no_nested_loops_and_no_shuffle_for_ngrams(spark, ads, stop):
     assert "Exchange" not in plan and "Window" not in plan
     counted = tokens.phrase_counts(tokens.ngram_rows(ads, stop), ["ad_id"], 3)
     assert "WindowGroupLimit" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_prefix_sums_over_groups(spark, monkeypatch):
+    from adloom.operators import ids
+
+    monkeypatch.setattr(ids, "_SUMMED_TOGETHER", 7)
+    sizes = [(i, (i * 37) % 11) for i in range(100) if i % 9]
+    got = {r.at: r.start for r in ids.prefix_sums(spark.createDataFrame(sizes, "at int, n long"), "at", "n", "start").collect()}
+    total = 0
+    for at, n in sizes:
+        assert got[at] == total
+        total += n
+
+
+def test_plan_does_not_grow_with_partitions(spark):
+    df = spark.range(5000).select((F.col("id") % 900).alias("v"), "id")
+    plans = []
+    for n in (4, 200):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            found = dense_ids(df, ["v", "id"], "number")
+            plans.append(found._jdf.queryExecution().logical().toString().count("\n"))
+            assert found.agg(F.min("number").alias("a"), F.max("number").alias("b")).first() == (1, 5000)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert plans[0] == plans[1]
+
+
+def test_merging_leaves_single_rows_alone(spark, monkeypatch):
+    from adloom.operators import dedupe
+
+    rows = [(None, 1, "n"), ("1", 1, "old"), ("1", 2, None), ("2", 5, "only"), ("3", 3, "a"), ("3", 3, "b"), (None, 2, None)]
+    df = spark.createDataFrame(rows, "k string, t int, v string")
+    expected = [("1", 2, "old"), ("2", 5, "only"), ("3", 3, "b"), (None, 2, "n")]
+    for few in (True, False):
+        monkeypatch.setattr(dedupe, "fits_broadcast", lambda *_, few=few: few)
+        assert sorted(map(tuple, dedupe.merge_rows(df, ["k"], ["t"]).collect()), key=repr) == sorted(expected, key=repr)
+    single = dedupe.merge_rows(df.where("k = '2'"), ["k"], ["t"])
+    assert "Aggregate" not in single._jdf.queryExecution().executedPlan().toString()
+
+
+def test_texts_are_not_sorted_where_ads_are_single(spark, sf_dir):
+    from driver_queries import QUERIES
+
+    plan = QUERIES["join_meta_content"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_sketches_merge(spark):
+    from adloom.operators.sketches import merged_counts, period_sketches
+
+    rows = spark.range(60_000).select((F.col("id") % 6).alias("m"), (F.col("id") % 20_000).alias("v"), F.lit(None).cast("string").alias("none"))
+    kept = period_sketches(rows, ["m"], {"v": F.col("v"), "none": F.col("none")})
+    whole = merged_counts(kept, ["v", "none"]).first()
+    assert whole.rows == 60_000 and abs(whole.v - 20_000) < 400 and whole.none == 0
+    nothing = merged_counts(kept.where("false"), ["v"]).first()
+    assert (nothing.rows, nothing.v) == (0, 0)
