@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from adloom.session import configure
 
@@ -12,3 +12,15 @@ def prepared(spark: SparkSession) -> SparkSession:
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     return spark
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each made longer until ``df`` has no such column (in either case)."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

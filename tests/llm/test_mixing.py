@@ -13,8 +13,12 @@ def brute_force(cells, targets, rounds=mixing.ROUNDS):
     for d in range(3):
         have = tokens.sum(tuple(x for x in range(3) if x != d))
         given = targets.get(DIMENSIONS[d])
-        t = have**mixing.TEMPER if given is None else np.array([given.get(n, 0.0) for n in names[d]])
-        want.append(t / t.sum())
+        t = have**mixing.TEMPER / (have**mixing.TEMPER).sum()
+        if given is not None:
+            listed = np.array([n in given for n in names[d]])
+            asked = np.array([given.get(n, 0.0) for n in names[d]])
+            t = np.where(listed, asked / asked.sum() * t[listed].sum(), t)
+        want.append(t)
     w = tokens.copy()
     for _ in range(rounds):
         for d in range(3):
@@ -51,6 +55,9 @@ def test_sample_meets_the_marginals(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
     targets = {"lang": {"en": 0.6, "de": 0.4}, "source": {"s0": 1.0, "s1": 1.0, "s2": 1.0}}
     got = mixed(docs, targets).where("sampled").toPandas()
+    # Every copy counts.
+    got.tokens *= got.copies
+    assert abs(got.tokens.sum() / 100_000 - mixing.BUDGET) < 0.02
     shares = got.groupby("lang").tokens.sum() / got.tokens.sum()
     assert abs(shares["de"] - 0.4) < 0.02
     assert abs(got.groupby("source").tokens.sum() / got.tokens.sum() - 1 / 3).max() < 0.03
@@ -70,11 +77,37 @@ def test_awkward_rows(awkward, no_docs):
     assert mixed(no_docs).count() == 0 and sample(no_docs).count() == 0
 
 
-def test_target_without_rows_or_rows_without_target(spark):
-    rows = [(i, "a b c", "en" if i % 2 else "xx", "s", 0) for i in range(100)]
+def test_values_without_a_target_keep_a_share(spark):
+    langs = ["en", "en", "de", "xx", None]
+    rows = [(i, "a b c", langs[i % 5], "s", 0) for i in range(5000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
-    got = {r.lang: r.probability for r in mixed(docs).collect()}
-    assert got == {"en": 1.0, "xx": 0.0}
+    shares = {r.value: (r.target, r.share) for r in mixing.marginals(docs).where("dimension = 'lang'").collect()}
+    weight = {"en": 2**mixing.TEMPER, "de": 1, "xx": 1, "(none)": 1}
+    whole = sum(weight.values())
+    assert abs(shares["xx"][0] - 1 / whole) < 1e-9 and abs(shares["(none)"][0] - 1 / whole) < 1e-9
+    listed = 1 - 2 / whole
+    assert abs(shares["en"][0] - listed * 0.55 / 0.70) < 1e-9
+    assert all(abs(target - share) < 0.01 for target, share in shares.values())
+    got = {r.lang for r in mixed(docs).where("sampled").collect()}
+    assert got == {"en", "de", "xx", "(none)"}
+    # No target can be met by no rows; one given as 0 takes its rows out.
+    none = mixed(docs, {"lang": {"en": 1.0, "xx": 0.0, "absent": 3.0}})
+    assert {r.lang: r.expected > 0 for r in none.collect()} == {"en": True, "de": True, "xx": False, "(none)": True}
+
+
+def test_copies_are_bounded_and_the_rest_is_kept(spark):
+    rows = [(i, "a b c d", "de" if i == 0 else "en", "s", 0) for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    got = {r.doc_id: r for r in mixed(docs, {"lang": {"en": 0.5, "de": 0.5}}).collect()}
+    assert got[0].copies == mixing.MAX_COPIES
+    # One rare document does not set the size of the sample.
+    assert sum(r.copies for r in got.values()) > 1900
+    drawn = sample(docs, {"lang": {"en": 0.5, "de": 0.5}}).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in drawn} == {i: r.copies for i, r in got.items() if r.copies}
+
+
+def test_whole_table_meets_the_marginals(documents):
+    assert all(abs(r.target - r.share) < 0.01 for r in mixing.marginals(documents).collect())
 
 
 def test_draw_is_uniform_and_fixed(spark):

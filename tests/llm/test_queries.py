@@ -31,7 +31,8 @@ def test_stages(spark, sf_dir, documents):
         docs = docs.cache()
         assert docs.columns == before.columns, name
         assert docs.select("doc_id").subtract(before.select("doc_id")).isEmpty(), name
-        assert 0 < docs.count() < before.count(), name
+        # Mixing repeats documents of cells that are asked for more than they have.
+        assert 0 < docs.select("doc_id").distinct().count() < before.select("doc_id").distinct().count(), name
     last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
     assert last.count() == docs.count()
     assert sorted(map(tuple, last.collect())) == sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect()))
