@@ -4,8 +4,12 @@ The index holds the items; every passage of every training text is a query. An
 item's score is the share of its BM25 mass that the passage's words carry, so one
 threshold serves items of any length. Retrieval is block-max WAND: items stand in
 blocks, each term keeps its largest weight per block, and a block is scored only
-when the largest weights of the passage's terms can reach the threshold. Terms of
-the least weight, which cannot lift an item over half the threshold, open no block.
+when the largest weights of the passage's terms can reach the threshold: all passages
+of a batch are pruned by their bounds at once, which takes the place of a moving pivot.
+Terms of the least weight, which cannot lift an item over half the threshold, open no
+block. Term statistics are those of the training texts, and a passage is as long as
+items of one length class ask for, so what is found for an item does not depend on the
+other items.
 All passages retrieved are verified: enough of the question's word runs and of the
 answer's words must stand in one of them. Only an item that has an answer is split;
 other texts, such as prose, are all question.
@@ -22,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adloom.llm.batches import unused
 from adloom.llm.words import PARTS, binary_texts, hashed_words, in_order, ranges
 from adloom.operators.joins import fits_broadcast
 from adloom.storage import materialize
@@ -30,6 +35,9 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.5, 0.5
 RUN = 5
+# Terms in a smaller share of the texts all weigh the same: else the words of an item that
+# leaked often would weigh less than its other words.
+RARE = 0.01
 BLOCK_ITEMS = 4
 # Words of items in one broadcast index; larger benchmarks are split into several.
 SHARD_WORDS = 2_000_000
@@ -91,8 +99,8 @@ def _csr(keys: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(np.bincount(keys, minlength=n))))
 
 
-def build_index(items: list[tuple[int, str]], df: dict[int, int], n_items: int, mean_length: float, passage: int) -> Index:
-    """``df``: number of items with each term, over the whole benchmark."""
+def build_index(items: list[tuple[int, str]], df: dict[int, int], n_texts: int, passage: int) -> Index:
+    """``df``: number of training texts with each term, of ``n_texts``."""
     parts = [parts_to_find(text) for _, text in items]
     questions = _word_lists([q for q, _ in parts])
     answers = _word_lists([a for _, a in parts])
@@ -100,9 +108,9 @@ def build_index(items: list[tuple[int, str]], df: dict[int, int], n_items: int,
     for i, (question, answer) in enumerate(zip(questions, answers, strict=True)):
         words = np.concatenate((question, answer))
         terms, tf = np.unique(words, return_counts=True)
-        n = np.array([df.get(int(t), 1) for t in terms.view(np.int64)], np.float64)
-        idf = np.log(1 + (n_items - n + 0.5) / (n + 0.5))
-        weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / max(mean_length, 1)))
+        n = np.array([max(df.get(int(t), 0), RARE * n_texts) for t in terms.view(np.int64)], np.float64)
+        idf = np.log(1 + (n_texts - n + 0.5) / (n + 0.5))
+        weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / passage))
         weight /= max(weight.sum(), 1e-12)
         order = np.argsort(weight, kind="stable")
         small = np.zeros(len(terms), bool)
@@ -169,13 +177,13 @@ class Searcher:
         hit = terms[found] == words[at]
         return at[hit], found[hit]
 
-    def __call__(self, texts: list[bytes]) -> Iterator[tuple[int, int, float, float, float]]:
-        """(text number, item number, score, question and answer overlap) of each pair: the
-        best score of its passages, and the overlaps of the passage that shows most."""
+    def __call__(self, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
+        """(text number, item id, score, question and answer overlap) of each pair: the best
+        score of its passages, and the overlaps of the passage that shows most. The texts
+        are given as ``hashed_words`` gives them."""
         index = self.index
         if not len(index.terms):
             return
-        words, bounds = hashed_words(texts, PARTS)
         # Half passages of ``passage`` words; a passage is two in a row, so any run of
         # ``passage`` words lies inside one.
         halves = -(-np.diff(bounds) // index.passage)
@@ -198,9 +206,7 @@ class Searcher:
         reachable = upper + index.rest[opened % len(index.rest)] >= THRESHOLD - 1e-9
         opened = opened[reachable]
         # All terms of the passages opened, against the items of the blocks opened there.
-        starts, back = np.unique(opened // len(index.rest), return_inverse=True)
-        allowed = np.zeros((len(starts), len(index.rest)), bool)
-        allowed[back, opened % len(index.rest)] = True
+        starts = np.unique(opened // len(index.rest))
         docs = np.searchsorted(first_half, starts, "right") - 1
         lows = bounds[docs] + (starts - first_half[docs]) * index.passage
         highs = np.minimum(bounds[docs + 1], lows + 2 * index.passage)
@@ -209,7 +215,9 @@ class Searcher:
         posting, back = _postings(index.item_starts, key % len(index.terms))
         where = (key // len(index.terms))[back]
         items = index.items[posting]
-        kept = allowed[where, items // BLOCK_ITEMS]
+        block = starts[where] * len(index.rest) + items // BLOCK_ITEMS
+        at_most = np.minimum(np.searchsorted(opened, block), max(len(opened) - 1, 0))
+        kept = opened[at_most] == block if len(opened) else np.zeros(0, bool)
         pairs, back = np.unique(where[kept] * len(index.item_ids) + items[kept], return_inverse=True)
         scores = np.bincount(back, index.weights[posting[kept]], len(pairs))
         found = np.flatnonzero(scores >= THRESHOLD - 1e-9)
@@ -227,7 +235,7 @@ class Searcher:
             best[doc, item] = max(best.get((doc, item), shown), shown)
             top[doc, item] = max(top.get((doc, item), score), score)
         for (doc, item), (_, question, answer) in sorted(best.items()):
-            yield doc, item, top[doc, item], question, answer
+            yield doc, index.item_ids[item], top[doc, item], question, answer
 
     def _overlap(self, passage: np.ndarray, item: int, known: dict[int, np.ndarray]) -> tuple[float, float]:
         runs, answer = self.index.question_runs[item], self.index.answers[item]
@@ -238,75 +246,111 @@ class Searcher:
         return question, float(np.isin(answer, passage).mean()) if len(answer) else 1.0
 
 
-def find_leaks(
-    docs: DataFrame,
-    benchmark: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shard_words: int = SHARD_WORDS,
-) -> DataFrame:
-    """A row for each text and benchmark item whose BM25 share in some passage reaches
-    THRESHOLD; ``score`` is the largest share. Every such passage is verified: ``leaked``
-    when both overlaps reach theirs in one of them. The overlaps are those of a passage
-    where they do, if any, and of those the one with the largest question overlap.
+def length_class(words: int) -> int:
+    """Words of a half passage that any run of ``words`` words fits into: a power of two."""
+    return max(LEAST_PASSAGE, 1 << max(words - 1, 0).bit_length())
 
-    Null and empty texts give no rows, nor do items without words. Rows of ``docs``
-    that are repeated give their rows again; of benchmark rows with one ``item_id`` and
-    text one counts. A null id is carried through. No benchmark or no texts: no rows.
-    Statistics are those of the whole benchmark. Its items are split by hash into
-    indexes of about ``shard_words`` words, the only thing that is broadcast.
-    """
-    spark = docs.sparkSession
 
-    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _text_frequencies(texts: DataFrame, vocabulary: np.ndarray) -> dict[int, int]:
+    """Training texts that hold each of the terms; counted per task, then summed."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(vocabulary), np.int64)
         for batch in batches:
             words, bounds = hashed_words(binary_texts(batch.column(0)), PARTS)
-            lists = [np.unique(words[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
+            known = np.flatnonzero(vocabulary[at] == words)
+            text = np.searchsorted(bounds, known, "right") - 1
+            total += np.bincount(np.unique(text * len(vocabulary) + at[known]) % len(vocabulary), minlength=len(vocabulary))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(vocabulary[used].view(np.int64)), pa.array(total[used])], names=["term", "n"])
+
+    found = texts.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return {r.term: r.n for r in found.collect()}
+
+
+def _search(texts: DataFrame, benchmark: DataFrame, shard_words: int) -> DataFrame:
+    """The rows of ``find_leaks`` for texts (doc_id of any type, text)."""
+    spark = texts.sparkSession
+    kind = texts.schema["doc_id"].dataType
+    schema = RESULT.replace("doc_id long", f"doc_id {kind.simpleString()}")
+
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, bounds = hashed_words(binary_texts(batch.column(1)), PARTS)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.diff(bounds), pa.int64()), pa.array([x.view(np.int64) for x in lists], pa.list_(pa.int64()))],
-                names=["n", "terms"],
+                [batch.column(0), batch.column(1), pa.array(np.diff(bounds), pa.int64())], names=["item_id", "text", "n"]
             )
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").distinct()
-    items = materialize(items, "items")
-    measured = materialize(items.select("text").mapInArrow(measure, "n long, terms array<long>"), "item-terms").where("n > 0")
-    total = measured.agg(F.count(F.lit(1)).alias("items"), F.sum("n").alias("words"), F.max("n").alias("longest")).first()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    if not total.items:
-        return texts.limit(0).mapInArrow(lambda batches: iter(()), RESULT)
-    frequency = materialize(measured.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "df")
-    passage = max(LEAST_PASSAGE, total.longest)
-    shards = -(-total.words // shard_words)
+    items = materialize(items.mapInArrow(measure, "item_id long, text string, n long").where("n > 0"), "items")
+    words = items.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("words")).first().words
+    if not words:
+        return texts.limit(0).mapInArrow(lambda batches: iter(()), schema)
+    n_texts = texts.count()
+    shards = -(-words // shard_words)
     found: DataFrame | None = None
     for shard in range(shards):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard).orderBy("item_id", "text")
-        rows = [(r.item_id, r.text) for r in part.collect()]
-        used = part.select("text").mapInArrow(measure, "n long, terms array<long>").select(F.explode("terms").alias("term")).distinct()
-        df = {r.term: r.df for r in frequency.join(used, "term", "left_semi").collect()} if shards > 1 else {r.term: r.df for r in frequency.collect()}
-        index = spark.sparkContext.broadcast(build_index(rows, df, total.items, total.words / total.items, passage))
-
-        def search(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            searcher = Searcher(index.value)
+        classes: dict[int, list[tuple[int, str]]] = {}
+        for r in part.collect():
+            classes.setdefault(length_class(r.n), []).append((r.item_id, r.text))
+        if not classes:
+            continue
+        vocabulary = np.unique(np.concatenate([w for rows in classes.values() for w in _word_lists([text for _, text in rows])]))
+        df = _text_frequencies(texts, vocabulary)
+        indexes = spark.sparkContext.broadcast([build_index(rows, df, n_texts, passage) for passage, rows in sorted(classes.items())])
+
+        def search(batches: Iterable[pa.RecordBatch], indexes=indexes) -> Iterator[pa.RecordBatch]:
+            searchers = [Searcher(index) for index in indexes.value]
             for batch in batches:
-                ids = batch.column(0).to_pylist()
-                rows = [
-                    (ids[doc], index.value.item_ids[item], score, q, a, q >= QUESTION_OVERLAP and a >= ANSWER_OVERLAP)
-                    for doc, item, score, q, a in searcher(binary_texts(batch.column(1)))
-                ]
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_()]
+                ids = batch.column(0)
+                hashed = hashed_words(binary_texts(batch.column(1)), PARTS)
+                rows = [row for searcher in searchers for row in searcher(*hashed)]
+                columns = list(zip(*rows, strict=True)) or [()] * 5
+                kinds = [pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+                leaked = [q >= QUESTION_OVERLAP and a >= ANSWER_OVERLAP for _, _, _, q, a in rows]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
+                    [ids.take(pa.array(columns[0], pa.int64())), *map(pa.array, columns[1:], kinds), pa.array(leaked, pa.bool_())],
                     names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "leaked"],
                 )
 
-        here = texts.mapInArrow(search, RESULT)
+        here = texts.mapInArrow(search, schema)
         found = here if found is None else found.union(here)
     return found
 
 
+def find_leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shard_words: int = SHARD_WORDS,
+) -> DataFrame:
+    """A row for each text and benchmark item whose BM25 share in some passage reaches
+    THRESHOLD; ``score`` is the largest share. Every such passage is verified: ``leaked``
+    when both overlaps reach theirs in one of them. The overlaps are those of a passage
+    where they do, if any, and of those the one with the largest question overlap.
+
+    Null and empty texts give no rows, nor do items without words. Rows of ``docs``
+    that are repeated give their rows again; of benchmark rows with one ``item_id`` and
+    text one counts. A null id is carried through. No benchmark or no texts: no rows.
+    An item's rows do not depend on the other items. Items are split by hash into indexes
+    of about ``shard_words`` words, the only thing that is broadcast; all length classes
+    of an index are searched in one pass over the texts.
+    """
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return _search(texts, benchmark, shard_words)
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text holds no benchmark item, with their own columns."""
-    texts = docs.select(F.xxhash64(text_col).alias("doc_id"), F.col(text_col).alias("text"))
-    bad = materialize(find_leaks(texts, benchmark).where("leaked").select(F.col("doc_id").alias("_hash")).distinct(), "leaks")
+    """The rows of ``docs`` whose text holds no benchmark item, with their own columns,
+    whatever their names. Null and empty texts stay; no rows and no items: all stay. A text
+    is known by its 128-bit digest, so repeated, null and missing ids do not matter."""
+    digest = F.md5(F.col(f"`{text_col}`"))
+    texts = docs.select(digest.alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    (name,) = unused(docs, "_digest")
+    bad = _search(texts, benchmark, SHARD_WORDS).where("leaked").select(F.col("doc_id").alias(name)).distinct()
+    bad = materialize(bad, "leaks")
     bad = F.broadcast(bad) if fits_broadcast(bad) else bad
-    return docs.join(bad, F.xxhash64(text_col) == F.col("_hash"), "left_anti")
+    return docs.withColumn(name, digest).join(bad, name, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

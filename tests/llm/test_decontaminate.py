@@ -50,12 +50,11 @@ def test_scores_against_every_passage_and_item():
     texts += [" ".join([texts[2], items[k][1], texts[1]]) for k in range(20)]
     lists = [t.split() for _, t in items]
     df = collections.Counter(w for ws in lists for w in set(ws))
-    mean = sum(map(len, lists)) / len(lists)
     hashed, bounds = hashed_words([" ".join(df).encode()], PARTS)
     of = dict(zip(hashed.view(np.int64).tolist(), df, strict=True))
     passage = 64
-    index = build_index(items, {h: df[w] for h, w in of.items()}, len(items), mean, passage)
-    got = {(d, i): s for d, i, s, _, _ in Searcher(index)([t.encode() for t in texts])}
+    index = build_index(items, {h: df[w] for h, w in of.items()}, len(items), passage)
+    got = {(d, i): s for d, i, s, _, _ in Searcher(index)(*hashed_words([t.encode() for t in texts], PARTS))}
     want = {}
     for d, text in enumerate(texts):
         ws = text.split()
@@ -65,8 +64,8 @@ def test_scores_against_every_passage_and_item():
             for i, item in enumerate(lists):
                 tf = collections.Counter(item)
                 weight = {
-                    w: np.log(1 + (len(items) - df[w] + 0.5) / (df[w] + 0.5))
-                    * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(item) / mean))
+                    w: np.log(1 + (len(items) - max(df[w], 0.7) + 0.5) / (max(df[w], 0.7) + 0.5))
+                    * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(item) / passage))
                     for w, n in tf.items()
                 }
                 share = sum(v for w, v in weight.items() if w in inside) / sum(weight.values())
@@ -150,3 +149,27 @@ def test_table_items_without_their_last_sentence(spark, sf_dir):
     long = {i for i, text in rows for r in benchmark if r.item_id == i and len(question_and_answer(r.text)[0]) >= 0.7 * len(r.text)}
     found = leaks(find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(benchmark)))
     assert len(long) > 10 and {(i, i) for i in long} <= found
+
+
+def test_items_do_not_depend_on_each_other(spark):
+    """Items of 600 and of 3,000 words beside short ones, in one index or in several."""
+    rng = np.random.default_rng(8)
+    short = [*benchmark_of(), (70, " ".join(f"s{i}" for i in range(20)))]
+    long = [(80, " ".join(rng.choice(FILLER, 600))), (81, " ".join(f"v{i}" for i in range(3000)))]
+    scattered = " ".join(f"s{i} " + " ".join(FILLER[10 * i : 10 * i + 10]) for i in range(11))
+    rows = [(i, around(text)) for i, text in short[:10]] + [(70, scattered), (71, around(long[1][1])), (72, long[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    alone = sorted(map(tuple, find_leaks(docs, spark.createDataFrame(short, ITEMS)).collect()))
+    assert (70, 70) not in {r[:2] for r in alone if r[5]}
+    for words in (10**6, 500):
+        found = find_leaks(docs, spark.createDataFrame(short + long, ITEMS), shard_words=words).collect()
+        assert sorted(tuple(r) for r in found if r.item_id < 80) == alone
+        assert {(r.doc_id, r.item_id) for r in found if r.leaked} >= {(71, 81), (72, 80)}
+
+
+def test_clean_texts_stay_under_any_column_names(spark):
+    items = benchmark_of(3)
+    rows = [(1, around(items[0][1]), "a", 1, 2), (1, None, "b", 1, 2), (None, "", "c", 1, 2), (2, "plain", "d", 1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _digest string, _hash int, item_id int")
+    kept = without_leaks(docs, spark.createDataFrame(items, ITEMS))
+    assert kept.columns == docs.columns and sorted(r[2] for r in kept.collect()) == ["b", "c", "d"]
