@@ -32,6 +32,8 @@ from adloom.storage import fresh_path, materialize
 
 MAGIC = b"IDPK"
 BLOCK_IDS = 1 << 16
+# Words a worker remembers: some 250 bytes each. Half of them are forgotten at a time.
+MOST_WORDS = 600_000
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 _FOOTER = struct.Struct("<QQQQ4s")
@@ -171,11 +173,11 @@ class WordEncoder:
     of a word by itself, so ``Word`` and ``word,`` share the work of ``word``. New
     words go to the library joined by a mark word whose id tells where each ends. Words
     of lower-case Latin letters alone are what normalising and splitting leave of them,
-    so they skip both. Half of the words known are forgotten when they become too many;
+    so they skip both, and the bytes that their ids stand for tell where each ends. Half of the words known are forgotten when they become too many;
     those in use are carried over.
     """
 
-    def __init__(self, path: str, most_words: int = 200_000) -> None:
+    def __init__(self, path: str, most_words: int = MOST_WORDS) -> None:
         # One thread: Spark runs as many tasks as there are cores.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
@@ -187,6 +189,11 @@ class WordEncoder:
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
         self.vocabulary = self.tokenizer.get_vocab_size()
+        # A piece has one sign for each byte it stands for, and what marks the end of a word.
+        self.sizes = np.zeros(self.vocabulary, np.int64)
+        end = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        for piece, i in self.tokenizer.get_vocab().items():
+            self.sizes[i] = len(piece.removesuffix(end))
         self.most_words = most_words
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -211,6 +218,23 @@ class WordEncoder:
             found = [data[low:high] for low, high in zip(starts.tolist(), ends.tolist(), strict=True)]
             self.cache.update(zip(new, found, strict=True))
 
+    def _encode_letters(self, words: list[bytes]) -> None:
+        for start in range(0, len(words), 16_384):
+            new = words[start : start + 16_384]
+            joined = [b" ".join(new[i : i + 256]).decode() for i in range(0, len(new), 256)]
+            ids: list[int] = []
+            for encoding in self.plain.encode_batch_fast(joined, add_special_tokens=False):
+                ids += encoding.ids
+            flat = np.array(ids, np.uint32)
+            upto, wanted = np.cumsum(self.sizes[flat]), np.cumsum([len(w) for w in new])
+            last = np.searchsorted(upto, wanted)
+            if last[-1] != len(flat) - 1 or (upto[last] != wanted).any():
+                # Some byte has no piece of its own.
+                self._encode_words(self.plain, new)
+                continue
+            data, ends = flat.tobytes(), (4 * (last + 1)).tolist()
+            self.cache.update(zip(new, (data[low:high] for low, high in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
+
     def _learn(self, words: set[bytes]) -> None:
         ended = {w for w in words if w[-1:] in _ENDS and w[-2:-1].isalnum()}
         stems = {w[:-1] for w in ended} | {w[-1:] for w in ended}
@@ -224,7 +248,7 @@ class WordEncoder:
             else:
                 text = word.decode("utf-8", "replace")
                 (letters if text.isalpha() and text.islower() and max(text) < _BEYOND_LATIN else others).append(word)
-        self._encode_words(self.plain, letters)
+        self._encode_letters(letters)
         self._encode_words(self.tokenizer, others)
         for word in ended:
             self.cache[word] = self.cache[word[:-1]] + self.cache[word[-1:]]
@@ -294,11 +318,9 @@ def write_token_ids(
                 pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())]),
             )
 
-    ordered = (
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .repartitionByRange("id")
-        .sortWithinPartitions("id", F.xxhash64("text"))
-    )
+    # The hash deals rows of one id, or without one, to several files in their order.
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").alias("text")).withColumn("h", F.xxhash64("text"))
+    ordered = rows.repartitionByRange("id", "h").sortWithinPartitions("id", "h").select("id", "text")
     return materialize(ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
 
