@@ -164,6 +164,10 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: bytes,
     return text.encode() + block + b"\r\n\r\n"
 
 
+# Compressed bytes handed to the decompressor at a time.
+FED = 16 << 10
+
+
 @dataclass
 class Record:
     fields: dict[str, str]
@@ -175,13 +179,18 @@ class Record:
 
 
 def parse_records(data: bytes) -> Iterator[Record]:
-    """The records of consecutive gzip members."""
-    while data:
-        member = zlib.decompressobj(31)
-        text = member.decompress(data)
-        if not member.eof:
-            raise ValueError("a record is cut off")
-        data = member.unused_data
+    """The records of consecutive gzip members, fed a piece at a time, so that what is
+    behind a record is not copied with it."""
+    at = 0
+    while at < len(data):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof:
+            if at >= len(data):
+                raise ValueError("a record is cut off")
+            piece = data[at : at + FED]
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
+        text = b"".join(parts)
         head, _, rest = text.partition(b"\r\n\r\n")
         lines = head.decode("utf-8").split("\r\n")
         if not lines[0].startswith("WARC/"):

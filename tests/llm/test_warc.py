@@ -115,3 +115,29 @@ def test_spans_cover_the_records_once(spark, sf_dir, tmp_path):
 
 def test_no_pages(spark):
     assert archived(spark, spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_records_are_cut_from_a_span_in_linear_time(monkeypatch):
+    import gzip
+    import time
+
+    from adloom.llm import warc
+
+    def span(n):
+        return b"".join(gzip.compress(warc.record(i, f"http://h/{i}", b"payload %d" % i, b"x" * 20, None), 1, mtime=0) for i in range(n))
+
+    def seconds(data, n):
+        start = time.perf_counter()
+        assert [r.page_id for r in warc.parse_records(data)] == list(range(n))
+        return time.perf_counter() - start
+
+    small, large = span(500), span(8000)
+    seconds(small, 500)
+    assert seconds(large, 8000) < 16 * 4 * max(seconds(small, 500), 0.002)
+    for fed in (1, 3, 100):
+        monkeypatch.setattr(warc, "FED", fed)
+        assert len(list(warc.parse_records(span(20)))) == 20
+    import pytest
+
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.parse_records(small[:-5]))
