@@ -70,15 +70,27 @@ def _codes(text: str) -> np.ndarray:
     return np.minimum(codes, _TABLE_SIZE)
 
 
+def _is_letter(sign: str) -> bool:
+    return bool(_FOLD[min(ord(sign), _TABLE_SIZE)])
+
+
 def _blocks(texts: list[str]) -> Iterator[str]:
+    """Texts in pieces that end between words; a word is as long as it is."""
     held, size = [], 0
     for text in texts:
-        for start in range(0, max(len(text), 1), _BLOCK):
-            held.append(text[start : start + _BLOCK])
+        start = 0
+        while True:
+            end = start + _BLOCK
+            while end < len(text) and _is_letter(text[end]) and _is_letter(text[end - 1]):
+                end += 1
+            held.append(text[start:end])
             size += len(held[-1])
             if size >= _BLOCK:
                 yield "\n".join(held)
                 held, size = [], 0
+            start = end
+            if start >= len(text):
+                break
     if held:
         yield "\n".join(held)
 

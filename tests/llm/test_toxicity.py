@@ -144,3 +144,16 @@ def test_weights_grow_with_the_evidence():
     counts = toxicity.Counts(np.array([5], np.uint64), np.array([[1, 0]]), np.array([[1, 0]]), np.array([50, 50]), np.array([4, 4]))
     rows = np.array([[5, 0, 0, 0, 0]], np.uint64)
     assert counts.sums_without(rows, 1)[1] == 0
+
+
+def test_words_stay_whole_at_block_ends(monkeypatch):
+    from adloom.llm import toxicity
+
+    text = "some idiots and the rest, " * 40 + "x" * 90 + " Ende über"
+    monkeypatch.setattr(toxicity, "_BLOCK", 1 << 20)
+    whole = toxicity.word_features(text)
+    for size in (1, 7, 16, 50, 333):
+        monkeypatch.setattr(toxicity, "_BLOCK", size)
+        pieces = list(toxicity._blocks([text]))
+        assert "".join(pieces) == text
+        assert (toxicity.word_features(text) == whole).all()
