@@ -20,7 +20,7 @@ from re import _parser as parser
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adloom.llm.words import binary_texts
@@ -224,7 +224,7 @@ def build_index(docs: DataFrame, trigrams: set[int] | None = None, text_col: str
             lists = np.split(owner, starts[1:]) if len(keys) else []
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([list(names)], pa.list_(pa.int64())),
+                    pa.array([list(names)], pa.list_(pa.binary())),
                     pa.array([list(zip(keys.tolist(), lists, strict=True))], pa.map_(pa.int32(), pa.list_(pa.int32()))),
                 ],
                 names=["texts", "postings"],
@@ -244,8 +244,13 @@ def build_index(docs: DataFrame, trigrams: set[int] | None = None, text_col: str
         if names:
             yield segment()
 
-    texts = docs.select(F.col(text_col).alias("text"), F.xxhash64(text_col))
-    return texts.mapInArrow(run, "texts array<long>, postings map<int, array<int>>")
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"), text_name(text_col))
+    return texts.mapInArrow(run, "texts array<binary>, postings map<int, array<int>>")
+
+
+def text_name(text_col: str) -> Column:
+    """128 bits that stand for a text; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
 
 
 def candidates(index: DataFrame, queries: list[Query]) -> DataFrame:
@@ -261,12 +266,12 @@ def candidates(index: DataFrame, queries: list[Query]) -> DataFrame:
                         for owner in evaluate(query, postings).tolist():
                             rules.setdefault(owner, []).append(number)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([names[o] for o in rules], pa.int64()), pa.array(list(rules.values()), pa.list_(pa.int32()))],
+                    [pa.array([names[o] for o in rules], pa.binary()), pa.array(list(rules.values()), pa.list_(pa.int32()))],
                     names=["text", "rules"],
                 )
 
     # A text of several segments has equal lists in all of them.
-    return index.mapInArrow(run, "text long, rules array<int>").dropDuplicates(["text"])
+    return index.mapInArrow(run, "text binary, rules array<int>").dropDuplicates(["text"])
 
 
 RESULT = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
@@ -311,6 +316,6 @@ def find_secrets(docs: DataFrame, rules: list[Rule] | None = None, id_col: str =
                 names=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
             )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), text_name(text_col).alias("h"))
     joined = rows.join(hits, F.col("h") == F.col("_hash"), "left").select("doc_id", "text", "rules")
     return joined.mapInArrow(verify, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {RESULT}")

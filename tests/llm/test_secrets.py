@@ -73,8 +73,8 @@ def test_index_lists_every_trigram(spark, documents):
     lists = {}
     for row in build_index(docs).collect():
         for gram, owners in row.postings.items():
-            lists.setdefault(gram, set()).update(row.texts[o] for o in owners)
-    names = {r.h: r.text for r in docs.selectExpr("xxhash64(text) AS h", "text").collect()}
+            lists.setdefault(gram, set()).update(bytes(row.texts[o]) for o in owners)
+    names = {bytes(r.h): r.text for r in docs.selectExpr("unhex(md5(text)) AS h", "text").collect()}
     want = {}
     for name, text in names.items():
         for gram in text_trigrams(text.encode(), None).tolist():
@@ -87,3 +87,11 @@ def test_rules_are_added(spark):
     row = find_secrets(df, rules=[Rule("own", r"needle-\d+")]).first()
     assert row.spans == "own:3:12" and row.base_sha256 == hashlib.sha256(b"").hexdigest() and len(BASE) == 3
     assert secrets.trigram_query(r"needle-\d+") is not None
+
+
+def test_texts_are_named_by_128_bits(spark):
+    from adloom.llm import secrets
+
+    docs = spark.createDataFrame([(1, "a"), (2, None), (3, "")], "doc_id long, text string")
+    names = {r[0]: bytes(r[1]) for r in docs.select("doc_id", secrets.text_name("text")).collect()}
+    assert len(names[1]) == 16 and names[2] == names[3] != names[1]
