@@ -17,9 +17,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adloom.llm.batches import unused
 from adloom.llm.components import star_components
 from adloom.llm.words import binary_texts, mix, ranges, shingle_sets
-from adloom.operators.joins import fits_broadcast
+from adloom.operators.joins import fits_broadcast, lookup_join
 from adloom.storage import materialize
 
 WORDS = 5
@@ -87,8 +88,10 @@ def shingled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def set_blocks(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(block, nodes, sizes, shingles): the full sets of ``wanted`` (node, doc_id, block),
-    recomputed from whole texts, those of a block one after the other."""
+    """(block, nodes, sizes, shingles): the full sets of ``wanted`` (node, place, block),
+    recomputed from whole texts, those of a block one after the other. A place is the id
+    and the hash of one text that has the set, so rows without an id, or with one id,
+    do not meet each other."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,11 +107,13 @@ def set_blocks(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
                 names=["node", "block", "shingles"],
             )
 
-    wanted = wanted.select("node", "block", F.col("doc_id").alias("_doc"))
+    wanted = wanted.select("node", "block", F.col("place.doc_id").alias("_doc"), F.col("place.text_hash").alias("_hash"))
     if fits_broadcast(wanted):
         wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    found = texts.join(wanted, F.col("_id").eqNullSafe(F.col("_doc"))).select("node", "_text", "block")
+    text = F.col(f"`{text_col}`")
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_h"))
+    same = F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_h") == F.col("_hash"))
+    found = texts.join(wanted, same).select("node", "_text", "block")
     sets = found.mapInArrow(run, "node binary, block long, shingles array<long>")
     # Rows that repeat an id give a node again. A block holds about BLOCK_SHINGLES
     # shingles, or one larger set.
@@ -206,9 +211,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = (
         rows.where("node is not null")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+        .agg(
+            F.min("doc_id").alias("doc_id"),
+            F.min(F.struct("doc_id", "text_hash")).alias("place"),
+            F.first("n").alias("n"),
+            F.first("keys").alias("keys"),
+        )
     )
-    placed = materialize(nodes.select("node", "doc_id", "n", F.explode("keys").alias("key")), "bands")
+    placed = materialize(nodes.select("node", "place", "n", F.explode("keys").alias("key")), "bands")
     shared = materialize(placed.groupBy("key").agg(F.count(F.lit(1)).alias("mates")).where("mates > 1"), "buckets")
     if fits_broadcast(shared):
         shared = F.broadcast(shared)
@@ -217,14 +227,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fullest = placed.groupBy("node").agg(
         F.sum("mates").alias("degree"),
         F.max(F.struct("mates", "key"))["key"].alias("anchor"),
-        F.first("doc_id").alias("doc_id"),
+        F.first("place").alias("place"),
         F.first("n").alias("n"),
     )
     fullest = materialize(fullest, "anchors")
     cells = fullest.groupBy("anchor").agg(F.ceil(F.sum(F.col("n") + SET_WEIGHT) / BLOCK_SHINGLES).alias("cells"))
     cell = F.pmod(F.xxhash64("node"), F.col("cells"))
     blocked = materialize(
-        fullest.join(cells, "anchor").select("node", "doc_id", "degree", F.xxhash64("anchor", cell).alias("block")), "blocked"
+        fullest.join(cells, "anchor").select("node", "place", "degree", F.xxhash64("anchor", cell).alias("block")), "blocked"
     )
     blocks = materialize(set_blocks(docs, blocked, id_col, text_col), "set-blocks")
 
@@ -248,13 +258,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     roots = materialize(star_components(materialize(more.union(known), "links")), "roots")
 
-    grouped = (
-        nodes.select("node", "doc_id")
-        .join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-    )
-    names = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = grouped.join(names, "root").select("node", "component_id")
+    # Only linked nodes have a name to look up. A root may have very many.
+    linked = materialize(nodes.select("node", "doc_id").join(roots, "node"), "linked")
+    names = materialize(linked.groupBy("root").agg(F.min("doc_id").alias("component_id")), "names")
+    named = lookup_join(linked.select("node", "root"), names, ["root"], "inner", spread_by=["node"]).select("node", "component_id")
+    alone = nodes.select("node", "doc_id").join(roots.select("node"), "node", "left_anti")
+    named = named.union(alone.select("node", F.col("doc_id").alias("component_id")))
     joined = rows.select("doc_id", "text_hash", "n", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select(
@@ -267,11 +276,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns; of rows with the same
-    id and text, one."""
+    """The rows of ``docs`` that are kept, with their own columns, whatever their names; of
+    rows with the same id and text, one. Null and empty texts stay; no rows give no rows."""
     found = materialize(near_duplicates(docs, id_col, text_col), "near-dup")
-    of_row = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash"))
-    ids = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    doc, digest = unused(docs, "_id", "_hash")
+    of_row = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(F.col(f"`{text_col}`")) == F.col(digest))
+    ids = [F.col("doc_id").alias(doc), F.col("text_hash").alias(digest)]
 
     def marked(rows: DataFrame) -> DataFrame:
         rows = rows.select(*ids).distinct()

@@ -3,7 +3,7 @@ and columns whose names the operators use themselves."""
 
 import pytest
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, rules string, node string, run int, word string, weight double"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, rules string, node string, run int, word string, weight double, _id long, _hash long, _mix_p double, _mix_source string, _digest string, h long, id string, place string"
 
 
 @pytest.fixture(scope="session")
@@ -26,7 +26,7 @@ def awkward(spark):
         (10, "é́ 漢字 🎉 \u0000 ﷺ ǆ ŉ"),
         (11, "x" * 30_000),
     ]
-    rows = [(i, t, None if i in (1, None) else "en", None if i == 9 else "src", 0, 1.0, "r", "n", 1, "w", 0.5) for i, t in texts]
+    rows = [(i, t, None if i in (1, None) else "en", None if i == 9 else "src", 0, 1.0, "r", "n", 1, "w", 0.5, 7, 8, 0.1, "m", "d", 3, "x", "p") for i, t in texts]
     return spark.createDataFrame(rows, DOCS)
 
 

@@ -129,3 +129,25 @@ def test_shingle_sets():
     sets = shingle_sets([b"", b"a b", b"a B", b"a b c d e f", b"\n a  b c d\te f "])
     assert [len(s) for s in sets] == [0, 1, 1, 2, 2]
     assert (sets[1] == sets[2]).all() and (sets[3] == sets[4]).all()
+
+
+def test_rows_without_an_id_read_their_own_text_only(spark, monkeypatch):
+    """Each text that shares a bucket is read again once, not once for every row without an id."""
+    from adloom.llm import near_dup
+
+    rows = [(None, " ".join(f"w{i // 2}x{j}" for j in range(40)) + (" end" if i % 2 else "")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    read = []
+    plain = near_dup.set_blocks
+
+    def counting(docs, wanted, id_col, text_col):
+        blocks = plain(docs, wanted, id_col, text_col)
+        read.append((blocks.selectExpr("sum(size(nodes)) n").first().n, wanted.count()))
+        places = wanted.select("place.doc_id", "place.text_hash").distinct().count()
+        assert places == wanted.count()
+        return blocks
+
+    monkeypatch.setattr(near_dup, "set_blocks", counting)
+    found = near_dup.near_duplicates(docs).collect()
+    assert len(found) == 400 and read == [(400, 400)]
+    assert len({r.text_hash for r in found}) == 400 and {r.component_id for r in found} == {None}
