@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adloom.operators.joins import lookup_join
 from adloom.storage import materialize
 
 
@@ -13,14 +14,19 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row.n, row.h
 
 
+def _with(edges: DataFrame, smallest: DataFrame) -> DataFrame:
+    """Every edge with what is known of its node; a node with very many edges is split."""
+    return lookup_join(edges, smallest, ["a"], "inner", spread_by=["b"])
+
+
 def star_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b): root is the smallest node that
     can be reached.
 
     Alternates two steps until the edges stay the same: every node links its larger
     neighbours to its smallest one, then its smaller neighbours. Edges never get
-    more than they were; a hot node is split by the skew join, its minimum combined
-    before the shuffle. Every pass is written to the shared folder, so the lineage
+    more than they were; the minima are combined before the shuffle, and the edges of a
+    hot node meet theirs where they lie or in cells. Every pass is written to the shared folder, so the lineage
     stays one pass long. No edges give no rows.
     """
     now = materialize(
@@ -31,11 +37,12 @@ def star_components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = _with(both, materialize(least, "least")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = materialize(large.distinct(), "large")
         # After the first step every edge points down: a is larger than b.
-        smallest = large.groupBy("a").agg(F.min("b").alias("m"))
+        smallest = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "smallest")
         small = (
-            large.join(smallest, "a")
+            _with(large, smallest)
             .select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
             .distinct()
         )
