@@ -155,11 +155,13 @@ def ads_with_ids(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """One row per ad x keyword x function. ``columns`` narrows the ad columns that
-    are repeated; leave out ``article_content`` where only ids are needed."""
+    are repeated; leave out ``article_content`` where only ids are needed. ``ads`` has one
+    row per ad, with an id."""
     kept = AD_COLUMNS if columns is None else columns
-    base = with_employer(ads, employers).select("ad_id", "employer_id", *kept)
-    # Numbers go through the joins; the text keys are made of them afterwards. Both
-    # joins are on ad_id, so the second one reuses the first one's shuffle.
+    # Only ids go through the joins; the text keys are made of them afterwards, and the
+    # ad's own columns, texts among them, are joined once at the end. All joins are on
+    # ad_id, so each reuses the partitioning of the one before.
+    base = with_employer(ads.select("ad_id", "company_name"), employers).select("ad_id", "employer_id")
     joined = base.join(keyword_ads.select("ad_id", "keyword_id"), "ad_id", "left").join(
         function_ads.select("ad_id", "stillingsfunksjon_id"), "ad_id", "left"
     )
@@ -167,13 +169,11 @@ def ads_with_ids(
     def key(number: str):
         return F.when(F.col(number).isNotNull(), joined_key(F.col("ad_id"), F.col(number)))
 
-    return joined.select(
-        "ad_id",
-        "employer_id",
-        *kept,
-        key("keyword_id").alias("keyword_bridge_id"),
-        key("stillingsfunksjon_id").alias("stillingsfunksjon_bridge_id"),
+    ids = joined.select(
+        "ad_id", "employer_id", key("keyword_id").alias("keyword_bridge_id"), key("stillingsfunksjon_id").alias("stillingsfunksjon_bridge_id")
     )
+    wide = ids.join(ads.select("ad_id", *kept), "ad_id") if kept else ids
+    return wide.select("ad_id", "employer_id", *kept, "keyword_bridge_id", "stillingsfunksjon_bridge_id")
 
 
 def ad_employers(ads: DataFrame, employers: DataFrame, function_ads: DataFrame | None = None) -> DataFrame:

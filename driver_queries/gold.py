@@ -29,9 +29,11 @@ from adloom.operators.serving import (
     employer_keywords,
     employer_keywords_all,
     hits_by_type,
+    read_index,
     search,
     search_batch,
     searchable,
+    write_index,
 )
 from adloom.operators.tokens import ngrams, ngrams_with_bridges, union_all
 from adloom.plans.gold import build_gold, gold_counts, gold_from_bronze
@@ -330,6 +332,29 @@ def search_hits_batch(spark, sf_dir):
     return search_batch(_tables(spark, sf_dir), queries.select(F.col("query").alias("query_id"), "query"), literal=True)
 
 
+_STORED_QUERIES = ["en", "src1", "e", "s_c%1", "der", "zzzz", "the an", "%a_b%", "__"]
+
+
+@query(
+    "search_hits_stored",
+    rf"""{_SEARCH_SQL},
+        queries AS (SELECT unnest({_STORED_QUERIES}) AS query),
+        found AS (SELECT query, s.* FROM searchable s JOIN queries ON s.value ILIKE '%' || query || '%'
+                  WHERE length(query) >= 2),
+        per_type AS (SELECT *, row_number() OVER (PARTITION BY query, type ORDER BY id) AS r FROM found),
+        ranked AS (SELECT query, id, value, type,
+                          CAST(row_number() OVER (PARTITION BY query ORDER BY id, type, value) AS INTEGER) AS rank
+                   FROM per_type WHERE r <= 10)
+        SELECT query AS query_id, id, value, type, rank FROM ranked WHERE rank <= 10""",
+)
+def search_hits_stored(spark, sf_dir):
+    """The index written, read back and searched: no table is read, no value taken apart."""
+    root = fresh_path(spark, "search-index")
+    write_index(_tables(spark, sf_dir), root)
+    queries = spark.createDataFrame([(q, q) for q in _STORED_QUERIES], "query_id string, query string")
+    return search_batch(read_index(spark, root), queries)
+
+
 @query("employer_lookup", f"{DOCUMENT_GOLD_SQL} SELECT * FROM employers WHERE id = 3")
 def employer_lookup(spark, sf_dir):
     return employer_by_id(employer_dim(document_ads(spark, sf_dir)), 3)
