@@ -1,10 +1,14 @@
 """Licences of files: notices by TF-IDF cosine, directories by inheritance. Native only.
 
-A notice is a line of a file, or the whole text of a licence file. Its words are
-compared with each template as sparse TF-IDF vectors; words that no template has
-count in its length with the largest weight. A line can reach the threshold only
-with at least one of a template's weightier words (by Cauchy-Schwarz the others
-together stay below it), so only such lines are taken apart; each distinct one once.
+A notice is a paragraph of a file, a window of up to WINDOW adjoining lines of one
+(a wrapped header between other lines), or the whole text of a licence file. A line
+without letters or digits ends a paragraph; comment marks are no words. The words of a
+notice are compared with each template as sparse TF-IDF vectors; words that no template
+has count in its length with the largest weight. A notice can reach the threshold only
+with at least one of a template's weightier words (by Cauchy-Schwarz the others together
+stay below it), so only lines near such a word are taken apart; each distinct notice once.
+
+An SPDX identifier names its licence itself, with similarity 1.
 
 A file without a notice of its own takes the licence of the nearest directory above
 it that has one, where a directory's is that of the licence file in it.
@@ -22,20 +26,40 @@ from adloom.operators.joins import fits_broadcast, lookup_join
 from adloom.storage import materialize
 
 THRESHOLD = 0.6
-# Usual notices and the openings of the texts they stand for.
+# Adjoining lines that are read together.
+WINDOW = 6
+# Usual notices, file headers, titles and texts of licences: fixed values.
 TEMPLATES = {
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "AGPL-3.0-title": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+    "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
     "Apache-2.0-text": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "Apache-2.0-title": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+    "BSD-3-Clause-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-3-Clause-header": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "GPL-2.0-title": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "GPL-3.0-text": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+    "GPL-3.0-title": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "ISC-header": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "LGPL-2.1-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
     "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-3.0-header": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "LGPL-3.0-title": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
     "MIT": "Released under the MIT License.",
+    "MIT-header": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
     "MPL-2.0": "Subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "MPL-2.0-title": "Mozilla Public License Version 2.0",
     "Proprietary": "All rights reserved.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
@@ -44,6 +68,10 @@ COMMON = (
     "a all an and any are as at be but by for from has have if in is it its no not of on or so that the this to was with"
 ).split()
 _WORD = "[a-z0-9]+(?:\\.[0-9]+)?"
+_KIND = "-(text|header|title|clause)$"
+_BREAK = r"\n(?:[^A-Za-z0-9\n]*\n)+"
+# An identifier as it is declared, and what says how later versions count.
+_DECLARED, _VERSIONS = r"(?i)SPDX-License-Identifier:[ \t(]*([A-Za-z0-9][A-Za-z0-9.+-]*)", r"(?i)(-or-later|-only|\+)$"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)(\.[a-z]+|-[0-9]+)?$"
 
 
@@ -82,7 +110,7 @@ def _model() -> tuple[list[tuple[str, str, float]], dict[str, float], float, lis
 
 
 def licence_of(template: Column) -> Column:
-    return F.regexp_replace(template, "-text$", "")
+    return F.regexp_replace(template, _KIND, "")
 
 
 def notice_scores(notices: DataFrame, spark: SparkSession) -> DataFrame:
@@ -121,6 +149,29 @@ def _needed() -> str:
     return r"(?i)\b(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_letter.items()) + r")\b"
 
 
+def _windows(paragraph: Column, needed: str) -> Column:
+    """The paragraph and the windows of its lines that start less than WINDOW lines before
+    a line with a weightier word, and hold one."""
+    lines = F.split(paragraph, "\n")
+    marked = F.filter(F.transform(lines, lambda line, i: F.when(line.rlike(needed), i + 1)), lambda i: i.isNotNull())
+    starts = F.array_distinct(F.flatten(F.transform(marked, lambda i: F.sequence(F.greatest(i - (WINDOW - 1), F.lit(1)), i))))
+
+    def from_start(start: Column) -> Column:
+        widths = F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.size(lines) - start + 1))
+        return F.transform(widths, lambda width: F.array_join(F.slice(lines, start, width), "\n"))
+
+    found = F.filter(F.flatten(F.transform(starts, from_start)), lambda window: window.rlike(needed))
+    return F.array_distinct(F.array_append(found, paragraph))
+
+
+def declared(rows: DataFrame) -> DataFrame:
+    """Rows of files for every SPDX identifier: its licence, similarity 1."""
+    names = F.regexp_extract_all("text", F.lit(_DECLARED), F.lit(1))
+    found = rows.where(F.col("text").rlike(_DECLARED)).withColumn("name", F.explode(F.array_distinct(names)))
+    licence = F.regexp_replace(F.regexp_replace("name", r"\.+$", ""), _VERSIONS, "")
+    return found.select("doc_id", "path", "_licence_file", licence.alias("licence"), F.lit(1.0).alias("similarity"))
+
+
 def parent(path: Column) -> Column:
     """The directory of a path; '' is the top."""
     return F.regexp_replace(path, "/?[^/]*$", "")
@@ -131,6 +182,7 @@ def scan(files: DataFrame) -> DataFrame:
     origin ('notice', 'inherited' or null) and licence_dir, the directory inherited from.
 
     The best notice of a file counts, of equally similar ones the first licence by name.
+    An identifier "X-or-later", "X-only" or "X+" is the licence X; each identifier counts.
     A directory with several licence files takes the most similar notice, then the first
     licence. Null and empty texts have no notice; a null path has no directory and
     inherits nothing. Rows that repeat are repeated. No rows give no rows; other columns
@@ -139,14 +191,17 @@ def scan(files: DataFrame) -> DataFrame:
     """
     spark = files.sparkSession
     rows = files.select("doc_id", "path", "text").withColumn("_licence_file", F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False)))
-    lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(_needed()))
-    lines = F.when(F.col("_licence_file"), F.array_append(lines, F.col("text"))).otherwise(lines)
-    marked = F.col("text").rlike(_needed())
-    held = rows.where(marked).select("doc_id", "path", "_licence_file", F.explode(F.array_distinct(lines)).alias("notice"))
+    needed = _needed()
+    marked = rows.where(F.col("text").rlike(needed))
+    paragraphs = F.array_distinct(F.filter(F.split("text", _BREAK), lambda part: part.rlike(needed)))
+    parts = marked.select("doc_id", "path", "_licence_file", F.explode(paragraphs).alias("part"))
+    held = parts.select("doc_id", "path", "_licence_file", F.explode(_windows(F.col("part"), needed)).alias("notice"))
+    held = held.union(marked.where("_licence_file").select("doc_id", "path", "_licence_file", "text"))
     held = materialize(held.withColumn("line", F.md5(F.col("notice").cast("binary"))), "notices")
     distinct = held.groupBy("line").agg(F.first("notice").alias("notice"))
     scores = materialize(notice_scores(distinct, spark), "notice-scores")
     scored = lookup_join(held.drop("notice"), scores, ["line"], "inner")
+    scored = scored.select("doc_id", "path", "_licence_file", "licence", "similarity").union(declared(rows))
     first = F.struct(-F.col("similarity"), F.col("licence"))
     own = scored.groupBy("doc_id", "path", "_licence_file").agg(F.min_by(F.struct("licence", "similarity"), first).alias("best"))
     own = materialize(own.select("doc_id", "path", "_licence_file", "best.licence", "best.similarity"), "own-licences")
@@ -224,9 +279,17 @@ files AS (
               WHEN doc_id % {PER_DIRECTORY} = 0 THEN s || '/' || l || '/' || f || '/LICENSE-' || doc_id
               ELSE s || '/' || l || '/' || f || '/' || doc_id || '.txt' END AS path
   FROM named),
+paragraphs AS (
+  SELECT doc_id, path, part, string_split(part, chr(10)) AS l
+  FROM (SELECT doc_id, path, unnest(regexp_split_to_array(text, '{_BREAK}')) AS part FROM files)),
 units AS (
-  SELECT doc_id, path, unnest(string_split(text, chr(10))) AS notice FROM files
+  SELECT doc_id, path, unnest(flatten([[array_to_string(l[i:i + w - 1], chr(10)) FOR i IN range(1, len(l) - w + 2)]
+                                       FOR w IN range(1, {WINDOW} + 1)])) AS notice FROM paragraphs
+  UNION SELECT doc_id, path, part FROM paragraphs
   UNION SELECT doc_id, path, text FROM files WHERE path LIKE '%/LICENSE-%'),
+declared AS (
+  SELECT doc_id, path, regexp_replace(regexp_replace(name, '\.+$', ''), '{_VERSIONS}', '') AS licence, 1.0::DOUBLE AS similarity
+  FROM (SELECT doc_id, path, unnest(regexp_extract_all(text, '{_DECLARED}', 1)) AS name FROM files)),
 words AS (
   SELECT notice, word, count(*) AS tf
   FROM (SELECT notice, unnest(regexp_extract_all(lower(notice), '{_WORD}')) AS word FROM (SELECT DISTINCT notice FROM units))
@@ -237,10 +300,10 @@ alike AS (
   SELECT notice, template, round(sum(w * unit) / any_value(length), 9) AS similarity
   FROM weighed JOIN vectors USING (word) JOIN lengths USING (notice) GROUP BY ALL),
 best AS (
-  SELECT notice, regexp_replace(template, '-text$', '') AS licence, similarity FROM alike WHERE similarity >= {THRESHOLD}
+  SELECT notice, regexp_replace(template, '{_KIND}', '') AS licence, similarity FROM alike WHERE similarity >= {THRESHOLD}
   QUALIFY row_number() OVER (PARTITION BY notice ORDER BY similarity DESC, template) = 1),
 own AS (
-  SELECT doc_id, path, licence, similarity FROM units JOIN best USING (notice)
+  SELECT * FROM (SELECT doc_id, path, licence, similarity FROM units JOIN best USING (notice) UNION FROM declared)
   QUALIFY row_number() OVER (PARTITION BY doc_id, path ORDER BY similarity DESC, licence) = 1),
 placed AS (SELECT doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir FROM files),
 per_dir AS (
