@@ -1,12 +1,12 @@
 """Licences of files: notices by TF-IDF cosine, directories by inheritance. Native only.
 
-A notice is a paragraph of a file, a window of up to WINDOW adjoining lines of one
-(a wrapped header between other lines), or the whole text of a licence file. A line
-without letters or digits ends a paragraph; comment marks are no words. The words of a
-notice are compared with each template as sparse TF-IDF vectors; words that no template
-has count in its length with the largest weight. A notice can reach the threshold only
-with at least one of a template's weightier words (by Cauchy-Schwarz the others together
-stay below it), so only lines near such a word are taken apart; each distinct notice once.
+A notice is a line of a file, a wrapped notice of up to WINDOW adjoining lines, or the
+whole text of a licence file. Its words are compared with each template as sparse TF-IDF
+vectors; words that no template has count in its length with the largest weight, comment
+marks are no words. A notice can reach the threshold only with at least one of a
+template's weightier words (by Cauchy-Schwarz the others together stay below it): only
+lines with one are taken apart, a wrapped notice begins and ends with one, and each
+distinct notice is scored once.
 
 An SPDX identifier names its licence itself, with similarity 1.
 
@@ -27,7 +27,7 @@ from adloom.storage import materialize
 
 THRESHOLD = 0.6
 # Adjoining lines that are read together.
-WINDOW = 6
+WINDOW = 8
 # Usual notices, file headers, titles and texts of licences: fixed values.
 TEMPLATES = {
     "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
@@ -65,11 +65,10 @@ TEMPLATES = {
 }
 # Function words take no part in the vectors.
 COMMON = (
-    "a all an and any are as at be but by for from has have if in is it its no not of on or so that the this to was with"
+    "a all an and any are as at be but by do for from has have if in is it its may no not of on or so such that the this to was with you your"
 ).split()
 _WORD = "[a-z0-9]+(?:\\.[0-9]+)?"
 _KIND = "-(text|header|title|clause)$"
-_BREAK = r"\n(?:[^A-Za-z0-9\n]*\n)+"
 # An identifier as it is declared, and what says how later versions count.
 _DECLARED, _VERSIONS = r"(?i)SPDX-License-Identifier:[ \t(]*([A-Za-z0-9][A-Za-z0-9.+-]*)", r"(?i)(-or-later|-only|\+)$"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)(\.[a-z]+|-[0-9]+)?$"
@@ -142,26 +141,26 @@ def notice_scores(notices: DataFrame, spark: SparkSession) -> DataFrame:
 
 
 def _needed() -> str:
-    """One expression for the weightier words, grouped by their first letter."""
+    """One expression for the weightier words in lower-case text, grouped by their first
+    letter."""
     by_letter: dict[str, list[str]] = {}
     for word in _model()[3]:
         by_letter.setdefault(word[0], []).append(re.escape(word[1:]))
-    return r"(?i)\b(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_letter.items()) + r")\b"
+    return r"(?:^|[^a-z0-9])(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_letter.items()) + r")(?:[^a-z0-9]|$)"
 
 
-def _windows(paragraph: Column, needed: str) -> Column:
-    """The paragraph and the windows of its lines that start less than WINDOW lines before
-    a line with a weightier word, and hold one."""
-    lines = F.split(paragraph, "\n")
-    marked = F.filter(F.transform(lines, lambda line, i: F.when(line.rlike(needed), i + 1)), lambda i: i.isNotNull())
-    starts = F.array_distinct(F.flatten(F.transform(marked, lambda i: F.sequence(F.greatest(i - (WINDOW - 1), F.lit(1)), i))))
+def _notices(text: Column, needed: str) -> Column:
+    """The lines with a weightier word, and what lies between two of them less than
+    WINDOW lines apart."""
+    lines = F.split(text, "\n")
+    numbered = F.transform(lines, lambda line, i: F.when(F.lower(line).rlike(needed), i + 1))
+    marked = F.filter(numbered, lambda i: i.isNotNull())
 
-    def from_start(start: Column) -> Column:
-        widths = F.sequence(F.lit(1), F.least(F.lit(WINDOW), F.size(lines) - start + 1))
-        return F.transform(widths, lambda width: F.array_join(F.slice(lines, start, width), "\n"))
+    def from_line(first: Column, at: Column) -> Column:
+        ends = F.filter(F.slice(marked, at + 1, F.lit(WINDOW)), lambda last: last < first + WINDOW)
+        return F.transform(ends, lambda last: F.array_join(F.slice(lines, first, last - first + 1), "\n"))
 
-    found = F.filter(F.flatten(F.transform(starts, from_start)), lambda window: window.rlike(needed))
-    return F.array_distinct(F.array_append(found, paragraph))
+    return F.flatten(F.transform(marked, from_line))
 
 
 def declared(rows: DataFrame) -> DataFrame:
@@ -192,11 +191,10 @@ def scan(files: DataFrame) -> DataFrame:
     spark = files.sparkSession
     rows = files.select("doc_id", "path", "text").withColumn("_licence_file", F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False)))
     needed = _needed()
-    marked = rows.where(F.col("text").rlike(needed))
-    paragraphs = F.array_distinct(F.filter(F.split("text", _BREAK), lambda part: part.rlike(needed)))
-    parts = marked.select("doc_id", "path", "_licence_file", F.explode(paragraphs).alias("part"))
-    held = parts.select("doc_id", "path", "_licence_file", F.explode(_windows(F.col("part"), needed)).alias("notice"))
-    held = held.union(marked.where("_licence_file").select("doc_id", "path", "_licence_file", "text"))
+    marked = rows.where(F.lower("text").rlike(needed))
+    notices = _notices(F.col("text"), needed)
+    notices = F.array_distinct(F.when(F.col("_licence_file"), F.array_append(notices, F.col("text"))).otherwise(notices))
+    held = marked.select("doc_id", "path", "_licence_file", F.explode(notices).alias("notice"))
     held = materialize(held.withColumn("line", F.md5(F.col("notice").cast("binary"))), "notices")
     distinct = held.groupBy("line").agg(F.first("notice").alias("notice"))
     scores = materialize(notice_scores(distinct, spark), "notice-scores")
@@ -263,7 +261,7 @@ def laid_out(docs: DataFrame) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same in SQL, without the shortcut over weightier words."""
+    """The same in SQL; single lines are scored without the shortcut over weightier words."""
     rows, idf, other, _ = _model()
     vectors = ", ".join(f"('{t}', '{w}', {idf[w]!r}::DOUBLE, {unit!r}::DOUBLE)" for t, w, unit in rows)
     return rf"""
@@ -279,13 +277,14 @@ files AS (
               WHEN doc_id % {PER_DIRECTORY} = 0 THEN s || '/' || l || '/' || f || '/LICENSE-' || doc_id
               ELSE s || '/' || l || '/' || f || '/' || doc_id || '.txt' END AS path
   FROM named),
-paragraphs AS (
-  SELECT doc_id, path, part, string_split(part, chr(10)) AS l
-  FROM (SELECT doc_id, path, unnest(regexp_split_to_array(text, '{_BREAK}')) AS part FROM files)),
+numbered AS (
+  SELECT doc_id, path, l, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS pos
+  FROM (SELECT doc_id, path, string_split(text, chr(10)) AS l FROM files)),
+marked AS (SELECT doc_id, path, l, pos FROM numbered WHERE regexp_matches(lower(line), '{_needed()}')),
 units AS (
-  SELECT doc_id, path, unnest(flatten([[array_to_string(l[i:i + w - 1], chr(10)) FOR i IN range(1, len(l) - w + 2)]
-                                       FOR w IN range(1, {WINDOW} + 1)])) AS notice FROM paragraphs
-  UNION SELECT doc_id, path, part FROM paragraphs
+  SELECT doc_id, path, line AS notice FROM numbered
+  UNION SELECT a.doc_id, a.path, array_to_string(a.l[a.pos:b.pos], chr(10))
+  FROM marked a JOIN marked b ON a.doc_id = b.doc_id AND a.path = b.path AND b.pos > a.pos AND b.pos < a.pos + {WINDOW}
   UNION SELECT doc_id, path, text FROM files WHERE path LIKE '%/LICENSE-%'),
 declared AS (
   SELECT doc_id, path, regexp_replace(regexp_replace(name, '\.+$', ''), '{_VERSIONS}', '') AS licence, 1.0::DOUBLE AS similarity
