@@ -149,19 +149,20 @@ def with_employer(ads: DataFrame, employers: DataFrame) -> DataFrame:
 
 def ads_with_ids(
     ads: DataFrame,
-    employers: DataFrame,
+    employers: DataFrame | None,
     keyword_ads: DataFrame,
     function_ads: DataFrame,
     columns: list[str] | None = None,
 ) -> DataFrame:
     """One row per ad x keyword x function. ``columns`` narrows the ad columns that
     are repeated; leave out ``article_content`` where only ids are needed. ``ads`` has one
-    row per ad, with an id."""
+    row per ad, with an id; without ``employers`` it has their ids already."""
     kept = AD_COLUMNS if columns is None else columns
     # Only ids go through the joins; the text keys are made of them afterwards, and the
     # ad's own columns, texts among them, are joined once at the end. All joins are on
     # ad_id, so each reuses the partitioning of the one before.
-    base = with_employer(ads.select("ad_id", "company_name"), employers).select("ad_id", "employer_id")
+    named = ads if employers is None else with_employer(ads.select("ad_id", "company_name"), employers)
+    base = named.select("ad_id", "employer_id")
     joined = base.join(keyword_ads.select("ad_id", "keyword_id"), "ad_id", "left").join(
         function_ads.select("ad_id", "stillingsfunksjon_id"), "ad_id", "left"
     )

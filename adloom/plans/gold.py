@@ -22,7 +22,7 @@ from adloom.operators.dims import (
     with_employer,
 )
 from adloom.operators.tokens import ngrams, ngrams_with_bridges
-from adloom.sinks.writers import export_jdbc, snapshot
+from adloom.sinks.writers import export_jdbc, open_bucketed, snapshot, write_bucketed
 from adloom.sources.readers import read_months, read_table_jdbc
 from adloom.storage import materialize
 
@@ -112,6 +112,40 @@ def write_gold(gold: GoldTables, root: str) -> dict[str, str]:
     return paths
 
 
+# The tables that are joined by ad.
+BY_AD = ("ads", "keyword_ads_bridge", "stillingsfunksjon_ads_bridge", "ngrams")
+
+
+def write_by_ad(gold: GoldTables, root: str, prefix: str = "gold", buckets: int = 200) -> dict[str, DataFrame]:
+    """Replace the tables of BY_AD, all bucketed on ``ad_id``; the ads have ``employer_id``.
+
+    Choose ``buckets`` so that a bucket of the largest table fits a task; the tables of one
+    ``prefix`` have to agree in it. An ad has one row in the ads and as many in the others
+    as it has values, so no bucket is hot.
+    """
+    frames = {name: getattr(gold, name) for name in BY_AD}
+    frames["ads"] = with_employer(gold.ads, gold.employers)
+    return {
+        name: write_bucketed(frame, f"{root.rstrip('/')}/{name}", f"{prefix}_{name}", "ad_id", buckets)
+        for name, frame in frames.items()
+    }
+
+
+def open_by_ad(spark: SparkSession, root: str, prefix: str = "gold", buckets: int = 200) -> dict[str, DataFrame]:
+    """The tables of ``write_by_ad`` in another session."""
+    return {name: open_bucketed(spark, f"{root.rstrip('/')}/{name}", f"{prefix}_{name}", "ad_id", buckets) for name in BY_AD}
+
+
+def wide_by_ad(stored: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
+    """The wide table from the tables bucketed by ad: no row is exchanged."""
+    return ads_with_ids(stored["ads"], None, stored["keyword_ads_bridge"], stored["stillingsfunksjon_ads_bridge"], columns)
+
+
+def phrases_by_ad(stored: dict[str, DataFrame], columns: list[str]) -> DataFrame:
+    """N-grams with the named columns of their ads, joined bucket by bucket."""
+    return stored["ngrams"].join(stored["ads"].select("ad_id", *columns), "ad_id")
+
+
 def export_gold(gold: GoldTables, url: str, properties: dict[str, str] | None = None) -> None:
     for table, frame in gold.exports().items():
         export_jdbc(frame, url, table, properties)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from adloom.functions.values import split_table_name
@@ -71,6 +71,25 @@ def replace_table(df: DataFrame, name: str, path: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def write_bucketed(df: DataFrame, path: str, name: str, by: str, buckets: int) -> DataFrame:
+    """Replace the table ``name`` at ``path``, dealt by the hash of ``by`` into ``buckets``
+    files. Tables of the same number of buckets are joined, and grouped, by that column
+    without an exchange. One task writes one bucket: no key may hold much of the table."""
+    writer = df.repartition(buckets, by).write.mode("overwrite").format("parquet").bucketBy(buckets, by).sortBy(by)
+    writer.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def open_bucketed(spark: SparkSession, path: str, name: str, by: str, buckets: int) -> DataFrame:
+    """A table of ``write_bucketed`` in a session whose catalog does not know it."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS `{name}` ({columns}) USING parquet "
+        f"CLUSTERED BY (`{by}`) SORTED BY (`{by}`) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
+
+
 def export_frame(df: DataFrame, table: str) -> DataFrame:
     """Rows as the relational table declares them. Ids of dimensions must be a
     primary key and their values unique."""

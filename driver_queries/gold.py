@@ -36,7 +36,7 @@ from adloom.operators.serving import (
     write_index,
 )
 from adloom.operators.tokens import ngrams, ngrams_with_bridges, union_all
-from adloom.plans.gold import build_gold, gold_counts, gold_from_bronze
+from adloom.plans.gold import build_gold, gold_counts, gold_from_bronze, phrases_by_ad, wide_by_ad, write_by_ad
 from adloom.schemas import EXPORT_TABLES
 from adloom.sinks.writers import append_partitioned, export_frame
 from adloom.storage import fresh_path, materialize
@@ -241,6 +241,23 @@ def ads_with_ids_documents(spark, sf_dir):
     return _star(document_ads(spark, sf_dir), ["location"])[-1]
 
 
+def _stored_by_ad(spark, sf_dir):
+    gold = build_gold(part_metadata(spark, sf_dir), part_content(spark, sf_dir), stopwords(spark))
+    root = fresh_path(spark, "by-ad")
+    return write_by_ad(gold, root, f"adloom_{root[-32:]}", int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@query(
+    "ads_with_ids_stored",
+    f"""{PART_GOLD_SQL} SELECT ad_id, heading, job_title, employer_id, no_of_positions, article_header,
+        article_content, keyword_bridge_id, stillingsfunksjon_bridge_id FROM wide""",
+)
+def ads_with_ids_stored(spark, sf_dir):
+    """The wide table joined from stored tables that are bucketed by ad."""
+    columns = ["heading", "job_title", "no_of_positions", "article_header", "article_content"]
+    return wide_by_ad(_stored_by_ad(spark, sf_dir), columns)
+
+
 _PART_KEPT_SQL = rf"""{PART_GOLD_SQL}, {STOPWORDS_SQL},
     tokens AS (
         SELECT ad_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos
@@ -252,6 +269,18 @@ _PART_KEPT_SQL = rf"""{PART_GOLD_SQL}, {STOPWORDS_SQL},
               SELECT ad_id, unnest(list_distinct(regexp_extract_all(words, '(\w+)\s+(\w+)'))), 2 FROM combined)"""
 
 
+@query(
+    "ngrams_stored",
+    f"""{_PART_KEPT_SQL}
+        SELECT words, ngram_size, ad_id, employer_id, heading, job_title
+        FROM grams JOIN (SELECT DISTINCT ad_id, employer_id, heading, job_title FROM wide) USING (ad_id)""",
+)
+def ngrams_stored(spark, sf_dir):
+    """Phrases with the heading and title of their ads, joined bucket by bucket."""
+    phrases = phrases_by_ad(_stored_by_ad(spark, sf_dir), ["heading", "job_title"])
+    return phrases.select("words", "ngram_size", "ad_id", "employer_id", "heading", "job_title")
+
+
 @query(
     "ngrams_fanout",
     f"""{_PART_KEPT_SQL}

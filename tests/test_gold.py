@@ -12,7 +12,7 @@ from adloom.operators.quality import (
     assert_unique,
     conform,
 )
-from adloom.plans.gold import build_gold, snapshot_tables
+from adloom.plans.gold import build_gold, open_by_ad, phrases_by_ad, snapshot_tables, wide_by_ad, write_by_ad
 from adloom.schemas import EXPORT_TABLES, JOB_CONTENT_DDL, JOB_METADATA_DDL
 from adloom.sinks.writers import export_frame, index_statements, jdbc_column_types
 
@@ -73,6 +73,27 @@ def test_bridge_equals_contains_join(gold, rows):
     assert rows(gold.keyword_ads_bridge.select("ad_id", "keyword_id")) == rows(literal)
 
 
+def test_tables_by_ad_are_joined_without_an_exchange(spark, gold, rows, tmp_path):
+    stored = write_by_ad(gold, str(tmp_path), "t_by_ad", 3)
+    again = open_by_ad(spark, str(tmp_path), "t_by_ad_again", 3)
+    assert all(rows(stored[n].select(sorted(stored[n].columns))) == rows(t.select(sorted(t.columns))) for n, t in again.items())
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for tables in (stored, again):
+            wide, phrases = wide_by_ad(tables), phrases_by_ad(tables, ["heading"])
+            for df in (wide, phrases):
+                plan = df._jdf.queryExecution().executedPlan().toString()
+                assert "Exchange" not in plan and "SortMergeJoin" in plan
+            assert rows(wide.select(gold.ads_with_id.columns)) == rows(gold.ads_with_id)
+            assert phrases.count() == gold.ngrams.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for prefix in ("t_by_ad", "t_by_ad_again"):
+            for name in stored:
+                spark.sql(f"DROP TABLE IF EXISTS {prefix}_{name}")
+
+
 def test_wide_table(gold):
     wide = gold.ads_with_id.select("ad_id", "employer_id", "keyword_bridge_id", "stillingsfunksjon_bridge_id").collect()
     assert len(wide) == 4 + 2 + 1 + 1
