@@ -266,3 +266,17 @@ def test_snapshots_from_config(spark, tmp_path):
     paths = snapshot_tables(spark, config, "jdbc:unused", str(tmp_path), read=lambda s, url, fqn: s.range(len(fqn)))
     assert [spark.read.parquet(p).count() for p in paths] == [8, 8]
     assert paths[0].endswith("/a/one.zst.parquet")
+
+
+def test_the_stored_index_holds_a_value_once(spark, tmp_path):
+    from adloom.operators.serving import read_index, search_batch, write_index
+
+    words = [(n, f"{a}{b} {c}") for n, (a, b, c) in enumerate((a, b, c) for a in "abX" for b in "c_d" for c in ("en", "xyz"))]
+    tables = {kind: spark.createDataFrame(words, "id bigint, value string") for kind in ("keyword", "phrase")}
+    write_index(tables, str(tmp_path / "index"))
+    index = read_index(spark, str(tmp_path / "index"))
+    assert set(spark.read.parquet(str(tmp_path / "index" / "postings")).columns) == {"gram", "vid", "bucket"}
+    asked = ["en", "XYZ", "c xyz", "a%en", "__", "zz", "%d_x%"]
+    queries = spark.createDataFrame([(q, q) for q in asked], "query_id string, query string")
+    found, direct = (sorted(map(tuple, search_batch(t, queries).collect())) for t in (index, tables))
+    assert found == direct and {r[0] for r in found} == {"en", "XYZ", "c xyz", "a%en", "__", "%d_x%"}
