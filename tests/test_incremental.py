@@ -344,3 +344,19 @@ def test_a_cluster_needs_a_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_keys_of_very_many_months_are_looked_up(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(4000).select("id", F.col("id").cast("int").alias("y"), F.lit(None).cast("int").alias("m"))
+    stored.append_new(rows.where("id = 7"), path, ("y", "m"), ["id"])
+    monkeypatch.setattr(stored, "perhaps_stored", lambda rows, *_: rows)
+    assert stored.unstored(rows, path, ("y", "m"), ["id"]).count() == 3999
+
+
+def test_a_batch_adds_few_files_to_the_filter(spark, tmp_path):
+    path = tmp_path / "t"
+    rows = spark.range(300).select("id", F.col("id").cast("int").alias("y"))
+    stored.write_filter(rows, str(path), ("y",), ["id"])
+    assert len(list((tmp_path / "t_keys").rglob("*.parquet"))) <= 8
+    assert stored.perhaps_stored(rows, str(path), ("y",), ["id"]).count() == 300
