@@ -228,3 +228,34 @@ def test_values(spark):
     assert row.m == "https://h?searchkey=SEARCH_ID_JOB_FULLTIME&occupation=0.1&q=&published=1&vertical=job&page=2"
     assert row.n.startswith("https://s.example/products/1/9?page=1&page_size=50&") and "&facet=&" in row.n
     assert V.split_table_name("db.finance.ads") == ("finance", "ads")
+
+
+def test_a_record_is_parsed_once(spark, landing):
+    for df, parse in ((R.read_payloads(spark, str(landing), "car_used"), "from_json"), (R.read_payload_variants(spark, str(landing)), "parseJson")):
+        plan = df.where("docs is not null" if "docs" in df.columns else "doc is not null")._jdf.queryExecution().optimizedPlan()
+        assert plan.toString().count(parse) == 1
+
+
+def test_the_cut_line_of_a_part_is_made_of_few_documents(spark):
+    import driver_queries.landing as queries
+
+    orders = spark.range(5000).selectExpr(
+        "id as o_orderkey", "id % 2 as part", "id as o_custkey", "date'2024-01-01' as o_orderdate", "1.5D as o_totalprice", "'F' as o_orderstatus"
+    )
+    cut = queries._cut_lines(orders)
+    assert "WindowGroupLimit" in cut._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.part, len(r.value), r.o_custkey) for r in cut.collect()) == [(0, 70, -1), (1, 70, -1)]
+
+
+def test_documents_are_made_after_the_exchange(spark, tmp_path, sf_dir):
+    import driver_queries.landing as queries
+
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    shown = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        made = orders.groupBy("o_custkey").agg(queries._docs("car_used").alias("docs"))
+        plan = made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", shown)
+    assert "heading-" in plan and "heading-" not in plan[plan.index("Exchange") :]
