@@ -10,7 +10,7 @@ from adloom.functions.values import joined_key
 from adloom.operators.dedupe import merge_rows
 from adloom.operators.flatten import ensure_columns
 from adloom.operators.ids import dense_ids
-from adloom.operators.joins import lookup_join
+from adloom.operators.joins import lookup_join, shuffled
 
 # The columns gold reads from the two bronze tables.
 CONTENT_COLUMNS = {
@@ -75,9 +75,10 @@ def unify_ads(metadata: DataFrame, content: DataFrame) -> DataFrame:
     """Metadata left-joined to content, with parsed keyword and function lists.
 
     Both inputs hold one row per ad, so both shuffles are already on ``ad_id``. The
-    lists are parsed after the join, which then carries the shorter raw text.
+    lists are parsed after the join, which then carries the shorter raw text. Neither side
+    was measured, so none is broadcast.
     """
-    return metadata.join(content, "ad_id", "left").withColumns(
+    return metadata.join(shuffled(content), "ad_id", "left").withColumns(
         {
             "keywords": keyword_list(F.col("keywords")),
             "stillingsfunksjon": slash_list(F.col("stillingsfunksjon")),
@@ -163,8 +164,8 @@ def ads_with_ids(
     # ad_id, so each reuses the partitioning of the one before.
     named = ads if employers is None else with_employer(ads.select("ad_id", "company_name"), employers)
     base = named.select("ad_id", "employer_id")
-    joined = base.join(keyword_ads.select("ad_id", "keyword_id"), "ad_id", "left").join(
-        function_ads.select("ad_id", "stillingsfunksjon_id"), "ad_id", "left"
+    joined = base.join(shuffled(keyword_ads.select("ad_id", "keyword_id")), "ad_id", "left").join(
+        shuffled(function_ads.select("ad_id", "stillingsfunksjon_id")), "ad_id", "left"
     )
 
     def key(number: str):
@@ -173,7 +174,7 @@ def ads_with_ids(
     ids = joined.select(
         "ad_id", "employer_id", key("keyword_id").alias("keyword_bridge_id"), key("stillingsfunksjon_id").alias("stillingsfunksjon_bridge_id")
     )
-    wide = ids.join(ads.select("ad_id", *kept), "ad_id") if kept else ids
+    wide = ids.join(shuffled(ads.select("ad_id", *kept)), "ad_id") if kept else ids
     return wide.select("ad_id", "employer_id", *kept, "keyword_bridge_id", "stillingsfunksjon_bridge_id")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adloom.functions.text import distinct_known, without_words, word_groups, words
 from adloom.operators.ids import dense_ids
-from adloom.operators.joins import fits_broadcast, salted_join
+from adloom.operators.joins import fits_broadcast, salted_join, shuffled
 from adloom.storage import materialize
 
 # A stopword list up to this size is written into the plan; the outcome is the same.
@@ -122,7 +122,7 @@ def ngrams_with_bridges(
     """
     ids = ["keyword_bridge_id", "stillingsfunksjon_bridge_id", "employer_id"]
     grams = ngram_rows(ads, stopwords, sizes, text)
-    fanned = grams.join(ads_with_ids.select("ad_id", *ids), "ad_id")
+    fanned = grams.join(shuffled(ads_with_ids.select("ad_id", *ids)), "ad_id")
     columns = ["words", "ngram_size", "ad_id", *ids]
     return dense_ids(materialize(fanned.select(*columns), "ngrams"), columns)
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from adloom.operators import dims, serving
+from adloom.operators import dims, serving, tokens
 from adloom.operators.quality import (
     QualityError,
     assert_columns,
@@ -280,3 +280,15 @@ def test_the_stored_index_holds_a_value_once(spark, tmp_path):
     queries = spark.createDataFrame([(q, q) for q in asked], "query_id string, query string")
     found, direct = (sorted(map(tuple, search_batch(t, queries).collect())) for t in (index, tables))
     assert found == direct and {r[0] for r in found} == {"en", "XYZ", "c xyz", "a%en", "__", "%d_x%"}
+
+
+def test_a_side_that_was_not_measured_is_not_broadcast(monkeypatch, gold, stop):
+    """Spark guesses the size of a side from its files, before lists are exploded."""
+    for module, name in ((tokens, "materialize"), (tokens, "dense_ids")):
+        monkeypatch.setattr(module, name, lambda df, _: df)
+    ads = gold.ads.withColumn("employer_id", F.lit(1))
+    wide = dims.ads_with_ids(ads, None, gold.keyword_ads_bridge, gold.stillingsfunksjon_ads_bridge, ["heading"])
+    fanned = tokens.ngrams_with_bridges(ads, wide, stop)
+    unified = dims.unify_ads(gold.ads.select("ad_id", "heading"), gold.ads.select("ad_id", "article_content").withColumns({c: F.lit("x") for c in ("keywords", "stillingsfunksjon")}))
+    for df in (wide, fanned, unified):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
