@@ -21,7 +21,7 @@ from adloom.operators.flatten import (
 from adloom.operators.normalize import bronze_metadata, normalize_search_key
 from adloom.plans.bronze import SEARCH_KEYS, ingest_content, ingest_metadata
 from adloom.schemas import AD_HTML_DDL, CATEGORY_SCHEMAS, doc_schema
-from adloom.sinks.writers import append_partitioned, rebuild, snapshot
+from adloom.sinks.writers import append_partitioned, rebuild, snapshot, write_json
 from adloom.sources import readers as R
 
 DOCS = [
@@ -256,3 +256,12 @@ def test_documents_are_made_of_the_collected_orders(spark):
     made = orders.groupBy("o_custkey").agg(queries._docs("car_used").alias("docs")).select(F.explode("docs").alias("d"))
     plain = orders.select(queries._doc("car_used").alias("d"))
     assert sorted(map(str, made.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_payloads_are_compressed_at_the_fastest_level(spark, tmp_path):
+    rows = spark.range(20_000).select("id", F.concat(F.lit("name-"), F.sha2(F.col("id").cast("string"), 256)).alias("name"))
+    write_json(rows.coalesce(1), str(tmp_path / "out"), gzip=True)
+    (file,) = (tmp_path / "out").glob("*.json.gz")
+    text = gzip.decompress(file.read_bytes())
+    assert len(text.splitlines()) == 20_000
+    assert file.stat().st_size > 1.03 * len(gzip.compress(text, 6))
