@@ -292,3 +292,25 @@ def test_a_side_that_was_not_measured_is_not_broadcast(monkeypatch, gold, stop):
     unified = dims.unify_ads(gold.ads.select("ad_id", "heading"), gold.ads.select("ad_id", "article_content").withColumns({c: F.lit("x") for c in ("keywords", "stillingsfunksjon")}))
     for df in (wide, fanned, unified):
         assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_frequent_queries_meet_the_first_values_only(monkeypatch, spark):
+    """No table between the steps lists every value under every substring asked for."""
+    words = [(n, f"{'äbc'[n % 3]}l{n} ab{'' if n % 50 else 'z'} ab") for n in range(1, 601)] + [(601, "x" * 300 + "ab x")]
+    tables = {kind: spark.createDataFrame(words, "id bigint, value string") for kind in ("keyword", "phrase")}
+    queries = ["AB", "l", "äl", "b ab", "l6_0 a", "x x", "zz", "%_"]
+    asked = spark.createDataFrame([(q, q) for q in queries], "query_id string, query string")
+    monkeypatch.setattr(serving, "SEARCHED_AT_ONCE", 0, raising=False)
+    seen = {}
+
+    def counted(df, label, kept=serving.materialize):
+        stored = kept(df, label)
+        seen[label] = max(seen.get(label, 0), stored.count())
+        return stored
+
+    monkeypatch.setattr(serving, "materialize", counted)
+    found = serving.search_batch(tables, asked).orderBy("rank").collect()
+    for query in queries:
+        want = [tuple(r) for r in serving.search(tables, query).collect()]
+        assert [(r.id, r.value, r.type) for r in found if r.query_id == query] == want, query
+    assert max(seen.values()) == seen["values"], seen
