@@ -210,11 +210,11 @@ def bridge_functions(spark, sf_dir):
 
 
 def _star(ads: DataFrame, columns: list[str] | None = None):
-    """The ids of an ad table: dimensions, bridges and the wide table."""
+    """The ids of an ad table: dimensions, bridges and the wide table. Only the wide table
+    reads the bridges, and that once: they go into its joins without being written."""
     ads = materialize(ads, "ads")
     keywords, employers, functions = keyword_dim(ads), employer_dim(ads), function_dim(ads)
-    by_keyword = materialize(keyword_bridge(ads, keywords), "keyword-bridge")
-    by_function = materialize(function_bridge(ads, functions), "function-bridge")
+    by_keyword, by_function = keyword_bridge(ads, keywords), function_bridge(ads, functions)
     wide = ads_with_ids(ads, employers, by_keyword, by_function, columns)
     return ads, keywords, employers, functions, by_keyword, wide
 
@@ -238,7 +238,8 @@ def ads_with_ids_query(spark, sf_dir):
         FROM wide""",
 )
 def ads_with_ids_documents(spark, sf_dir):
-    return _star(document_ads(spark, sf_dir), ["location"])[-1]
+    # The texts are not asked for: they are neither exchanged nor written.
+    return _star(document_ads(spark, sf_dir).drop("article_content"), ["location"])[-1]
 
 
 def _stored_by_ad(spark, sf_dir):

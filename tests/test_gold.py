@@ -314,3 +314,29 @@ def test_frequent_queries_meet_the_first_values_only(monkeypatch, spark):
         want = [tuple(r) for r in serving.search(tables, query).collect()]
         assert [(r.id, r.value, r.type) for r in found if r.query_id == query] == want, query
     assert max(seen.values()) == seen["values"], seen
+
+
+def test_the_wide_table_writes_neither_texts_nor_bridges(monkeypatch, spark, tmp_path):
+    """What the result does not hold, or one join reads once, is not written in between."""
+    from driver_queries import gold as queries
+
+    docs = [(1, "Red pan, red", "en", "src1", 12), (2, None, "de", "src0", 0)]
+    documents = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    documents.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(7, "x")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    stored = {}
+
+    def kept(df, label, write=queries.materialize):
+        stored[label] = write(df, label)
+        return stored[label]
+
+    monkeypatch.setattr(queries, "materialize", kept)
+    found = queries.ads_with_ids_documents(spark, str(tmp_path)).collect()
+    assert list(stored) == ["ads"] and "article_content" not in stored["ads"].columns
+    # Keywords pan, red; functions de, en, src0, src1; employers benchmark, src1.
+    assert {tuple(r) for r in found} == {
+        *(("1", 2, "en", f"1_{k}", f"1_{f}") for k in (1, 2) for f in (2, 4)),
+        *(("2", None, "de", None, f"2_{f}") for f in (1, 3)),
+        ("b7", 1, None, None, None),
+    }
+    assert len(found) == 7
