@@ -265,3 +265,11 @@ def test_payloads_are_compressed_at_the_fastest_level(spark, tmp_path):
     text = gzip.decompress(file.read_bytes())
     assert len(text.splitlines()) == 20_000
     assert file.stat().st_size > 1.03 * len(gzip.compress(text, 6))
+
+
+def test_text_with_other_line_ends_leaves_a_payload_one_line(spark, tmp_path):
+    """JSON text may hold signs that a pattern takes for the end of a line."""
+    lines = [json.dumps({"docs": [{"id": str(n), "heading": f"a{end}b"}]}, ensure_ascii=False) for n, end in enumerate("\u2028\u0085")]
+    (tmp_path / "a.json").write_text(f"{lines[0]}\n \n  {lines[1]}\t\n", encoding="utf-8")
+    found = R.read_payloads(spark, str(tmp_path), "car_used").collect()
+    assert sorted((d.id, d.heading) for r in found for d in r.docs) == [("0", "a\u2028b"), ("1", "a\u0085b")]
