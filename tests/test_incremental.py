@@ -1,5 +1,6 @@
 """Runs that must lose and repeat nothing, and records that must be seen."""
 
+import gzip
 import json
 import os
 import shutil
@@ -150,6 +151,40 @@ def test_lines_keep_their_number_however_files_are_cut(spark, landing, tmp_path)
     assert found[0] == found[1] == [(0, "9999")] + [(n + 1, str(n)) for n in range(4000) if n % 7]
 
 
+def test_the_lines_of_one_gzipped_file_are_parsed_by_many_tasks(spark, landing, monkeypatch):
+    lines = "\n".join(json.dumps(docs(n)) if n % 7 else "[]" for n in range(2000))
+    with gzip.open(f"{landing.path}/one.json.gz", "wt") as file:
+        file.write(lines)
+    tasks = []
+    plain = R.materialize
+    monkeypatch.setattr(R, "materialize", lambda df, label: tasks.append((label, df.rdd.getNumPartitions())) or plain(df, label))
+    parsed = R.parse_landed(R.text_lines(spark.read.text(landing.path)), "car_used")
+    assert dict(tasks)["payloads"] == spark.sparkContext.defaultParallelism > 1
+    found = {(r.source_line, r.docs[0].id if r.docs else r.record) for r in parsed.collect()}
+    assert found == {(n + 1, str(n) if n % 7 else "[]") for n in range(2000)}
+
+
+@pytest.mark.parametrize("small", ["all", "hashes", "none"])
+def test_stored_keys_are_found_however_many_they_are(spark, tmp_path, monkeypatch, small):
+    """Long keys that begin alike and NULL keys, with sides that fit all tasks or do not."""
+    path = str(tmp_path / "t")
+    text = F.when(F.col("id") % 10 > 0, F.concat(F.lit("file:///a/long/folder/"), F.col("id") % 10))
+    rows = spark.range(400).select("id", text.alias("file"), (F.col("id") % 3).cast("int").alias("y"))
+    keys = ["file", "id"]
+    fits = stored.fits_broadcast
+    chosen = {"all": fits, "hashes": lambda df: df.columns in (["_h"], ["word"]) and fits(df), "none": lambda df: False}
+    monkeypatch.setattr(stored, "fits_broadcast", chosen[small])
+    stored.append_new(rows.where("id < 250"), path, ("y",), keys)
+    fresh = stored.unstored(rows, path, ("y",), keys)
+    assert sorted(r.id for r in fresh.collect()) == list(range(250, 400))
+    stored.append_new(rows, path, ("y",), keys)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(400))
+    # Nothing is read again where nothing is new.
+    again = stored.unstored(rows, path, ("y",), keys)
+    assert again.isEmpty() and "Range" not in again._jdf.queryExecution().optimizedPlan().toString()
+    assert stored.without(rows, rows.where("id >= 9").withColumn("id", F.col("id").cast("int")), keys).count() == 9
+
+
 def test_new_keys_are_stored_without_reading_the_table(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     rows = spark.range(2000).select("id", (F.col("id") % 3).cast("int").alias("y"), F.lit(None).cast("int").alias("m"))
