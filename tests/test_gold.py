@@ -1,5 +1,6 @@
 """Dimensions, bridges, search, employer queries, checks, the gold flow."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -282,6 +283,29 @@ def test_the_stored_index_holds_a_value_once(spark, tmp_path):
     assert found == direct and {r[0] for r in found} == {"en", "XYZ", "c xyz", "a%en", "__", "%d_x%"}
 
 
+def test_neighbours_share_the_rows_of_the_index(spark, tmp_path, monkeypatch):
+    from adloom.operators import serving
+
+    texts = ["", "a", "Ab", "abab", "æ\U0001f600æ\U0001f600", "İx", "a%b_c d", "\u0000n", "x" * 300, "zz"] + [f"w{n} v{n % 7}" for n in range(500)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id bigint, value string")
+    # Bytes that are no text.
+    rows = rows.union(rows.limit(1).select(F.lit(-1), F.unhex(F.lit("61FF62")).cast("string"))).coalesce(1)
+    serving.write_index({"keyword": rows}, str(tmp_path / "index"))
+    index = serving.read_index(spark, str(tmp_path / "index"))
+    pairs = index.postings.select("gram", F.explode("vid").alias("vid"))
+    single = serving._postings(index.values, [1, 2, 3], ["vid"])
+    assert pairs.count() == pairs.distinct().count() == single.count()
+    assert pairs.exceptAll(single).isEmpty() and single.exceptAll(pairs).isEmpty()
+    # Before, every substring of every value was a row.
+    assert index.postings.count() < pairs.count() / 2
+    together = sorted((g, v) for batch in serving._gram_lists(texts, [*range(len(texts))]) for g, vs in zip(*map(pa.Array.to_pylist, batch)) for v in vs)
+    assert together == sorted({(t[i : i + n], v) for v, t in enumerate(texts) for n in (1, 2, 3) for i in range(len(t) - n + 1)})
+    monkeypatch.setattr(serving, "GRAM", 5)
+    many = [chr(0x4E00 + k) + chr(0x8000 + 7 * k) for k in range(3000)]
+    parts = list(serving._gram_lists(many, [*range(3000)]))
+    assert len(parts) > 1 and sum(len(p) for p in parts) == len({g for t in many for g in (*t, t)})
+
+
 def test_a_side_that_was_not_measured_is_not_broadcast(monkeypatch, gold, stop):
     """Spark guesses the size of a side from its files, before lists are exploded."""
     for module, name in ((tokens, "materialize"), (tokens, "dense_ids")):
